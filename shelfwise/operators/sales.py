@@ -176,7 +176,7 @@ def q27_running_monthly_revenue(sales: DataFrame) -> DataFrame:
 def q28_rolling_7d(sales: DataFrame, k: int = 15) -> DataFrame:
     daily = sales.groupBy("sale_date").agg(F.sum("revenue").alias("_rev"))
     w = Window.orderBy("sale_date").rowsBetween(-6, 0)
-    out = daily.select("sale_date", money("_rev").alias("daily_revenue"),
+    out = daily.select(F.date_format("sale_date", "yyyy-MM-dd").alias("sale_date"), money("_rev").alias("daily_revenue"),
                        avg_money(F.sum("_rev").over(w), F.count("_rev").over(w)).alias("rolling_7d_avg"))
     return top_k(out, [F.desc("sale_date")], k)
 
@@ -212,8 +212,9 @@ def q30_quantity_percentile(sales: DataFrame, k: int = 15) -> DataFrame:
 def q31_first_last_sale(sales: DataFrame, k: int = 10) -> DataFrame:
     g = sales.groupBy("product_id").agg(F.min("sale_date").alias("first_sale_date"),
                                         F.max("sale_date").alias("last_sale_date"))
-    out = g.withColumn("sales_duration_days",
-                       F.datediff("last_sale_date", "first_sale_date").cast("double"))
+    out = g.select("product_id", F.date_format("first_sale_date", "yyyy-MM-dd").alias("first_sale_date"),
+                   F.date_format("last_sale_date", "yyyy-MM-dd").alias("last_sale_date"),
+                   F.datediff("last_sale_date", "first_sale_date").cast("double").alias("sales_duration_days"))
     return top_k(out, ["product_id"], k)
 
 
@@ -233,7 +234,8 @@ def q32_basket_bands(sales: DataFrame) -> DataFrame:
 def q33_large_baskets(sales: DataFrame, factor: float = 2.5, k: int = 10) -> DataFrame:
     avg_q = sales.agg(F.avg("quantity_sold")).scalar()
     out = (sales.where(F.col("quantity_sold") > avg_q * factor)
-           .select("sale_id", "sale_date", "product_id", "quantity_sold", money("revenue").alias("revenue"),
+           .select("sale_id", F.date_format("sale_date", "yyyy-MM-dd").alias("sale_date"), "product_id",
+                   "quantity_sold", money("revenue").alias("revenue"),
                    round_half_up(F.col("quantity_sold") - avg_q, 2).alias("variance_from_average")))
     return top_k(out, [F.desc("quantity_sold"), "sale_id", "product_id", "sale_date"], k)
 

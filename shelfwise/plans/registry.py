@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import sales as S
+from shelfwise.operators import stock as K
+from shelfwise.operators import suppliers as SU
+from shelfwise.operators import views as V
 from shelfwise.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +57,40 @@ _q("q32", S.q32_basket_bands, "sales")
 _q("q33", S.q33_large_baskets, "sales")
 _q("q34", S.q34_rolling_3m_category_units, "sales", "products")
 _q("q35", S.q35_best_channel_per_category, "sales", "products")
+
+
+def _ci(t):
+    return V.current_inventory(t.inventory, t.products, t.warehouses)
+
+
+def _with_ci(fn: Callable, *tables: str):
+    """Register helper for queries over the current-inventory view."""
+    def run(spark, sf_dir):
+        t = load(spark, sf_dir)
+        return fn(_ci(t), *[getattr(t, n) for n in tables])
+    return run
+
+
+# Views
+_q("v01", V.product_profitability, "products")
+_q("v02", V.supplier_performance, "suppliers", "products")
+QUERIES["v03"] = lambda spark, d: V.iso_dates(_ci(load(spark, d)), "date")
+
+# Group 3 and 5: inventory and supply chain
+QUERIES["q16"] = _with_ci(K.q16_inventory_valuation, "warehouses", "products")
+QUERIES["q17"] = _with_ci(K.q17_holding_cost, "warehouses", "products")
+QUERIES["q18"] = _with_ci(K.q18_out_of_stock)
+QUERIES["q19"] = _with_ci(K.q19_over_allocated)
+QUERIES["q20"] = _with_ci(K.q20_stock_by_warehouse)
+QUERIES["q21"] = _with_ci(K.q21_stock_status)
+QUERIES["q22"] = _with_ci(K.q22_dio, "sales", "products")
+QUERIES["q23"] = _with_ci(K.q23_turnover, "sales", "products")
+QUERIES["q24"] = _with_ci(K.q24_lowest_sku_turnover, "sales", "products")
+QUERIES["q25"] = _with_ci(K.q25_pending_ratio)
+QUERIES["q36"] = _with_ci(K.q36_reorder_alerts, "sales", "products")
+QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "sales", "products")
+_q("q38", K.q38_eoq, "sales", "products")
+_q("q42", SU.q42_supplier_scorecard, "suppliers")
+_q("q43", SU.q43_warehouse_efficiency, "sales", "warehouses")
+_q("q44", SU.q44_supplier_category_skus, "products", "suppliers")
+QUERIES["q45"] = _with_ci(K.q45_outages_by_supplier, "suppliers", "products")
