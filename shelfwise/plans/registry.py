@@ -10,6 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from shelfwise.functions import round_half_up
+from shelfwise.operators import classify as C
+from shelfwise.operators import recommend as RC
+from shelfwise.operators import replenish as RP
 from shelfwise.operators import sales as S
 from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
@@ -94,3 +100,67 @@ _q("q42", SU.q42_supplier_scorecard, "suppliers")
 _q("q43", SU.q43_warehouse_efficiency, "sales", "warehouses")
 _q("q44", SU.q44_supplier_category_skus, "products", "suppliers")
 QUERIES["q45"] = _with_ci(K.q45_outages_by_supplier, "suppliers", "products")
+
+
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Round sample-std derived doubles to 6 places for reporting: their last
+    digits depend on the summation order of the engine."""
+    for c in cols:
+        if c in df.columns:
+            df = df.withColumn(c, round_half_up(c, 6))
+    return df
+
+
+# Classification and replenishment
+_q("q39", C.q39_abc, "sales")
+_q("q40", C.q40_xyz, "sales", "products")
+QUERIES["q41"] = lambda spark, d: (lambda t: C.q41_abc_xyz_matrix(t.sales, _ci(t), t.products))(load(spark, d))
+_q("o01", C.o01_revenue_share, "sales")
+_q("o02", C.o02_abc, "sales")
+_q("o03", C.o03_class_counts, "sales")
+QUERIES["o04"] = lambda spark, d: _r6(C.o04_xyz_stats(load(spark, d).sales), "std", "cv")
+QUERIES["o05"] = lambda spark, d: _r6(C.o05_xyz(load(spark, d).sales), "std", "cv")
+QUERIES["o06"] = lambda spark, d: _r6(C.o06_classification(load(spark, d).sales), "std", "cv")
+
+
+def _opt(spark, d):
+    t = load(spark, d)
+    return RP.optimization_table(t.sales, t.products)
+
+
+for _k, _cols in RP.STEP_COLUMNS.items():
+    QUERIES[_k] = (lambda cols: lambda spark, d: _r6(_opt(spark, d).select(*cols), "daily_std"))(_cols)
+QUERIES["o14"] = lambda spark, d: _r6(_opt(spark, d), "std", "cv", "daily_std")
+
+
+# Health score and recommendations
+def _recs(spark, d, full=True):
+    t = load(spark, d)
+    return RC.recommendations(t.inventory, t.warehouses, t.suppliers,
+                              RP.optimization_table(t.sales, t.products), full=full)
+
+
+def _cur(spark, d):
+    t = load(spark, d)
+    return RC.current_status(t.inventory, t.warehouses)
+
+
+KEY = ["product_id", "warehouse_id"]
+QUERIES["r01"] = lambda spark, d: RC.snapshot_days(load(spark, d).inventory)
+QUERIES["r02"] = lambda spark, d: RC.stockout_days(load(spark, d).inventory)
+QUERIES["r03"] = lambda spark, d: V.iso_dates(_cur(spark, d).select(
+    "date", *KEY, "stock_on_hand", "stock_allocated", "stock_on_order", "stockout_days", "warehouse_name"), "date")
+QUERIES["r04"] = lambda spark, d: _cur(spark, d).select(*KEY, "stockout_days", "stock_availability_pct")
+_RSTEPS = {
+    "r05": ["product_name", "category", "rop", "eoq", "safety_stock", "supplier_id"],
+    "r06": ["stock_on_hand", "rop", "turnover_score"],
+    "r07": ["stock_on_hand", "safety_stock", "cost_score"],
+    "r08": ["stock_availability_pct", "turnover_score", "cost_score", "health_score"],
+    "r09": ["health_score", "health_label"],
+    "r10": ["recommendation"],
+    "r11": ["supplier_name", "supplier_risk_status"],
+}
+for _k, _cols in _RSTEPS.items():
+    QUERIES[_k] = (lambda cols: lambda spark, d: _recs(spark, d).select(*KEY, *cols))(_cols)
+QUERIES["r12"] = lambda spark, d: _recs(spark, d, full=False)
+QUERIES["r13"] = lambda spark, d: RC.label_distribution(_recs(spark, d, full=False))
