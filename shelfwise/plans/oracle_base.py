@@ -112,10 +112,11 @@ ci AS (
   WHERE i.date = (SELECT max(date) FROM inventory))"""
 
 
-def with_base(body: str) -> str:
+def with_base(body: str, recursive: bool = False) -> str:
     """Prefix ``body`` (which may start with its own CTE list after a comma
     or be a bare SELECT) with the adapter and cleaning CTEs."""
     body = body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
     if body.upper().startswith("WITH "):
-        return "WITH " + ADAPTERS + "," + CLEAN + ",\n" + body[5:]
-    return "WITH " + ADAPTERS + "," + CLEAN + "\n" + body
+        return head + ADAPTERS + "," + CLEAN + ",\n" + body[5:]
+    return head + ADAPTERS + "," + CLEAN + "\n" + body

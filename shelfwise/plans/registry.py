@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import round_half_up
 from shelfwise.operators import classify as C
+from shelfwise.operators import forecast as FC
 from shelfwise.operators import recommend as RC
 from shelfwise.operators import replenish as RP
 from shelfwise.operators import sales as S
@@ -164,3 +165,29 @@ for _k, _cols in _RSTEPS.items():
     QUERIES[_k] = (lambda cols: lambda spark, d: _recs(spark, d).select(*KEY, *cols))(_cols)
 QUERIES["r12"] = lambda spark, d: _recs(spark, d, full=False)
 QUERIES["r13"] = lambda spark, d: RC.label_distribution(_recs(spark, d, full=False))
+
+
+# Demand forecasting (total weekly series, as in the reference; the
+# functions take group_cols for per-SKU / per-category series)
+def _split(spark, d):
+    s = load(spark, d).sales
+    return FC.split(FC.fill_weeks(FC.weekly_demand(s)))
+
+
+def _wk(df: DataFrame) -> DataFrame:
+    return df.withColumn("week", F.date_format("week", "yyyy-MM-dd"))
+
+
+QUERIES["f01"] = lambda spark, d: _wk(FC.weekly_demand(load(spark, d).sales))
+QUERIES["f02"] = lambda spark, d: _wk(FC.fill_weeks(FC.weekly_demand(load(spark, d).sales)))
+QUERIES["f03"] = lambda spark, d: _wk(_split(spark, d))
+QUERIES["f04"] = lambda spark, d: FC.ma_params(_split(spark, d))
+QUERIES["f05"] = lambda spark, d: FC.lr_params(_split(spark, d))
+QUERIES["f06"] = lambda spark, d: FC.arima_params(
+    _split(spark, d).withColumn(FC.TOTAL_KEY, F.lit("total")), [FC.TOTAL_KEY]).drop(FC.TOTAL_KEY)
+QUERIES["f07"] = lambda spark, d: _wk(FC.forecasts(load(spark, d).sales)).withColumn(
+    "forecast_lr", round_half_up("forecast_lr", 6)).withColumn("forecast_arima", round_half_up("forecast_arima", 6))
+QUERIES["f08"] = lambda spark, d: FC.evaluation(load(spark, d).sales)
+QUERIES["f09"] = lambda spark, d: FC.report(load(spark, d).sales)
+QUERIES["f10"] = lambda spark, d: _wk(FC.comparison_series(load(spark, d).sales)).withColumn(
+    "value", round_half_up("value", 6))
