@@ -99,6 +99,22 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
         return _CACHE[key]
 
 
+def csv_export(spark: SparkSession, sf_dir: str) -> str:
+    """The five loaded tables written once as header CSV (overwrite)
+    next to the Parquet catalog; returns the folder."""
+    t = load(spark, sf_dir)
+    app = spark.sparkContext.applicationId
+    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    root = shared_dir(spark, "csv", app, digest)
+    key = ("csv", root)
+    with _LOCK:
+        if key not in _CACHE:
+            for name in ["suppliers", "warehouses", "products", "sales", "inventory"]:
+                write_table(getattr(t, name), f"{root}/{name}.csv", fmt="csv")
+            _CACHE[key] = root
+    return root
+
+
 def load_lazy(spark: SparkSession, sf_dir: str) -> Tables:
     """Same tables as ``load`` but as one lazy plan (no writes)."""
     return Tables(**build(spark, sf_dir))

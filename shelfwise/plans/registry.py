@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import round_half_up
 from shelfwise.operators import classify as C
+from shelfwise.operators import cleaning as C_
 from shelfwise.operators import forecast as FC
 from shelfwise.operators import recommend as RC
 from shelfwise.operators import replenish as RP
@@ -22,6 +23,7 @@ from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import views as V
 from shelfwise.plans.catalog import load
+from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -191,3 +193,143 @@ QUERIES["f08"] = lambda spark, d: FC.evaluation(load(spark, d).sales)
 QUERIES["f09"] = lambda spark, d: FC.report(load(spark, d).sales)
 QUERIES["f10"] = lambda spark, d: _wk(FC.comparison_series(load(spark, d).sales)).withColumn(
     "value", round_half_up("value", 6))
+
+
+# EDA datasets
+from shelfwise.operators import eda as E          # noqa: E402
+from shelfwise.operators import metrics as P      # noqa: E402
+from shelfwise.operators import quality as Q      # noqa: E402
+from shelfwise.plans.catalog import csv_export    # noqa: E402
+from shelfwise.sources import files as SF         # noqa: E402
+
+
+def _dbl(df: DataFrame) -> DataFrame:
+    """Decimal money columns as double for reporting."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+QUERIES["e01"] = lambda spark, d: (lambda t: _dbl(V.iso_dates(
+    E.enriched_sales(t.sales, t.products, t.warehouses), "sale_date")))(load(spark, d))
+_q("e02", E.monthly_revenue, "sales")
+_q("e03", E.category_pareto, "sales", "products")
+_q("e04", E.warehouse_revenue, "sales", "warehouses")
+QUERIES["e05"] = lambda spark, d: E.histogram(load(spark, d).products, "unit_price")
+QUERIES["e06"] = lambda spark, d: E.kde(load(spark, d).products, "unit_price")
+_q("e07", E.correlation_matrix, "products")
+QUERIES["e08"] = lambda spark, d: E.box_stats(load(spark, d).sales, "quantity_sold")
+_q("e09", E.supplier_scatter, "suppliers")
+
+
+# Cleaning reports and constraint checks
+def _raw(t):
+    return {"suppliers": t.suppliers, "warehouses": t.warehouses, "raw_products": t.raw_products,
+            "raw_sales": t.raw_sales, "raw_inventory": t.raw_inventory}
+
+
+def _loaded(t):
+    return {"suppliers": t.suppliers, "warehouses": t.warehouses, "products": t.products,
+            "sales": t.sales, "inventory": t.inventory}
+
+
+def _raw_as_loaded(t):
+    return {"suppliers": t.suppliers, "warehouses": t.warehouses, "products": t.raw_products,
+            "sales": t.raw_sales, "inventory": t.raw_inventory}
+
+
+QUERIES["c01"] = lambda spark, d: Q.null_profile(_raw(load(spark, d)))
+_q("c02", Q.category_lists, "raw_products", "products")
+QUERIES["c03"] = lambda spark, d: (lambda t: C_.standardize_categories(t.raw_products, TEST_MAP).select(
+    "product_id", "category"))(load(spark, d))
+QUERIES["c04"] = lambda spark, d: (lambda t: C_.impute_lead_time(C_.standardize_categories(
+    t.raw_products, TEST_MAP)).select("product_id", "category", "lead_time_days"))(load(spark, d))
+QUERIES["c05"] = QUERIES["c04"]
+QUERIES["c06"] = lambda spark, d: V.iso_dates(_dbl(C_.dedupe_sales(load(spark, d).raw_sales)), "sale_date")
+QUERIES["c07"] = lambda spark, d: V.iso_dates(_dbl(C_.fix_quantity(C_.dedupe_sales(load(spark, d).raw_sales))),
+                                              "sale_date")
+QUERIES["c08"] = lambda spark, d: (lambda t: V.iso_dates(_dbl(
+    C_.fix_quantity(C_.dedupe_sales(t.raw_sales)).join(t.products.select("product_id", F.col("unit_price").alias("_up")), "product_id", "left")
+    .where(C_.price_outlier_flag("selling_price_per_unit", "_up")).drop("_up")), "sale_date"))(load(spark, d))
+QUERIES["c09"] = lambda spark, d: (lambda t: V.iso_dates(_dbl(C_.repair_prices(
+    C_.fix_quantity(C_.dedupe_sales(t.raw_sales)), t.products)), "sale_date"))(load(spark, d))
+QUERIES["c10"] = lambda spark, d: V.iso_dates(_dbl(load(spark, d).sales), "sale_date")
+QUERIES["c11"] = lambda spark, d: V.iso_dates(load(spark, d).inventory, "date")
+QUERIES["c12"] = lambda spark, d: (lambda t: Q.cleaning_report(
+    t.suppliers, t.warehouses, t.raw_products, t.products, t.raw_sales, t.raw_inventory))(load(spark, d))
+QUERIES["k01"] = lambda spark, d: Q.primary_key_violations(_loaded(load(spark, d)))
+QUERIES["k02"] = lambda spark, d: Q.not_null_violations(_loaded(load(spark, d)))
+QUERIES["k03"] = lambda spark, d: Q.check_violations(_loaded(load(spark, d)))
+QUERIES["k03_raw"] = lambda spark, d: Q.check_violations(_raw_as_loaded(load(spark, d)))
+QUERIES["k04"] = lambda spark, d: Q.channel_violations(load(spark, d).sales)
+QUERIES["k05"] = lambda spark, d: Q.foreign_key_violations(_loaded(load(spark, d)))
+QUERIES["k06"] = lambda spark, d: (lambda t: C_.set_null_dangling_supplier(t.products, t.suppliers).select(
+    "product_id", "supplier_id"))(load(spark, d))
+QUERIES["k07"] = lambda spark, d: (lambda s: s.agg(
+    F.count(F.lit(1)).alias("rows"),
+    F.count_if(F.col("revenue") != (F.col("quantity_sold") * F.col("selling_price_per_unit"))).alias("mismatches")))(
+    C_.add_revenue(load(spark, d).sales.drop("revenue")))
+QUERIES["k08"] = lambda spark, d: Q.default_fills(load(spark, d).raw_inventory)
+
+
+# Sources and sinks
+def _csv_tables(spark, d):
+    t = load(spark, d)
+    root = csv_export(spark, d)
+    schemas = {n: df.schema for n, df in _loaded(t).items()}
+    return SF.read_csv_tables(spark, root, schemas=schemas)
+
+
+QUERIES["s01"] = lambda spark, d: SF.row_counts(_csv_tables(spark, d))
+QUERIES["s02"] = lambda spark, d: V.iso_dates(_dbl(_csv_tables(spark, d)["sales"]), "sale_date")
+
+
+def _s03(spark, d):
+    t = load(spark, d)
+    SF.load_tables(spark, _loaded(t))
+    return SF.row_counts({n: spark.table(n) for n in ["suppliers", "warehouses", "products", "sales", "inventory"]})
+
+
+def _s04(spark, d):
+    from shelfwise.session import shared_dir
+    t = load(spark, d)
+    path = shared_dir(spark, "rebuild", spark.sparkContext.applicationId, "products")
+    for _ in range(2):                      # a full rebuild twice leaves one copy
+        SF.write_table(t.products, path)
+    return SF.row_counts({"products": spark.read.parquet(path)})
+
+
+def _views(spark, d):
+    t = load(spark, d)
+    SF.register_views(spark, {
+        "view_product_profitability": V.product_profitability(t.products),
+        "view_supplier_performance": V.supplier_performance(t.suppliers, t.products),
+        "view_current_inventory": _ci(t)})
+
+
+QUERIES["s03"] = _s03
+QUERIES["s04"] = _s04
+QUERIES["s05"] = lambda spark, d: (_views(spark, d), spark.table("view_supplier_performance"))[1]
+QUERIES["s06"] = lambda spark, d: (_views(spark, d), SF.row_counts(
+    {n: spark.table(n) for n in ["view_product_profitability", "view_supplier_performance",
+                                 "view_current_inventory"]}).withColumnRenamed("table_name", "view_name"))[1]
+
+
+# Report-only metrics
+def _recs_full(spark, d):
+    return _recs(spark, d, full=True)
+
+
+QUERIES["p01"] = lambda spark, d: P.p01_stockout_rate(load(spark, d).inventory)
+QUERIES["p02"] = lambda spark, d: P.p02_overstock_capital(_recs(spark, d, full=False), load(spark, d).products)
+QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.sales, t.products))(load(spark, d))
+_q("p04", P.p04_revenue_vs_space, "sales", "warehouses")
+QUERIES["p05"] = lambda spark, d: P.p05_avg_stockout_days(_cur(spark, d))
+QUERIES["p06"] = lambda spark, d: P.p06_transfer_candidates(_recs_full(spark, d))
+_q("p07", P.p07_cost_per_sqft, "sales", "warehouses")
+_q("p08", P.p08_lead_time_range, "products")
+_q("p09", P.p09_single_source_share, "products")
+QUERIES["p10"] = lambda spark, d: P.p10_a_class_share(C.o02_abc(load(spark, d).sales))
+_q("p11", P.p11_category_markup_profit, "sales", "products")
+_q("p12", P.p12_channel_share, "sales")
+_q("p13", P.p13_weekend_uplift, "sales")
+_q("p14", P.p14_low_margin_skus, "products")

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from shelfwise.sources.schema import FK_ORDER, RAW_SCHEMAS
 
 
-def read_csv_tables(spark: SparkSession, directory: str, names=FK_ORDER) -> dict[str, DataFrame]:
-    """Header CSV scan of the five tables with explicit schemas."""
+def read_csv_tables(spark: SparkSession, directory: str, names=FK_ORDER,
+                    schemas: dict | None = None) -> dict[str, DataFrame]:
+    """Header CSV scan of the five tables with explicit schemas
+    (``schemas`` overrides the reference layout, e.g. numeric keys)."""
     out = {}
     for name in names:
-        out[name] = (spark.read.schema(RAW_SCHEMAS[name]())
+        schema = (schemas or {}).get(name) or RAW_SCHEMAS[name]()
+        out[name] = (spark.read.schema(schema)
                      .option("header", True).option("mode", "FAILFAST")
                      .csv(f"{directory}/{name}.csv"))
     return out
