@@ -46,14 +46,11 @@ def attach_products(classified: DataFrame, products: DataFrame) -> DataFrame:
     return classified.join(p, "product_id", "left")
 
 
-def optimization_table(sales: DataFrame, products: DataFrame, ordering_cost: float = ORDERING_COST,
-                       holding_rate: float = HOLDING_RATE, factors=SAFETY_FACTORS) -> DataFrame:
-    """The 23-column inventory optimization table (O01-O13 in one plan)."""
-    t = attach_products(o06_classification(sales), products)
+def add_replenishment(t: DataFrame, ordering_cost: float = ORDERING_COST, holding_rate: float = HOLDING_RATE,
+                      factors=SAFETY_FACTORS) -> DataFrame:
+    """O08, O10-O13 from per-SKU inputs: abc_class, daily_mean, daily_std,
+    unit_cost, lead_time_days, min_order_qty."""
     t = t.withColumn("safety_factor_z", safety_factor(F.col("abc_class"), factors))
-    t = (t.join(daily_demand_stats(sales), "product_id", "left")
-         .withColumn("daily_mean", F.coalesce("daily_mean", F.lit(0.0)))
-         .withColumn("daily_std", F.coalesce("daily_std", F.lit(0.0))))
     # O10
     t = (t.withColumn("annual_demand", F.col("daily_mean") * F.lit(DAYS_PER_YEAR))
           .withColumn("annual_holding_cost_per_unit", F.col("unit_cost") * F.lit(holding_rate)))
@@ -66,7 +63,17 @@ def optimization_table(sales: DataFrame, products: DataFrame, ordering_cost: flo
     ss = F.rint(F.col("safety_factor_z") * F.col("daily_std") * F.sqrt(F.col("lead_time_days")))
     t = t.withColumn("safety_stock", F.coalesce(ss, F.lit(float(DEFAULT_SAFETY_STOCK))).cast("long"))
     rop = F.rint(F.col("daily_mean") * F.col("lead_time_days") + F.col("safety_stock"))
-    t = t.withColumn("rop", F.coalesce(rop, F.lit(float(DEFAULT_ROP))).cast("long"))
+    return t.withColumn("rop", F.coalesce(rop, F.lit(float(DEFAULT_ROP))).cast("long"))
+
+
+def optimization_table(sales: DataFrame, products: DataFrame, ordering_cost: float = ORDERING_COST,
+                       holding_rate: float = HOLDING_RATE, factors=SAFETY_FACTORS) -> DataFrame:
+    """The 23-column inventory optimization table (O01-O13 in one plan)."""
+    t = attach_products(o06_classification(sales), products)                      # O07
+    t = (t.join(daily_demand_stats(sales), "product_id", "left")                    # O09
+         .withColumn("daily_mean", F.coalesce("daily_mean", F.lit(0.0)))
+         .withColumn("daily_std", F.coalesce("daily_std", F.lit(0.0))))
+    t = add_replenishment(t, ordering_cost, holding_rate, factors)
     return t.select("product_id", "revenue", "abc_class", "mean", "std", "cv", "xyz_class", "abc_xyz_segment",
                     *PRODUCT_COLS, "safety_factor_z", "daily_mean", "daily_std", "annual_demand",
                     "annual_holding_cost_per_unit", "eoq", "safety_stock", "rop")
