@@ -42,7 +42,7 @@ def cumulative_revenue(sales: DataFrame, frame: str = "range") -> DataFrame:
     ``frame="range"``: SQL default frame, tied revenues share one value.
     ``frame="rows"``: row-wise running sum, ties broken by product_id.
     The grand total is a scalar subquery over all sales."""
-    order = [F.col("revenue").desc()] + ([F.col("product_id").asc()] if frame == "rows" else [])
+    order = ["-revenue"] + (["product_id"] if frame == "rows" else [])
     total = sales.agg(F.sum("revenue")).scalar()
     return (prefix_sum(sku_revenue(sales), order, {"cum_revenue": "revenue"}, frame=frame)
             .withColumn("total_revenue", total))

@@ -44,7 +44,7 @@ def category_pareto(sales: DataFrame, products: DataFrame, cutoff: float = PARET
            .join(products.select("product_id", "category"), "product_id")
            .groupBy("category").agg(F.sum("r").alias("revenue")))
     total = sales.agg(F.sum("revenue")).scalar()
-    c = prefix_sum(cat, [F.col("revenue").desc(), F.col("category").asc()], {"_cum": "revenue"}, frame="rows")
+    c = prefix_sum(cat, ["-revenue", "category"], {"_cum": "revenue"}, frame="rows")
     cum_pct = round_half_up(ratio("_cum", total) * 100, 6)
     return c.select("category", money("revenue").alias("revenue"), cum_pct.alias("cum_pct"),
                     (ratio("_cum", total) * 100 <= cutoff).alias("within_cutoff"))

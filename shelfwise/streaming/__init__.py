@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline has no streams, watermarks or stateful operators
+(every input is a finished file), so there is nothing to rebuild here.
+"""

@@ -15,9 +15,9 @@ def test_prefix_sum_equals_global_window(spark, frame):
     rng = np.random.default_rng(7)
     vals = rng.integers(0, 50, 3000)            # many ties
     df = spark.createDataFrame([(int(i), int(v)) for i, v in enumerate(vals)], "id long, v long")
-    order = [F.col("v").desc()] + ([F.col("id")] if frame == "rows" else [])
+    order = ["-v"] + (["id"] if frame == "rows" else [])
     got = prefix_sum(df, order, {"cum": "v"}, frame=frame, num_partitions=6)
-    w = Window.orderBy(*order)
+    w = Window.orderBy(*([F.col("v").desc()] + ([F.col("id")] if frame == "rows" else [])))
     w = (w.rangeBetween(Window.unboundedPreceding, 0) if frame == "range"
          else w.rowsBetween(Window.unboundedPreceding, 0))
     exp = df.withColumn("cum", F.sum("v").over(w))
@@ -28,7 +28,7 @@ def test_prefix_sum_equals_global_window(spark, frame):
 
 def test_prefix_sum_ties_share_value(spark):
     df = spark.createDataFrame([(1, 5), (2, 5), (3, 3)], "id long, v long")
-    got = {r["id"]: r["c"] for r in prefix_sum(df, [F.col("v").desc()], {"c": "v"}).collect()}
+    got = {r["id"]: r["c"] for r in prefix_sum(df, ["-v"], {"c": "v"}).collect()}
     assert got == {1: 10, 2: 10, 3: 13}
 
 

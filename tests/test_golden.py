@@ -62,7 +62,7 @@ def test_abc_xyz_classes_match_golden(spark):
     sales_like = rev  # one row per SKU: revenue already aggregated
     total = sales_like.agg(F.sum("revenue")).scalar()
     from shelfwise.functions import prefix_sum, ratio
-    c = prefix_sum(sales_like, [F.col("revenue").desc(), F.col("product_id")], {"cum": "revenue"}, frame="rows")
+    c = prefix_sum(sales_like, ["-revenue", "product_id"], {"cum": "revenue"}, frame="rows")
     got = c.select("product_id", classify.abc_of(ratio("cum", total)).alias("abc")).toPandas().set_index("product_id")
     exp = pdf.set_index("product_id")
     assert (got.loc[exp.index, "abc"] == exp["abc_class"]).all()
