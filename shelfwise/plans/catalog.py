@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning
-from shelfwise.session import shared_dir
+from shelfwise.session import app_id, shared_dir
 from shelfwise.sources import testdata
 from shelfwise.sources.files import write_table
 
@@ -77,7 +77,7 @@ def _write_all(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
     """Tables for ``sf_dir``, written on first use in this application."""
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     key = (app, os.path.abspath(sf_dir))
     with _LOCK:
         if key not in _CACHE:
@@ -99,11 +99,27 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
         return _CACHE[key]
 
 
+def optimization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-SKU optimization table (O14), written once per application
+    like the reference's persisted optimization output; the recommendation
+    step reads it instead of recomputing it."""
+    from shelfwise.operators import replenish
+    t = load(spark, sf_dir)
+    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    root = shared_dir(spark, "derived", app_id(spark), digest)
+    key = ("optimization", root)
+    with _LOCK:
+        if key not in _CACHE:
+            write_table(replenish.optimization_table(t.sales, t.products), f"{root}/inventory_optimization")
+            _CACHE[key] = spark.read.parquet(f"{root}/inventory_optimization")
+        return _CACHE[key]
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> str:
     """The five loaded tables written once as header CSV (overwrite)
     next to the Parquet catalog; returns the folder."""
     t = load(spark, sf_dir)
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
     root = shared_dir(spark, "csv", app, digest)
     key = ("csv", root)

@@ -1,0 +1,71 @@
+"""The decision pipeline: raw -> clean -> optimize -> recommend (+ forecast).
+
+Stages hand over through written tables, as in the reference: cleaned
+tables, the per-SKU optimization table, the per-(SKU, warehouse)
+recommendation table and the forecast evaluation, each overwritten on
+every run (S02/S04).  Run as a module:
+
+    python -m shelfwise.plans.pipeline --sf-dir /root/testdata/sf0.01 --out /path/to/out [--csv]
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfwise.operators import forecast, recommend, replenish
+from shelfwise.operators import cleaning
+from shelfwise.sources.files import write_table
+
+
+def clean(raw: dict[str, DataFrame], category_map: dict | None = None) -> dict[str, DataFrame]:
+    products = cleaning.clean_products(raw["raw_products"], category_map)
+    return {
+        "suppliers": raw["suppliers"],
+        "warehouses": raw["warehouses"],
+        "products": products,
+        "sales": cleaning.clean_sales(raw["raw_sales"], products),
+        "inventory": cleaning.clean_inventory(raw["raw_inventory"]),
+    }
+
+
+def stage(spark: SparkSession, df: DataFrame, path: str, fmt: str, partition_by=None) -> DataFrame:
+    """Write one stage (overwrite) and hand the written table to the next."""
+    write_table(df, path, fmt, partition_by=partition_by if fmt == "parquet" else None)
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, fmt: str = "parquet",
+        category_map: dict | None = None) -> dict[str, str]:
+    """Write every stage; later stages read the written output of earlier ones."""
+    t = {name: stage(spark, df, f"{out}/{name}", fmt, ["date"] if name == "inventory" else None)
+         for name, df in clean(raw, category_map).items()}
+    opt = stage(spark, replenish.optimization_table(t["sales"], t["products"]),
+                f"{out}/inventory_optimization", fmt)
+    stage(spark, recommend.recommendations(t["inventory"], t["warehouses"], t["suppliers"], opt),
+          f"{out}/inventory_recommendations", fmt)
+    stage(spark, forecast.evaluation(t["sales"]), f"{out}/forecast_evaluation", fmt)
+    names = list(t) + ["inventory_optimization", "inventory_recommendations", "forecast_evaluation"]
+    return {n: f"{out}/{n}" for n in names}
+
+
+def main() -> None:
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--csv", action="store_true")
+    a = ap.parse_args()
+    from shelfwise.session import get_session
+    from shelfwise.sources import testdata
+    spark = get_session()
+    paths = run(spark, testdata.raw_tables(spark, a.sf_dir), a.out, "csv" if a.csv else "parquet",
+                testdata.TEST_CATEGORY_MAP)
+    for k, v in paths.items():
+        print(k, v)
+
+
+if __name__ == "__main__":
+    main()

@@ -22,7 +22,7 @@ from shelfwise.operators import sales as S
 from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import views as V
-from shelfwise.plans.catalog import load
+from shelfwise.plans.catalog import load, optimization
 from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,9 +138,9 @@ QUERIES["o14"] = lambda spark, d: _r6(_opt(spark, d), "std", "cv", "daily_std")
 
 # Health score and recommendations
 def _recs(spark, d, full=True):
+    """Recommendations read the persisted optimization table."""
     t = load(spark, d)
-    return RC.recommendations(t.inventory, t.warehouses, t.suppliers,
-                              RP.optimization_table(t.sales, t.products), full=full)
+    return RC.recommendations(t.inventory, t.warehouses, t.suppliers, optimization(spark, d), full=full)
 
 
 def _cur(spark, d):
@@ -290,9 +290,9 @@ def _s03(spark, d):
 
 
 def _s04(spark, d):
-    from shelfwise.session import shared_dir
+    from shelfwise.session import app_id, shared_dir
     t = load(spark, d)
-    path = shared_dir(spark, "rebuild", spark.sparkContext.applicationId, "products")
+    path = shared_dir(spark, "rebuild", app_id(spark), "products")
     for _ in range(2):                      # a full rebuild twice leaves one copy
         SF.write_table(t.products, path)
     return SF.row_counts({"products": spark.read.parquet(path)})

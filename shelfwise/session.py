@@ -49,7 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder; it is always honoured.  Only when nothing is configured (unit
     tests, a laptop) do we fall back to a fresh folder under /tmp.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the server's setting applies
+        sc = None
+    if sc is None:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a remote session")
+        return conf_dir
     cur = sc.getCheckpointDir()
     if cur:
         return cur
@@ -60,6 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (session id on Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(getattr(spark, "session_id", "remote"))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

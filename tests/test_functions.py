@@ -65,3 +65,17 @@ def test_top_k_deterministic_ties(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(30)], "id long, v long")
     got = [r["id"] for r in top_k(df, [F.desc("v"), "id"], 4).collect()]
     assert got == [2, 5, 8, 11]
+
+
+def test_pipeline_writes_every_stage(spark, tmp_path):
+    from conftest import SF_SMALL
+    from shelfwise.plans import pipeline
+    from shelfwise.sources import testdata
+    paths = pipeline.run(spark, testdata.raw_tables(spark, SF_SMALL), str(tmp_path / "out"), "csv",
+                         testdata.TEST_CATEGORY_MAP)
+    assert set(paths) == {"suppliers", "warehouses", "products", "sales", "inventory", "inventory_optimization",
+                          "inventory_recommendations", "forecast_evaluation"}
+    recs = spark.read.option("header", True).csv(paths["inventory_recommendations"])
+    assert len(recs.columns) == 17 and recs.count() > 0
+    ev = spark.read.option("header", True).csv(paths["forecast_evaluation"])
+    assert sorted(r["model"] for r in ev.collect()) == ["ARIMA", "LR", "MA"]
