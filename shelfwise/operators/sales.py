@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions import avg_money, band, money, pct, round_half_up, top_k
+from shelfwise.functions import avg_money, band, money, pct, prefix_sum, round_half_up, top_k
 from shelfwise.sources.files import row_counts
 
 MONTH = "yyyy-MM"
@@ -193,18 +193,17 @@ def q30_quantity_percentile(sales: DataFrame, k: int = 15) -> DataFrame:
     """PERCENT_RANK over all sales, reported for the top-k quantities.
 
     percent_rank = (#rows with a smaller quantity) / (n - 1).  Instead of a
-    global window over every sale, count rows per distinct quantity
-    (partial aggregation) and sum the counts below each of the <= k
-    reported quantities (a broadcast side of at most k rows)."""
+    global window over every sale: count rows per distinct quantity (partial
+    aggregation), take the running count over quantities (``prefix_sum``),
+    and look the k reported quantities up in it with an equi-join."""
     top = top_k(sales.select("sale_id", "product_id", "quantity_sold"),
                 [F.desc("quantity_sold"), "sale_id", "product_id"], k)
     n = sales.agg(F.count(F.lit(1))).scalar()
-    hist = sales.groupBy(F.col("quantity_sold").alias("_q")).agg(F.count(F.lit(1)).alias("_c"))
-    qs = top.select(F.col("quantity_sold").alias("_tq")).distinct()
-    below = (hist.join(F.broadcast(qs), F.col("_q") < F.col("_tq"), "right")
-             .groupBy("_tq").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_below")))
+    hist = sales.groupBy("quantity_sold").agg(F.count(F.lit(1)).alias("_c"))
+    below = (prefix_sum(hist, ["quantity_sold"], {"_upto": "_c"})
+             .select("quantity_sold", (F.col("_upto") - F.col("_c")).alias("_below")))
     pr = F.when(n > 1, F.col("_below") / (n - 1)).otherwise(F.lit(0.0))
-    return (top.join(below, F.col("quantity_sold") == F.col("_tq"))
+    return (top.join(below, "quantity_sold")
             .select("sale_id", "product_id", "quantity_sold",
                     (round_half_up(pr, 4) * 100).alias("quantity_percentile")))
 

@@ -10,7 +10,8 @@ Scale notes: every join key is a large-table key, so joins are left to
 the planner (AQE broadcasts a side only when its measured size is under
 the threshold).  The snapshot grid (date x SKU x warehouse) is built by
 exploding two bounded arrays -- the snapshot dates inside a fixed 60-day
-window and the region keys -- next to each part row, not by a cross join.
+window and the region keys -- next to each part row, not by a cross join;
+the daily sold units join it inside the running-stock window itself.
 """
 
 from __future__ import annotations
@@ -104,16 +105,22 @@ def raw_inventory(b) -> DataFrame:
 
     grid = (b["part"].select("p_partkey", "p_size", F.explode(regions).alias("rk"))
             .select(F.col("p_partkey").alias("pk"), "rk", "p_size", F.explode(dates).alias("snap"))
-            .withColumn("opening", (F.col("pk") * 37 + F.col("rk") * 101) % 200))
+            .withColumn("opening", (F.col("pk") * 37 + F.col("rk") * 101) % 200)
+            .withColumn("q", F.lit(0.0)))
 
     sold = (_line_region(b).where(in_window)
             .groupBy(ship.alias("snap"), F.col("l_partkey").alias("pk"), F.col("n_regionkey").alias("rk"))
             .agg(F.sum("l_quantity").alias("q")))
 
+    # Stock left = opening - units sold up to and including the snapshot date.
+    # The sold rows ride along in the same (SKU, warehouse) window as the
+    # grid rows (RANGE frame on the date), so the grid is shuffled once.
     w = (Window.partitionBy("pk", "rk").orderBy("snap")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    oh = F.greatest(F.lit(0), F.col("opening") - F.sum(F.coalesce(F.col("q"), F.lit(0))).over(w)).cast("bigint")
-    g = grid.join(sold, ["snap", "pk", "rk"], "left").withColumn("oh", oh)
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = grid.withColumn("_grid", F.lit(True)).unionByName(
+        sold.withColumn("_grid", F.lit(False)), allowMissingColumns=True)
+    oh = F.greatest(F.lit(0), F.col("opening") - F.sum("q").over(w)).cast("bigint")
+    g = rows.withColumn("oh", oh).where("_grid")
     return g.selectExpr(
         "snap AS date", "pk AS product_id", "concat('WH0', CAST(rk + 1 AS STRING)) AS warehouse_id",
         "CASE WHEN (pk * 5 + rk) % 401 = 0 THEN -5 ELSE oh END AS stock_on_hand",
