@@ -3,5 +3,5 @@
 from shelfwise.functions.numeric import (  # noqa: F401
     half_even, round_half_up, ratio, pct, money, as_double, avg_money,
 )
-from shelfwise.functions.bands import band  # noqa: F401
+from shelfwise.functions.bands import band, fill  # noqa: F401
 from shelfwise.functions.ordering import top_k, prefix_sum  # noqa: F401

@@ -24,3 +24,16 @@ def band(x: Column, rules: Sequence[tuple[Column | None, object]]) -> Column:
     if expr is None:
         return default
     return expr.otherwise(default) if default is not None else expr
+
+
+def fill(template: str, **cols: Column) -> Column:
+    """Render a text template such as ``"Order {eoq} units."`` as a
+    ``concat`` of its literal parts and the given columns (cast to string)."""
+    import string
+    parts = []
+    for literal, field, _, _ in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if field is not None:
+            parts.append(cols[field].cast("string"))
+    return F.concat(*parts) if len(parts) > 1 else parts[0]

@@ -19,6 +19,7 @@ from shelfwise.operators.sales import month_of
 ABC_BANDS = (0.70, 0.90)
 XYZ_BANDS = (0.25, 0.60)
 XYZ_BANDS_MATRIX = (0.35, 0.70)   # the ABC-XYZ matrix query uses wider bands
+XYZ_LABELS = ["X (Stable)", "Y (Variable)", "Z (Highly Erratic)"]
 
 
 def abc_of(share, bands=ABC_BANDS):
@@ -68,7 +69,7 @@ def q40_xyz(sales: DataFrame, products: DataFrame, k: int = 15, bands=XYZ_BANDS)
     st = monthly_demand_stats(sales).where(F.col("mean") > 0)
     cv = F.try_divide(F.col("std"), F.col("mean"))
     x, y = bands
-    label = band(cv, [(cv < x, "X (Stable)"), (cv.between(x, y), "Y (Variable)"), (None, "Z (Highly Erratic)")])
+    label = band(cv, [(cv < x, XYZ_LABELS[0]), (cv.between(x, y), XYZ_LABELS[1]), (None, XYZ_LABELS[2])])
     out = (st.join(products.select("product_id", "product_name", "category"), "product_id")
            .select("product_id", "product_name", "category",
                    round_half_up("mean", 1).alias("avg_monthly_demand"),

@@ -13,16 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import band, half_even
+from shelfwise.functions import band, fill, half_even
 from shelfwise.operators.views import latest_snapshot
 
-# Score weights, bands and labels of the health score.
+# Score weights, bands, labels and message texts of the
+# health score, the recommendation and the supplier risk.
 WEIGHTS = (0.40, 0.30, 0.30)            # availability, turnover, cost
 HEALTH_LABELS = [(85, "Excellent"), (70, "Good"), (50, "Needs Attention")]
 HEALTH_ELSE = "Critical"
 OVERSTOCK_FACTOR = 4                    # stock above 4 x safety stock is overstock
 RISK_RELIABILITY = 0.85
 RISK_RATING = 3.8
+MSG_STOCKOUT = "CRITICAL: Out of stock! Place emergency order of size {eoq} units immediately."
+MSG_REORDER = "Reorder Alert: Stock is below Reorder Point ({rop}). Order {eoq} units."
+MSG_PENDING = "Pending Replenishment: Stock is below ROP, but order of {on_order} units is in transit."
+MSG_OVERSTOCK = ("Overstocked: Current stock ({stock}) is far above Safety Stock ({ss}). "
+                 "Halt procurement; run markdown campaigns.")
+MSG_OPTIMAL = "Optimal: Inventory levels are healthy. No action required."
+RISK_HIGH = "High Risk (Supplier reliability is {pct}%). Evaluate alternative vendors."
+RISK_MEDIUM = "Medium Risk (Supplier rating: {rating}). Review service-level agreement."
+RISK_LOW = "Low Risk"
 
 OUTPUT_COLS = ["product_id", "product_name", "category", "warehouse_name", "stock_on_hand", "stock_allocated",
                "stock_on_order", "rop", "eoq", "safety_stock", "stockout_days", "stock_availability_pct",
@@ -70,38 +80,28 @@ def health_label(score):
 
 
 def _s(c):
-    return c.cast("long").cast("string")
+    return c.cast("long")
 
 
 def recommendation(stock, rop, on_order, ss, eoq, overstock: int = OVERSTOCK_FACTOR):
     """First matching rule of five.  EOQ is coalesced to 0 for a SKU
     without parameters (the reference would fail on int(NaN) there)."""
-    eoq0 = F.coalesce(eoq, F.lit(0))
+    eoq0 = _s(F.coalesce(eoq, F.lit(0)))
     return band(stock, [
-        (stock == 0, F.concat(F.lit("CRITICAL: Out of stock! Place emergency order of size "), _s(eoq0),
-                              F.lit(" units immediately."))),
-        ((stock < rop) & (on_order == 0),
-         F.concat(F.lit("Reorder Alert: Stock is below Reorder Point ("), _s(rop), F.lit("). Order "), _s(eoq0),
-                  F.lit(" units."))),
-        (stock < rop, F.concat(F.lit("Pending Replenishment: Stock is below ROP, but order of "), _s(on_order),
-                               F.lit(" units is in transit."))),
-        (stock > ss * overstock,
-         F.concat(F.lit("Overstocked: Current stock ("), _s(stock), F.lit(") is far above Safety Stock ("), _s(ss),
-                  F.lit("). Halt procurement; run markdown campaigns."))),
-        (None, F.lit("Optimal: Inventory levels are healthy. No action required.")),
+        (stock == 0, fill(MSG_STOCKOUT, eoq=eoq0)),
+        ((stock < rop) & (on_order == 0), fill(MSG_REORDER, rop=_s(rop), eoq=eoq0)),
+        (stock < rop, fill(MSG_PENDING, on_order=_s(on_order))),
+        (stock > ss * overstock, fill(MSG_OVERSTOCK, stock=_s(stock), ss=_s(ss))),
+        (None, F.lit(MSG_OPTIMAL)),
     ])
 
 
 def supplier_risk(reliability, rating):
     """Reliability below 85 % is high risk (percentage truncated to int)."""
     return band(reliability, [
-        (reliability < RISK_RELIABILITY,
-         F.concat(F.lit("High Risk (Supplier reliability is "), (reliability * 100).cast("int").cast("string"),
-                  F.lit("%). Evaluate alternative vendors."))),
-        (rating < RISK_RATING,
-         F.concat(F.lit("Medium Risk (Supplier rating: "), rating.cast("string"),
-                  F.lit("). Review service-level agreement."))),
-        (None, F.lit("Low Risk")),
+        (reliability < RISK_RELIABILITY, fill(RISK_HIGH, pct=(reliability * 100).cast("int"))),
+        (rating < RISK_RATING, fill(RISK_MEDIUM, rating=rating)),
+        (None, F.lit(RISK_LOW)),
     ])
 
 

@@ -18,6 +18,10 @@ from shelfwise.sources.files import row_counts
 
 MONTH = "yyyy-MM"
 
+# Labels of the day types and basket-size bands.
+WEEKEND, WEEKDAY = "Weekend", "Weekday"
+BASKETS = ["Single Unit (1)", "Small Basket (2-5)", "Medium Basket (6-10)", "Bulk Order (>10)"]
+
 
 def month_of(col: str = "sale_date"):
     return F.date_format(F.col(col), MONTH)
@@ -97,7 +101,7 @@ def q09_category_margin(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def q10_weekday_weekend(sales: DataFrame) -> DataFrame:
-    day_type = F.when(F.dayofweek("sale_date").isin(1, 7), "Weekend").otherwise("Weekday")
+    day_type = F.when(F.dayofweek("sale_date").isin(1, 7), WEEKEND).otherwise(WEEKDAY)
     g = sales.groupBy(day_type.alias("day_type")).agg(
         F.count("sale_id").alias("total_orders"), F.sum("quantity_sold").alias("units_sold"),
         F.sum("revenue").alias("_rev"), F.count("revenue").alias("_n"))
@@ -218,8 +222,8 @@ def q31_first_last_sale(sales: DataFrame, k: int = 10) -> DataFrame:
 
 
 def basket_band(q):
-    return band(q, [(q == 1, "Single Unit (1)"), (q.between(2, 5), "Small Basket (2-5)"),
-                    (q.between(6, 10), "Medium Basket (6-10)"), (None, "Bulk Order (>10)")])
+    return band(q, [(q == 1, BASKETS[0]), (q.between(2, 5), BASKETS[1]), (q.between(6, 10), BASKETS[2]),
+                    (None, BASKETS[3])])
 
 
 def q32_basket_bands(sales: DataFrame) -> DataFrame:

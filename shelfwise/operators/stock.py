@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions import band, money, pct, ratio, round_half_up, top_k
 from shelfwise.operators.sales import per_product
 
+# Pivoted warehouse ids, stock-status and movement labels.
 WAREHOUSES = ["WH01", "WH02", "WH03", "WH04", "WH05"]
+STATUS = ["1. Out of Stock", "2. Understocked", "3. Healthy", "4. Overstocked"]
+MOVEMENT = ["Dead Stock (>90 Days)", "Slow Moving (30-90 Days)", "Active"]
 
 
 def _costed(ci: DataFrame, products: DataFrame) -> DataFrame:
@@ -65,8 +68,8 @@ def q20_stock_by_warehouse(ci, k: int = 15, warehouses=WAREHOUSES) -> DataFrame:
 
 
 def stock_status(on_hand):
-    return band(on_hand, [(on_hand == 0, "1. Out of Stock"), (on_hand < 20, "2. Understocked"),
-                          (on_hand > 300, "4. Overstocked"), (None, "3. Healthy")])
+    return band(on_hand, [(on_hand == 0, STATUS[0]), (on_hand < 20, STATUS[1]), (on_hand > 300, STATUS[3]),
+                          (None, STATUS[2])])
 
 
 def q21_stock_status(ci) -> DataFrame:
@@ -136,8 +139,7 @@ def q36_reorder_alerts(ci, sales, products, days: float = 365.0, safety_days: fl
 
 
 def movement_class(days):
-    return band(days, [(days > 90, "Dead Stock (>90 Days)"), (days > 30, "Slow Moving (30-90 Days)"),
-                       (None, "Active")])
+    return band(days, [(days > 90, MOVEMENT[0]), (days > 30, MOVEMENT[1]), (None, MOVEMENT[2])])
 
 
 def q37_slow_dead_stock(ci, sales, products, min_days: int = 30, k: int = 15) -> DataFrame:

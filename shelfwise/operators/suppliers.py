@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import avg_money, band, money, ratio, round_half_up
 
+# Supplier score weights and status labels.
+SCORE_WEIGHTS = (60.0, 8.0)             # reliability, rating
+SUPPLIER_STATUS = ["Preferred Partner", "Satisfactory", "High Risk / Under Review"]
 
-def supplier_score(reliability, rating, w_rel: float = 60.0, w_rating: float = 8.0):
+
+def supplier_score(reliability, rating, w_rel: float = SCORE_WEIGHTS[0], w_rating: float = SCORE_WEIGHTS[1]):
     return reliability * F.lit(w_rel) + rating * F.lit(w_rating)
 
 
 def q42_supplier_scorecard(suppliers: DataFrame) -> DataFrame:
     """Scores in (84, 85) fall through both bands to High Risk, as written."""
     s = supplier_score(F.col("reliability_score"), F.col("rating"))
-    status = band(s, [(s >= 85, "Preferred Partner"), (s.between(70, 84), "Satisfactory"),
-                      (None, "High Risk / Under Review")])
+    status = band(s, [(s >= 85, SUPPLIER_STATUS[0]), (s.between(70, 84), SUPPLIER_STATUS[1]),
+                      (None, SUPPLIER_STATUS[2])])
     return (suppliers.select("supplier_id", "supplier_name", "rating", "reliability_score",
                              round_half_up(s, 1).alias("supplier_health_score"), status.alias("supplier_risk_status"))
             .orderBy(F.desc("supplier_health_score")))
