@@ -195,6 +195,21 @@ QUERIES["f10"] = lambda spark, d: _wk(FC.comparison_series(load(spark, d).sales)
     "value", round_half_up("value", 6))
 
 
+def _sales_by_category(spark, d):
+    t = load(spark, d)
+    return t.sales.join(t.products.select("product_id", "category"), "product_id")
+
+
+def _f06_by_category(spark, d):
+    s = FC.split(FC.fill_weeks(FC.weekly_demand(_sales_by_category(spark, d), ["category"]), ["category"]))
+    return FC.arima_params(s, ["category"])
+
+
+# The same forecasting plan, one series per category (the scale axis).
+QUERIES["f06_by_category"] = _f06_by_category
+QUERIES["f09_by_category"] = lambda spark, d: FC.report(_sales_by_category(spark, d), ["category"])
+
+
 # EDA datasets
 from shelfwise.operators import eda as E          # noqa: E402
 from shelfwise.operators import metrics as P      # noqa: E402
