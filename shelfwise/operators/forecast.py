@@ -153,25 +153,22 @@ def arima_path(h, phi, theta, last_d, last_e, last_y):
     return last_y + acc["cum"]
 
 
-TOTAL_KEY = "_series"
-
-
-def _keyed(sales: DataFrame, group_cols):
-    """With no grouping the whole table is one series under a constant key,
-    so every later join is an equi-join on the series key."""
-    if group_cols:
-        return sales, list(group_cols)
-    return sales.withColumn(TOTAL_KEY, F.lit("total")), [TOTAL_KEY]
-
-
-def _unkey(df: DataFrame, group_cols) -> DataFrame:
-    return df if group_cols else df.drop(TOTAL_KEY)
+def attach(df: DataFrame, params: DataFrame, group_cols) -> DataFrame:
+    """Attach per-series parameters: an equi-join on the series key, or --
+    for the single total series -- the one parameter row as a scalar
+    struct subquery (no join at all)."""
+    g = list(group_cols)
+    if g:
+        return df.join(params, g, "left")
+    row = params.select(F.struct(*params.columns).alias("_p")).scalar()
+    return df.select("*", *[row[c].alias(c) for c in params.columns])
 
 
 def _forecasts(sales: DataFrame, g, test_weeks: int):
     s = split(fill_weeks(weekly_demand(sales, g), g), test_weeks)
-    p = ma_params(s, g).join(lr_params(s, g), g, "full").join(arima_params(s, g), g, "left")
-    test = s.where(F.col("is_test")).join(p, g, "left")
+    test = s.where(F.col("is_test"))
+    for params in (ma_params(s, g), lr_params(s, g), arima_params(s, g)):
+        test = attach(test, params, g)
     h = F.col("t") - (F.col("n") - test_weeks) + 1
     lr = F.col("intercept") + F.col("slope") * F.col("t")
     arima = arima_path(h, F.col("phi"), F.col("theta"), F.col("last_d"), F.col("last_e"), F.col("last_y"))
@@ -182,8 +179,7 @@ def _forecasts(sales: DataFrame, g, test_weeks: int):
 
 def forecasts(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS) -> DataFrame:
     """Test weeks with actual demand and the three forecasts."""
-    sales, g = _keyed(sales, group_cols)
-    return _unkey(_forecasts(sales, g, test_weeks)[1], group_cols)
+    return _forecasts(sales, list(group_cols), test_weeks)[1]
 
 
 def long_form(fc: DataFrame, group_cols=()) -> DataFrame:
@@ -197,37 +193,36 @@ def long_form(fc: DataFrame, group_cols=()) -> DataFrame:
 def evaluation(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS) -> DataFrame:
     """MAE, RMSE and MAPE (%) per model; MAPE divides by max(1, actual).
     Rounded half-even to 2 places like the reference report."""
-    sales, gk = _keyed(sales, group_cols)
+    gk = list(group_cols)
     lf = long_form(_forecasts(sales, gk, test_weeks)[1], gk)
     err = F.col("actual") - F.col("forecast")
     g = lf.groupBy(*gk, "model").agg(
         F.avg(F.abs(err)).alias("_mae"), F.avg(err * err).alias("_mse"),
         F.avg(F.abs(err) / F.greatest(F.lit(1.0), F.col("actual"))).alias("_mape"))
-    return _unkey(g.select(*gk, "model", half_even("_mae", 2).alias("mae"),
-                           half_even(F.sqrt("_mse"), 2).alias("rmse"),
-                           half_even(F.col("_mape") * 100, 2).alias("mape")), group_cols)
+    return g.select(*gk, "model", half_even("_mae", 2).alias("mae"), half_even(F.sqrt("_mse"), 2).alias("rmse"),
+                    half_even(F.col("_mape") * 100, 2).alias("mape"))
 
 
 def report(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS) -> DataFrame:
     """one row per model with flags for the best model on each metric
     (ties broken by model name)."""
-    sales, gk = _keyed(sales, group_cols)
+    gk = list(group_cols)
     out = evaluation(sales, gk, test_weeks)
-    w = Window.partitionBy(*gk)    # one small partition per series (3 rows)
+    w = Window.partitionBy(*gk)    # three rows per series
     for m in ["mae", "rmse", "mape"]:
         best = F.min_by("model", F.struct(F.col(m), F.col("model"))).over(w)
         out = out.withColumn(f"best_{m}", best == F.col("model"))
-    return _unkey(out, group_cols)
+    return out
 
 
 def comparison_series(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS,
                       history: int = HISTORY_WEEKS) -> DataFrame:
     """last ``history`` training weeks, the test weeks and the three
     forecasts in long form (week, series, value)."""
-    sales, g = _keyed(sales, group_cols)
+    g = list(group_cols)
     s, fc = _forecasts(sales, g, test_weeks)
     train = (s.where(~F.col("is_test") & (F.col("t") >= F.col("n") - test_weeks - history))
              .select(*g, "week", F.lit("train").alias("series"), F.col("demand").cast("double").alias("value")))
     test = fc.select(*g, "week", F.lit("test").alias("series"), F.col("actual").alias("value"))
     models = long_form(fc, g).select(*g, "week", F.col("model").alias("series"), F.col("forecast").alias("value"))
-    return _unkey(train.unionByName(test).unionByName(models), group_cols)
+    return train.unionByName(test).unionByName(models)

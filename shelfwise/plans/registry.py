@@ -185,8 +185,7 @@ QUERIES["f02"] = lambda spark, d: _wk(FC.fill_weeks(FC.weekly_demand(load(spark,
 QUERIES["f03"] = lambda spark, d: _wk(_split(spark, d))
 QUERIES["f04"] = lambda spark, d: FC.ma_params(_split(spark, d))
 QUERIES["f05"] = lambda spark, d: FC.lr_params(_split(spark, d))
-QUERIES["f06"] = lambda spark, d: FC.arima_params(
-    _split(spark, d).withColumn(FC.TOTAL_KEY, F.lit("total")), [FC.TOTAL_KEY]).drop(FC.TOTAL_KEY)
+QUERIES["f06"] = lambda spark, d: FC.arima_params(_split(spark, d))
 QUERIES["f07"] = lambda spark, d: _wk(FC.forecasts(load(spark, d).sales)).withColumn(
     "forecast_lr", round_half_up("forecast_lr", 6)).withColumn("forecast_arima", round_half_up("forecast_arima", 6))
 QUERIES["f08"] = lambda spark, d: FC.evaluation(load(spark, d).sales)
