@@ -36,10 +36,13 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def _running(df: DataFrame, order: Sequence[str], vals: dict, frame: str, n: int) -> DataFrame:
+def _running(df: DataFrame, order: Sequence[str], vals: dict, frame: str, n: int | None) -> DataFrame:
     """Running sums of ``vals`` over ``order`` with per-partition offsets."""
     order = [_sort(o) for o in order]
-    ranged = (df.repartitionByRange(n, *order)
+    # Without an explicit count AQE sizes the range partitions from the data;
+    # the checkpoint then pins whichever partition ids this run produced.
+    parted = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    ranged = (parted
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
     totals = ranged.groupBy("_pid").agg(*[F.sum(k).alias(f"_t_{k}") for k in vals])
@@ -70,9 +73,8 @@ def prefix_sum(df: DataFrame, order: Sequence[str], sums: Mapping[str, Column |
     """
     if frame not in ("range", "rows"):
         raise ValueError(f"frame must be 'range' or 'rows', not {frame!r}")
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    n = num_partitions
     vals = {name: (F.col(v) if isinstance(v, str) else v) for name, v in sums.items()}
     inputs = {f"_v_{k}": v for k, v in vals.items()}
     base = df.select("*", *[v.alias(k) for k, v in inputs.items()])
