@@ -64,8 +64,11 @@ def snapshot_layout(df: DataFrame, spark: SparkSession) -> DataFrame:
     data so each file stays a few hundred MB).  A hash exchange needs no
     sampling pass over the input, unlike range partitioning."""
     k = int(spark.conf.get(FILES_PER_DATE, "1"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64("product_id"), F.lit(k))
-    return df.repartition("date", bucket)          # AQE may coalesce; a date stays in one task
+    # Each (date, bucket) lands in exactly one of the n partitions, so n sets
+    # the write parallelism, not the file count (dates x buckets).
+    return df.repartition(n, "date", bucket)
 
 
 def _write_all(spark: SparkSession, sf_dir: str, root: str) -> None:
