@@ -41,10 +41,21 @@ def week_ending_sunday(col: str = "sale_date"):
     return F.date_add(F.date_trunc("week", F.col(col)).cast("date"), 6)
 
 
-def weekly_demand(sales: DataFrame, group_cols=()) -> DataFrame:
-    """units per (group, week ending Sunday)."""
-    return (sales.groupBy(*group_cols, week_ending_sunday().alias("week"))
-            .agg(F.sum("quantity_sold").alias("demand")))
+def weekly_demand(sales: DataFrame, group_cols=(), drop_partial: bool = False) -> DataFrame:
+    """units per (group, week ending Sunday).
+
+    ``drop_partial=True`` removes a group's first week when its first sale
+    is after that week's Monday and its last week when its last sale is
+    before that week's Sunday (the reference keeps both)."""
+    weekly = (sales.groupBy(*group_cols, week_ending_sunday().alias("week"))
+              .agg(F.sum("quantity_sold").alias("demand")))
+    if not drop_partial:
+        return weekly
+    span = sales.groupBy(*group_cols).agg(F.min("sale_date").alias("_d0"), F.max("sale_date").alias("_d1"))
+    first_partial = (F.col("week") == week_ending_sunday("_d0")) & (F.date_sub("week", 6) < F.col("_d0"))
+    last_partial = (F.col("week") == week_ending_sunday("_d1")) & (F.col("week") > F.col("_d1"))
+    return (attach(weekly, span, group_cols).where(~first_partial & ~last_partial)
+            .select(*group_cols, "week", "demand"))
 
 
 def fill_weeks(weekly: DataFrame, group_cols=()) -> DataFrame:

@@ -108,10 +108,11 @@ def supplier_risk(reliability, rating):
 def recommendations(inventory: DataFrame, warehouses: DataFrame, suppliers: DataFrame,
                     optimization: DataFrame, weights=WEIGHTS, full: bool = False) -> DataFrame:
     """The 17-column recommendation table (``full`` keeps the
-    warehouse id and the intermediate scores as well)."""
-    opt = optimization.select("product_id", "product_name", "category", "rop", "eoq", "safety_stock",
-                              "supplier_id")
-    t = current_status(inventory, warehouses).join(opt, "product_id", "left")          # R05
+    warehouse id and the intermediate scores as well).  An optimization
+    table built ``by_warehouse`` is joined on (SKU, warehouse)."""
+    keys = ["product_id", "warehouse_id"] if "warehouse_id" in optimization.columns else ["product_id"]
+    opt = optimization.select(*keys, "product_name", "category", "rop", "eoq", "safety_stock", "supplier_id")
+    t = current_status(inventory, warehouses).join(opt, keys, "left")                 # R05
     stock, rop, ss = F.col("stock_on_hand"), F.col("rop"), F.col("safety_stock")
     t = (t.withColumn("turnover_score", turnover_score(stock, rop))
           .withColumn("cost_score", cost_score(stock, ss)))

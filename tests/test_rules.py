@@ -91,3 +91,37 @@ def test_abc_range_frame_ties(spark):
                                   "product_id long, revenue decimal(18,2)")
     got = {r["product_id"]: r["cumulative_share_pct"] for r in classify.q39_abc(sales).collect()}
     assert got == {1: 41.67, 2: 91.67, 3: 91.67, 4: 100.0}
+
+
+def test_by_warehouse_demand_changes_grain(spark):
+    import datetime as dt
+    from shelfwise.operators import replenish
+    d = dt.date(2024, 1, 1)
+    rows = [(1, "WH01", d, 5), (1, "WH01", d + dt.timedelta(1), 7),
+            (2, "WH01", d, 4), (2, "WH02", d, 6), (2, "WH02", d + dt.timedelta(2), 2)]
+    sales = spark.createDataFrame(rows, "product_id long, warehouse_id string, sale_date date, quantity_sold int") \
+        .withColumn("revenue", (F.col("quantity_sold") * F.lit(Decimal("10.00"))).cast("decimal(18,2)"))
+    products = spark.createDataFrame(
+        [(1, "a", "x", Decimal("10.00"), Decimal("6.00"), 1, 4, 10), (2, "b", "x", Decimal("10.00"), Decimal("6.00"), 1, 9, 50)],
+        "product_id long, product_name string, category string, unit_price decimal(12,2), unit_cost decimal(12,2), "
+        "supplier_id long, lead_time_days int, min_order_qty int")
+    pooled = {r["product_id"]: r for r in replenish.optimization_table(sales, products).collect()}
+    per_wh = {(r["product_id"], r["warehouse_id"]): r
+              for r in replenish.optimization_table(sales, products, by_warehouse=True).collect()}
+    assert set(per_wh) == {(1, "WH01"), (2, "WH01"), (2, "WH02")}
+    for c in ["daily_mean", "daily_std", "eoq", "safety_stock", "rop"]:      # one warehouse: same numbers
+        assert per_wh[(1, "WH01")][c] == pooled[1][c]
+    assert pooled[2]["daily_mean"] == 6.0 and per_wh[(2, "WH02")]["daily_mean"] == 4.0
+    assert per_wh[(2, "WH01")]["abc_class"] == pooled[2]["abc_class"]       # classes stay per SKU
+
+
+def test_drop_partial_weeks(spark):
+    from shelfwise.operators import forecast
+    import datetime as dt
+    # Wed 2024-01-03 .. Fri 2024-01-19: first and last weeks are partial
+    days = [dt.date(2024, 1, 3) + dt.timedelta(days=i) for i in range(17)]
+    sales = spark.createDataFrame([(d, 1) for d in days], "sale_date date, quantity_sold int")
+    full = {r["week"]: r["demand"] for r in forecast.weekly_demand(sales).collect()}
+    trimmed = {r["week"]: r["demand"] for r in forecast.weekly_demand(sales, drop_partial=True).collect()}
+    assert sorted(full) == [dt.date(2024, 1, 7), dt.date(2024, 1, 14), dt.date(2024, 1, 21)]
+    assert trimmed == {dt.date(2024, 1, 14): 7}
