@@ -80,3 +80,45 @@ def test_golden_schema_is_23_columns():
         "safety_factor_z", "daily_mean", "daily_std", "annual_demand", "annual_holding_cost_per_unit", "eoq",
         "safety_stock", "rop"]
     assert T  # types module used by other tests
+
+
+def test_reference_csv_layout_end_to_end(spark, tmp_path):
+    """S01 on the reference's CSV layout (string ids), then clean -> optimize -> recommend."""
+    import shutil
+    from shelfwise.operators import recommend
+    from shelfwise.plans import pipeline
+    from shelfwise.sources.files import read_csv_tables
+    d = tmp_path / "raw"
+    d.mkdir()
+    for src, name in [("golden_suppliers.csv", "suppliers"), ("golden_warehouses.csv", "warehouses"),
+                      ("golden_products_raw.csv", "products")]:
+        (d / f"{name}.csv").mkdir()
+        shutil.copy(os.path.join(FIXTURES, src), d / f"{name}.csv" / "part-0.csv")
+    (d / "sales.csv").mkdir()
+    (d / "sales.csv" / "part-0.csv").write_text(
+        "sale_id,sale_date,product_id,warehouse_id,quantity_sold,selling_price_per_unit,channel\n"
+        "TXN000001,2024-01-01,PROD0001,WH01,3,400.23,Online\n"
+        "TXN000001,2024-01-01,PROD0001,WH01,3,400.23,Online\n"
+        "TXN000002,2024-01-02,PROD0001,WH02,-2,4002.30,Retail\n"
+        "TXN000003,2024-02-05,PROD0002,WH01,1,766.66,Wholesale\n")
+    (d / "inventory.csv").mkdir()
+    (d / "inventory.csv" / "part-0.csv").write_text(
+        "inventory_id,date,product_id,warehouse_id,stock_on_hand,stock_allocated,stock_on_order\n"
+        "INV1,2024-02-04,PROD0001,WH01,0,0,0\nINV2,2024-02-05,PROD0001,WH01,40,5,0\n"
+        "INV3,2024-02-05,PROD0002,WH01,-5,0,50\nINV4,2024-02-05,PROD0003,WH02,12,0,0\n")
+    raw = read_csv_tables(spark, str(d))
+    t = pipeline.clean({"suppliers": raw["suppliers"], "warehouses": raw["warehouses"], "raw_products": raw["products"],
+                        "raw_sales": raw["sales"], "raw_inventory": raw["inventory"]})
+    s = {r["sale_id"]: r for r in t["sales"].collect()}
+    assert len(t["sales"].collect()) == 3                      # exact copy removed
+    assert s["TXN000002"]["quantity_sold"] == 2                # sign fixed
+    assert str(s["TXN000002"]["selling_price_per_unit"]) == "400.23"   # x10 price repaired
+    assert str(s["TXN000002"]["revenue"]) == "800.46"
+    opt = replenish.optimization_table(t["sales"], t["products"])
+    recs = {(r["product_id"], r["warehouse_name"]): r for r in
+            recommend.recommendations(t["inventory"], t["warehouses"], t["suppliers"], opt).collect()}
+    assert len(recs) == 3
+    never_sold = [r for k, r in recs.items() if k[0] == "PROD0003"][0]
+    assert never_sold["rop"] is None and never_sold["recommendation"].startswith("Optimal")
+    clamped = [r for k, r in recs.items() if k[0] == "PROD0002"][0]
+    assert clamped["stock_on_hand"] == 0 and clamped["recommendation"].startswith("CRITICAL")
