@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import money, prefix_sum, ratio, round_half_up
@@ -58,12 +58,17 @@ def warehouse_revenue(sales: DataFrame, warehouses: DataFrame) -> DataFrame:
             .orderBy(F.desc("revenue")))
 
 
+def _stats(df: DataFrame, **aggs) -> Column:
+    """One aggregate over ``df`` as a single struct scalar subquery."""
+    return df.agg(F.struct(*[a.alias(k) for k, a in aggs.items()]).alias("_s")).scalar()
+
+
 def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:
     """``bins`` equal-width bins from min to max, last bin closed; every
     bin reported (0 when empty)."""
     x = F.col(col).cast("double")
-    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
+    st = _stats(df, lo=F.min(x), hi=F.max(x))
+    lo, hi = st["lo"], st["hi"]
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.floor(F.try_divide(x - lo, width)), F.lit(bins - 1)).cast("int")
     counts = df.where(x.isNotNull()).groupBy(F.coalesce(idx, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -79,8 +84,8 @@ def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID) -> DataFrame:
     ``gridsize`` points from min to max.  ``count_density`` is the density
     scaled to the histogram's counts (n * bin width)."""
     x = F.col(col).cast("double")
-    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("s"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-    n, s, lo, hi = (st.select(c).scalar() for c in ["n", "s", "lo", "hi"])
+    st = _stats(df, n=F.count(x), s=F.stddev_samp(x), lo=F.min(x), hi=F.max(x))
+    n, s, lo, hi = st["n"], st["s"], st["lo"], st["hi"]
     h = s * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / F.lit(float(gridsize - 1))
     norm = F.lit(1.0 / math.sqrt(2 * math.pi))
@@ -108,14 +113,13 @@ def box_stats(df: DataFrame, col: str = "quantity_sold", k: float = 1.5) -> Data
     """Quartiles (exact, interpolated), IQR, fences, whiskers and the
     number of points outside the fences."""
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.5).alias("median"),
-               F.percentile(x, 0.75).alias("q3"))
-    q1, q3 = q.select("q1").scalar(), q.select("q3").scalar()
+    q = _stats(df, q1=F.percentile(x, 0.25), median=F.percentile(x, 0.5), q3=F.percentile(x, 0.75))
+    q1, q3 = q["q1"], q["q3"]
     lo_f = q1 - F.lit(k) * (q3 - q1)
     hi_f = q3 + F.lit(k) * (q3 - q1)
     w = df.agg(F.min(F.when(x >= lo_f, x)).alias("lower_whisker"), F.max(F.when(x <= hi_f, x)).alias("upper_whisker"),
                F.count(F.when((x < lo_f) | (x > hi_f), 1)).alias("n_outliers"))
-    return w.select(q1.alias("q1"), q.select("median").scalar().alias("median"), q3.alias("q3"),
+    return w.select(q1.alias("q1"), q["median"].alias("median"), q3.alias("q3"),
                     (q3 - q1).alias("iqr"), lo_f.alias("lower_fence"), hi_f.alias("upper_fence"),
                     "lower_whisker", "upper_whisker", "n_outliers")
 
