@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import money, pct, round_half_up
+from shelfwise.functions import pct, round_half_up
 
 
 def product_profitability(products: DataFrame) -> DataFrame:
@@ -52,6 +52,3 @@ def iso_dates(df: DataFrame, *cols: str) -> DataFrame:
         df = df.withColumn(c, F.date_format(c, "yyyy-MM-dd"))
     return df
 
-
-__all__ = ["product_profitability", "supplier_performance", "current_inventory", "latest_snapshot",
-           "iso_dates", "money"]

@@ -9,32 +9,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from shelfwise.functions import round_half_up
 from shelfwise.operators import classify as C
 from shelfwise.operators import cleaning as C_
+from shelfwise.operators import eda as E
 from shelfwise.operators import forecast as FC
+from shelfwise.operators import metrics as P
+from shelfwise.operators import quality as Q
 from shelfwise.operators import recommend as RC
 from shelfwise.operators import replenish as RP
 from shelfwise.operators import sales as S
 from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import views as V
-from shelfwise.plans.catalog import load, optimization
+from shelfwise.plans.catalog import csv_export, load, optimization
+from shelfwise.sources import files as SF
 from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def register(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
 def _q(name: str, fn: Callable, *tables: str):
     """Register ``fn(*catalog tables)`` under ``name``."""
     QUERIES[name] = lambda spark, sf_dir: fn(*[getattr(load(spark, sf_dir), t) for t in tables])
@@ -210,11 +206,6 @@ QUERIES["f09_by_category"] = lambda spark, d: FC.report(_sales_by_category(spark
 
 
 # EDA datasets
-from shelfwise.operators import eda as E          # noqa: E402
-from shelfwise.operators import metrics as P      # noqa: E402
-from shelfwise.operators import quality as Q      # noqa: E402
-from shelfwise.plans.catalog import csv_export    # noqa: E402
-from shelfwise.sources import files as SF         # noqa: E402
 
 
 def _dbl(df: DataFrame) -> DataFrame:
