@@ -3,7 +3,7 @@
 Two rounding families exist in the source semantics:
 
 * SQL ``ROUND`` rounds half away from zero.  We round in decimal space
-  (double -> decimal(38,10) -> round) so that a value printed as 5.005
+  (double -> decimal(38, max(10, d + 4)) -> round) so that a value printed as 5.005
   rounds to 5.01 regardless of its binary representation.
 * numpy/pandas ``round`` is IEEE round-half-even on the binary value:
   ``rint(x * 10^d) / 10^d``.
@@ -23,8 +23,9 @@ def _c(x) -> Column:
 
 
 def round_half_up(x, d: int = 2) -> Column:
-    """SQL ROUND(x, d) of a double/decimal, returned as double."""
-    return F.round(_c(x).cast("decimal(38,10)"), d).cast("double")
+    """SQL ROUND(x, d) of a double/decimal, returned as double.  The value
+    passes through a decimal with at least four guard digits beyond ``d``."""
+    return F.round(_c(x).cast(f"decimal(38,{max(10, d + 4)})"), d).cast("double")
 
 
 def half_even(x, d: int = 0) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 def R(expr: str, d: int = 2) -> str:
     """SQL ROUND half-up, via decimal, as double (= functions.round_half_up)."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {d}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,{max(10, d + 4)})), {d}) AS DOUBLE)"
 
 
 def M(expr: str, d: int = 2) -> str:

@@ -79,3 +79,9 @@ def test_pipeline_writes_every_stage(spark, tmp_path):
     assert len(recs.columns) == 17 and recs.count() > 0
     ev = spark.read.option("header", True).csv(paths["forecast_evaluation"])
     assert sorted(r["model"] for r in ev.collect()) == ["ARIMA", "LR", "MA"]
+
+
+def test_round_half_up_keeps_requested_places(spark):
+    df = spark.createDataFrame([(0.000686912712345678,)], "x double")
+    assert df.select(round_half_up("x", 12)).first()[0] == 0.000686912712
+    assert df.select(round_half_up("x", 6)).first()[0] == 0.000687
