@@ -149,9 +149,26 @@ def arima_params(s: DataFrame, group_cols=()) -> DataFrame:
         row.update(dict(zip(["phi", "theta", "last_d", "last_e", "last_y"], vals)))
         return pd.DataFrame([row], columns=[f.name for f in schema.fields])
 
+    if gcols:
+        # The fit is CPU-bound while its input is small in bytes, so adaptive
+        # execution would coalesce the feeding shuffle into very few tasks.
+        # A hash repartition on the series key with its own explicit count is
+        # kept as is (AQE does not coalesce a user-given count); the grouping
+        # reuses this partitioning.
+        tr = tr.repartition(fit_partitions(tr.sparkSession), *gcols)
     return tr.groupBy(*gcols).applyInPandas(fit, schema)
 
 
+FIT_PARTITIONS = "shelfwise.forecast.fitPartitions"
+
+
+def fit_partitions(spark) -> int:
+    """Tasks for the per-series fit: ``shelfwise.forecast.fitPartitions``,
+    by default twice the shuffle width."""
+    default = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get(FIT_PARTITIONS, str(default)))
+
+
 def arima_path(h, phi, theta, last_d, last_e, last_y):
     """Forecast h steps ahead: d1 = phi d_T + theta e_T, d_k = phi d_{k-1},
     y_T + sum of the d's (evaluated step by step with ``aggregate``)."""
