@@ -62,6 +62,11 @@ def fill_weeks(weekly: DataFrame, group_cols=()) -> DataFrame:
     """every week from the first to the last of each group (0 if none),
     with the week index ``t`` (0-based) and the series length ``n``."""
     span = weekly.groupBy(*group_cols).agg(F.min("week").alias("_w0"), F.max("week").alias("_w1"))
+    if group_cols:
+        # one small row per series explodes into one row per week: spread the
+        # spans over explicit tasks first so the explode is not squeezed into
+        # the few partitions a byte-sized shuffle would be coalesced to
+        span = span.repartition(fit_partitions(weekly.sparkSession), *group_cols)
     n = (F.datediff("_w1", "_w0") / 7).cast("int") + 1
     grid = span.select(*group_cols, n.alias("n"),
                        F.posexplode(F.sequence("_w0", "_w1", F.expr("INTERVAL 7 DAYS"))).alias("t", "week"))
