@@ -1,8 +1,9 @@
 """The datasets behind the exploratory charts (drawing is not built).
 
 Distribution statistics stay distributed: the histogram is a bin id per
-row plus a count; the kernel density sums per-row contributions to a
-fixed grid (each row explodes into ``gridsize`` terms, partial-aggregated
+row plus a count; the kernel density first collapses equal values to
+(value, weight) and then sums weighted contributions to a fixed grid
+(each distinct value explodes into ``gridsize`` terms, partial-aggregated
 per task, so only ``gridsize`` rows per task are shuffled); quartiles use
 the exact percentile aggregate, which keeps value counts per task.
 """
@@ -89,10 +90,12 @@ def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID) -> DataFrame:
     h = s * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / F.lit(float(gridsize - 1))
     norm = F.lit(1.0 / math.sqrt(2 * math.pi))
-    terms = (df.where(x.isNotNull())
-             .select(x.alias("_x"), F.posexplode(F.array_repeat(F.lit(0), gridsize)).alias("g", "_z"))
+    # Rows with the same value contribute the same kernel: collapse them to
+    # (value, weight) first, so the grid explode scales with distinct values.
+    values = df.where(x.isNotNull()).groupBy(x.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
+    terms = (values.select("_x", "_w", F.posexplode(F.array_repeat(F.lit(0), gridsize)).alias("g", "_z"))
              .withColumn("gx", lo + F.col("g") * step)
-             .withColumn("k", F.exp(F.lit(-0.5) * F.pow((F.col("gx") - F.col("_x")) / h, 2))))
+             .withColumn("k", F.col("_w") * F.exp(F.lit(-0.5) * F.pow((F.col("gx") - F.col("_x")) / h, 2))))
     dens = terms.groupBy("g", "gx").agg(F.sum("k").alias("_sk"))
     d = F.col("_sk") * norm / (n * h)
     return dens.select(F.col("g").cast("int").alias("grid_index"), round_half_up("gx", 6).alias("x"),
