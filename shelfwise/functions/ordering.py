@@ -84,8 +84,10 @@ def prefix_sum(df: DataFrame, order: Sequence[str], sums: Mapping[str, Column |
     else:
         keys = [o.lstrip("-") for o in order]
         per_key = base.groupBy(*keys).agg(*[F.sum(k).alias(k) for k in inputs])
-        cum = _running(per_key, order, inputs, "range", n).select(*keys, *[f"_cum_{k}" for k in inputs])
-        out = base.join(cum, keys)
+        cum = _running(per_key, order, inputs, "range", n).select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys], *[f"_cum_{k}" for k in inputs])
+        on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]       # a NULL key is a group too
+        out = base.join(cum, on).drop(*[f"_key_{k}" for k in keys])
     for name in vals:
         out = out.withColumn(name, F.col(f"_cum__v_{name}"))
     return out.drop(*inputs, *[f"_cum_{k}" for k in inputs])

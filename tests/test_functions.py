@@ -85,3 +85,12 @@ def test_round_half_up_keeps_requested_places(spark):
     df = spark.createDataFrame([(0.000686912712345678,)], "x double")
     assert df.select(round_half_up("x", 12)).first()[0] == 0.000686912712
     assert df.select(round_half_up("x", 6)).first()[0] == 0.000687
+
+
+def test_prefix_sum_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 3), (4, None)], "id long, v long")
+    df = df.withColumn("w", F.lit(1))
+    got = {r["id"]: r["c"] for r in prefix_sum(df, ["v"], {"c": "w"}).collect()}
+    exp = {r["id"]: r["c"] for r in df.withColumn(
+        "c", F.sum("w").over(Window.orderBy("v").rangeBetween(Window.unboundedPreceding, 0))).collect()}
+    assert got == exp and len(got) == 4
