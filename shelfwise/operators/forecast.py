@@ -76,13 +76,13 @@ def fill_weeks(weekly: DataFrame, group_cols=()) -> DataFrame:
 
 def split(filled: DataFrame, test_weeks: int = TEST_WEEKS) -> DataFrame:
     """the last ``test_weeks`` weeks of each group are the test part."""
-    return filled.withColumn("is_test", F.col("t") >= F.col("n") - test_weeks)
+    return (filled.withColumn("is_test", F.col("t") >= F.col("n") - test_weeks)
+            .withColumn("n_train", F.col("n") - test_weeks))
 
 
 def ma_params(s: DataFrame, group_cols=(), window: int = MA_WINDOW) -> DataFrame:
     """mean of the last ``window`` training weeks (NULL if fewer)."""
-    n_train = F.col("n") - TEST_WEEKS
-    last = s.where(~F.col("is_test") & (F.col("t") >= n_train - window))
+    last = s.where(~F.col("is_test") & (F.col("t") >= F.col("n_train") - window))
     return (last.groupBy(*group_cols)
             .agg(F.when(F.count(F.lit(1)) == window, F.avg("demand")).alias("ma")))
 
@@ -202,7 +202,7 @@ def _forecasts(sales: DataFrame, g, test_weeks: int):
     test = s.where(F.col("is_test"))
     for params in (ma_params(s, g), lr_params(s, g), arima_params(s, g)):
         test = attach(test, params, g)
-    h = F.col("t") - (F.col("n") - test_weeks) + 1
+    h = F.col("t") - F.col("n_train") + 1
     lr = F.col("intercept") + F.col("slope") * F.col("t")
     arima = arima_path(h, F.col("phi"), F.col("theta"), F.col("last_d"), F.col("last_e"), F.col("last_y"))
     return s, test.select(*g, "week", "t", F.col("demand").cast("double").alias("actual"),

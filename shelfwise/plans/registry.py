@@ -178,7 +178,7 @@ def _wk(df: DataFrame) -> DataFrame:
 
 QUERIES["f01"] = lambda spark, d: _wk(FC.weekly_demand(load(spark, d).sales))
 QUERIES["f02"] = lambda spark, d: _wk(FC.fill_weeks(FC.weekly_demand(load(spark, d).sales)))
-QUERIES["f03"] = lambda spark, d: _wk(_split(spark, d))
+QUERIES["f03"] = lambda spark, d: _wk(_split(spark, d).select("week", "t", "n", "demand", "is_test"))
 QUERIES["f04"] = lambda spark, d: FC.ma_params(_split(spark, d))
 QUERIES["f05"] = lambda spark, d: FC.lr_params(_split(spark, d))
 QUERIES["f06"] = lambda spark, d: FC.arima_params(_split(spark, d))

@@ -71,3 +71,14 @@ def test_short_series_falls_back_to_damped_trend(spark):
     assert all(r["forecast_ma"] is None for r in fc)
     ev = {r["model"]: r for r in FC.report(sales).collect()}
     assert set(ev) == {"MA", "LR", "ARIMA"} and ev["MA"]["mae"] is None
+
+
+def test_custom_test_length(spark, series):
+    _, y = series
+    sales = load(spark, SF_SMALL).sales
+    s12 = FC.split(FC.fill_weeks(FC.weekly_demand(sales)), 12)
+    train = y[:-12]
+    assert FC.ma_params(s12).first()["ma"] == pytest.approx(train[-4:].mean(), rel=1e-12)
+    fc = FC.forecasts(sales, test_weeks=12).orderBy("t").collect()
+    assert len(fc) == 12 and [r["actual"] for r in fc] == list(y[-12:])
+    assert all(r["forecast_ma"] == pytest.approx(train[-4:].mean()) for r in fc)
