@@ -80,10 +80,10 @@ def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:
                     F.coalesce("n", F.lit(0)).alias("count")))
 
 
-def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID) -> DataFrame:
+def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID, bins: int = HIST_BINS) -> DataFrame:
     """Gaussian kernel density, Scott bandwidth h = s * n^(-1/5), on
     ``gridsize`` points from min to max.  ``count_density`` is the density
-    scaled to the histogram's counts (n * bin width)."""
+    scaled to the counts of a ``bins``-bin histogram (n * bin width)."""
     x = F.col(col).cast("double")
     st = _stats(df, n=F.count(x), s=F.stddev_samp(x), lo=F.min(x), hi=F.max(x))
     n, s, lo, hi = st["n"], st["s"], st["lo"], st["hi"]
@@ -100,7 +100,7 @@ def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID) -> DataFrame:
     d = F.col("_sk") * norm / (n * h)
     return dens.select(F.col("g").cast("int").alias("grid_index"), round_half_up("gx", 6).alias("x"),
                        round_half_up(d, 12).alias("density"),
-                       round_half_up(d * n * (hi - lo) / F.lit(float(HIST_BINS)), 9).alias("count_density"))
+                       round_half_up(d * n * (hi - lo) / F.lit(float(bins)), 9).alias("count_density"))
 
 
 def correlation_matrix(df: DataFrame, cols=CORR_COLUMNS) -> DataFrame:
