@@ -38,3 +38,23 @@ def test_scans_prune_columns(spark):
     from __spark_entry__ import queries
     plan = _plan(queries()["q04"](spark, SF_SMALL))
     assert "ReadSchema: struct<quantity_sold:int,channel:string,revenue:decimal(18,2)>" in plan
+
+
+def test_no_pairwise_joins_without_broadcast(spark):
+    """With broadcasts disabled (dimensions too large to broadcast), every join
+    still has equi-keys: no query falls back to a Cartesian or nested-loop join."""
+    from __spark_entry__ import queries
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for name, fn in sorted(queries().items()):
+            plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
