@@ -1 +1 @@
-"""End-to-end plans: catalog loading, the decision pipeline, query registry."""
+"""End-to-end plans: catalog loading, the batch decision job, query registry."""

@@ -1,11 +1,11 @@
-"""The decision pipeline: raw -> clean -> optimize -> recommend (+ forecast).
+"""The batch decision job: raw -> clean -> optimize -> recommend (+ forecast).
 
 Stages hand over through written tables, as in the reference: cleaned
 tables, the per-SKU optimization table, the per-(SKU, warehouse)
 recommendation table and the forecast evaluation, each overwritten on
 every run (S02/S04).  Run as a module:
 
-    python -m shelfwise.plans.pipeline --sf-dir /root/testdata/sf0.01 --out /path/to/out [--csv]
+    python -m shelfwise.plans.batch --sf-dir /root/testdata/sf0.01 --out /path/to/out [--csv]
 """
 
 from __future__ import annotations

@@ -67,11 +67,11 @@ def test_top_k_deterministic_ties(spark):
     assert got == [2, 5, 8, 11]
 
 
-def test_pipeline_writes_every_stage(spark, tmp_path):
+def test_batch_writes_every_stage(spark, tmp_path):
     from conftest import SF_SMALL
-    from shelfwise.plans import pipeline
+    from shelfwise.plans import batch
     from shelfwise.sources import testdata
-    paths = pipeline.run(spark, testdata.raw_tables(spark, SF_SMALL), str(tmp_path / "out"), "csv",
+    paths = batch.run(spark, testdata.raw_tables(spark, SF_SMALL), str(tmp_path / "out"), "csv",
                          testdata.TEST_CATEGORY_MAP)
     assert set(paths) == {"suppliers", "warehouses", "products", "sales", "inventory", "inventory_optimization",
                           "inventory_recommendations", "forecast_evaluation"}

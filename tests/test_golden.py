@@ -84,7 +84,7 @@ def test_reference_csv_layout_end_to_end(spark, tmp_path):
     """S01 on the reference's CSV layout (string ids), then clean -> optimize -> recommend."""
     import shutil
     from shelfwise.operators import recommend
-    from shelfwise.plans import pipeline
+    from shelfwise.plans import batch
     from shelfwise.sources.files import read_csv_tables
     d = tmp_path / "raw"
     d.mkdir()
@@ -105,7 +105,7 @@ def test_reference_csv_layout_end_to_end(spark, tmp_path):
         "INV1,2024-02-04,PROD0001,WH01,0,0,0\nINV2,2024-02-05,PROD0001,WH01,40,5,0\n"
         "INV3,2024-02-05,PROD0002,WH01,-5,0,50\nINV4,2024-02-05,PROD0003,WH02,12,0,0\n")
     raw = read_csv_tables(spark, str(d))
-    t = pipeline.clean({"suppliers": raw["suppliers"], "warehouses": raw["warehouses"], "raw_products": raw["products"],
+    t = batch.clean({"suppliers": raw["suppliers"], "warehouses": raw["warehouses"], "raw_products": raw["products"],
                         "raw_sales": raw["sales"], "raw_inventory": raw["inventory"]})
     s = {r["sale_id"]: r for r in t["sales"].collect()}
     assert len(t["sales"].collect()) == 3                      # exact copy removed
