@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import avg_money, money, pct, ratio, round_half_up
-from shelfwise.operators.sales import per_product
+from shelfwise.operators.sales import latest_sale_date, per_product, since
 
 HOLDING_RATE = 0.15
 DEAD_DAYS = 90
@@ -39,8 +39,8 @@ def p03_dead_stock(ci: DataFrame, sales: DataFrame, products: DataFrame, days: i
                    holding_rate: float = HOLDING_RATE) -> DataFrame:
     """SKUs in stock with no sale in the last ``days`` days (never sold
     included): count, capital and annual holding cost."""
-    max_d = sales.agg(F.max("sale_date")).scalar()
-    recent = sales.where(F.col("sale_date") > F.date_sub(max_d, days)).select("product_id").distinct()
+    max_d = latest_sale_date(sales)
+    recent = since(sales, F.date_add(F.date_sub(max_d, days), 1)).select("product_id").distinct()
     ever = sales.select("product_id").distinct().withColumn("_sold", F.lit(True))
     stock = (ci.join(products.select("product_id", "unit_cost"), "product_id")
              .groupBy("product_id").agg(F.sum(F.col("stock_on_hand") * F.col("unit_cost")).alias("_cap")))

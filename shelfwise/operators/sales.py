@@ -27,6 +27,24 @@ def month_of(col: str = "sale_date"):
     return F.date_format(F.col(col), MONTH)
 
 
+def latest_sale_date(sales: DataFrame):
+    """MAX(sale_date) as a scalar.  When the table carries its month
+    partition column, only the latest month's partition is read for it."""
+    if "sale_month" in sales.columns:
+        last_month = sales.agg(F.max("sale_month")).scalar()
+        return sales.where(F.col("sale_month") == last_month).agg(F.max("sale_date")).scalar()
+    return sales.agg(F.max("sale_date")).scalar()
+
+
+def since(sales: DataFrame, start) -> DataFrame:
+    """Rows with sale_date >= ``start`` (a date column or scalar); prunes
+    month partitions when the table has them."""
+    out = sales.where(F.col("sale_date") >= start)
+    if "sale_month" in sales.columns:
+        out = out.where(F.col("sale_month") >= F.trunc(start, "month"))
+    return out
+
+
 def per_product(sales: DataFrame, *extra_keys) -> DataFrame:
     """Sales pre-aggregated to (product_id, *extra_keys)."""
     return (sales.groupBy("product_id", *extra_keys)

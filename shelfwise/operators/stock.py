@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import band, money, pct, ratio, round_half_up, top_k
-from shelfwise.operators.sales import per_product
+from shelfwise.operators.sales import latest_sale_date, per_product
 
 # Pivoted warehouse ids, stock-status and movement labels.
 WAREHOUSES = ["WH01", "WH02", "WH03", "WH04", "WH05"]
@@ -143,7 +143,7 @@ def movement_class(days):
 
 
 def q37_slow_dead_stock(ci, sales, products, min_days: int = 30, k: int = 15) -> DataFrame:
-    max_sys = sales.agg(F.max("sale_date")).scalar()
+    max_sys = latest_sale_date(sales)
     last = (sales.groupBy("product_id").agg(F.max("sale_date").alias("last_sold_date"))
             .withColumn("days_since_last_sale", F.datediff(max_sys, F.col("last_sold_date")))
             .where(F.col("days_since_last_sale") > min_days))

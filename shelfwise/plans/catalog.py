@@ -34,9 +34,11 @@ class Tables:
     raw_products: DataFrame
     raw_sales: DataFrame
     raw_inventory: DataFrame
+    # sales with its month partition column, for operators that prune by date
+    sales_by_month: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {k: v for k, v in self.__dict__.items() if v is not None}
 
 
 _LOCK = threading.Lock()
@@ -56,6 +58,7 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 FILES_PER_DATE = "shelfwise.snapshot.filesPerDate"
+SALES_MONTH = "sale_month"      # partition column of the sales table (first day of the month)
 
 
 def snapshot_layout(df: DataFrame, spark: SparkSession) -> DataFrame:
@@ -84,7 +87,9 @@ def _write_all(spark: SparkSession, sf_dir: str, root: str) -> None:
     products = cleaning.clean_products(rd("raw_products"), testdata.TEST_CATEGORY_MAP)
     write_table(products, f"{root}/products")
     sales = cleaning.clean_sales(rd("raw_sales"), rd("products"))
-    write_table(sales, f"{root}/sales")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monthly = sales.withColumn(SALES_MONTH, F.trunc("sale_date", "month")).repartition(n, SALES_MONTH)
+    write_table(monthly, f"{root}/sales", partition_by=[SALES_MONTH])
     inv = cleaning.clean_inventory(rd("raw_inventory"))
     write_table(snapshot_layout(inv, spark), f"{root}/inventory", partition_by=["date"])
 
@@ -104,11 +109,14 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
                                   "stock_allocated", "stock_on_order"],
             }
             cols["inventory"] = cols["raw_inventory"]
+            cols["sales"] = ["sale_id", "sale_date", "product_id", "warehouse_id", "quantity_sold",
+                             "selling_price_per_unit", "channel", "revenue"]
             frames = {}
             for t in ["suppliers", "warehouses", "products", "sales", "inventory",
                       "raw_products", "raw_sales", "raw_inventory"]:
                 df = rd(t)
                 frames[t] = df.select(*cols[t]) if t in cols else df
+            frames["sales_by_month"] = rd("sales")
             _CACHE[key] = Tables(**frames)
         return _CACHE[key]
 

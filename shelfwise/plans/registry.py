@@ -93,7 +93,7 @@ QUERIES["q23"] = _with_ci(K.q23_turnover, "sales", "products")
 QUERIES["q24"] = _with_ci(K.q24_lowest_sku_turnover, "sales", "products")
 QUERIES["q25"] = _with_ci(K.q25_pending_ratio)
 QUERIES["q36"] = _with_ci(K.q36_reorder_alerts, "sales", "products")
-QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "sales", "products")
+QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "sales_by_month", "products")
 _q("q38", K.q38_eoq, "sales", "products")
 _q("q42", SU.q42_supplier_scorecard, "suppliers")
 _q("q43", SU.q43_warehouse_efficiency, "sales", "warehouses")
@@ -326,7 +326,7 @@ def _recs_full(spark, d):
 
 QUERIES["p01"] = lambda spark, d: P.p01_stockout_rate(load(spark, d).inventory)
 QUERIES["p02"] = lambda spark, d: P.p02_overstock_capital(_recs(spark, d, full=False), load(spark, d).products)
-QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.sales, t.products))(load(spark, d))
+QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.sales_by_month, t.products))(load(spark, d))
 _q("p04", P.p04_revenue_vs_space, "sales", "warehouses")
 QUERIES["p05"] = lambda spark, d: P.p05_avg_stockout_days(_cur(spark, d))
 QUERIES["p06"] = lambda spark, d: P.p06_transfer_candidates(_recs_full(spark, d))

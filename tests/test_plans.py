@@ -58,3 +58,10 @@ def test_no_pairwise_joins_without_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["q37", "p03"])
+def test_date_windows_prune_sales_months(spark, name):
+    from __spark_entry__ import queries
+    plan = _plan(queries()[name](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(sale_month" in plan
