@@ -13,6 +13,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators import forecast, recommend, replenish
 from shelfwise.operators import cleaning
@@ -41,8 +42,11 @@ def stage(spark: SparkSession, df: DataFrame, path: str, fmt: str, partition_by=
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, fmt: str = "parquet",
         category_map: dict | None = None) -> dict[str, str]:
     """Write every stage; later stages read the written output of earlier ones."""
-    t = {name: stage(spark, df, f"{out}/{name}", fmt, ["date"] if name == "inventory" else None)
-         for name, df in clean(raw, category_map).items()}
+    cleaned = clean(raw, category_map)
+    if fmt == "parquet":        # facts partitioned by date: snapshots by day, sales by month
+        cleaned["sales"] = cleaned["sales"].withColumn("sale_month", F.trunc("sale_date", "month"))
+    layout = {"inventory": ["date"], "sales": ["sale_month"]}
+    t = {name: stage(spark, df, f"{out}/{name}", fmt, layout.get(name)) for name, df in cleaned.items()}
     opt = stage(spark, replenish.optimization_table(t["sales"], t["products"]),
                 f"{out}/inventory_optimization", fmt)
     stage(spark, recommend.recommendations(t["inventory"], t["warehouses"], t["suppliers"], opt),

@@ -94,3 +94,15 @@ def test_prefix_sum_keeps_null_keys(spark):
     exp = {r["id"]: r["c"] for r in df.withColumn(
         "c", F.sum("w").over(Window.orderBy("v").rangeBetween(Window.unboundedPreceding, 0))).collect()}
     assert got == exp and len(got) == 4
+
+
+def test_batch_parquet_layout(spark, tmp_path):
+    import os
+    from conftest import SF_SMALL
+    from shelfwise.plans import batch
+    from shelfwise.sources import testdata
+    paths = batch.run(spark, testdata.raw_tables(spark, SF_SMALL), str(tmp_path / "pq"), "parquet",
+                      testdata.TEST_CATEGORY_MAP)
+    assert any(d.startswith("sale_month=") for d in os.listdir(paths["sales"]))
+    assert any(d.startswith("date=") for d in os.listdir(paths["inventory"]))
+    assert spark.read.parquet(paths["inventory_recommendations"]).count() == 1000
