@@ -41,7 +41,7 @@ class Tables:
         return {k: v for k, v in self.__dict__.items() if v is not None}
 
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()        # re-entrant: derived tables load the catalog first
 _CACHE: dict[tuple[str, str], Tables] = {}
 
 
