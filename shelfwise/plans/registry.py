@@ -203,6 +203,7 @@ def _f06_by_category(spark, d):
 # The same forecasting plan, one series per category (the scale axis).
 QUERIES["f06_by_category"] = _f06_by_category
 QUERIES["f09_by_category"] = lambda spark, d: FC.report(_sales_by_category(spark, d), ["category"])
+QUERIES["f09_by_warehouse"] = lambda spark, d: FC.report(load(spark, d).sales, ["warehouse_id"])
 
 
 # EDA datasets
