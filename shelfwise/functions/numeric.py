@@ -68,3 +68,16 @@ def avg_money(total, n) -> Column:
     den = n * 2
     q = ((num - F.pmod(num, den)) / den).cast("long")
     return F.when(n > 0, q.cast("double") / F.lit(100.0))
+
+
+def exact_std(x) -> Column:
+    """Sample standard deviation of an integer column from exact moment sums.
+
+    (n * sum(x^2) - sum(x)^2) / (n * (n - 1)) is evaluated in decimal(38,0),
+    so it is the same number whatever order partial aggregates merge in
+    (``stddev_samp`` can differ in the last bits between runs); NULL for a
+    single observation, like ``stddev_samp``."""
+    d = _c(x).cast("decimal(38,0)")
+    n = F.count(d)
+    num = n * F.sum(d * d) - F.sum(d) * F.sum(d)
+    return F.sqrt(F.try_divide(num.cast("double"), (n * (n - 1)).cast("double")))

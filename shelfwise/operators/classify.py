@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import band, money, prefix_sum, ratio, round_half_up, top_k
+from shelfwise.functions import band, exact_std, money, prefix_sum, ratio, round_half_up, top_k
 from shelfwise.operators.sales import month_of
 
 # Class cut-offs of the reference (cumulative revenue share,
@@ -62,7 +62,7 @@ def q39_abc(sales: DataFrame, k: int = 20, bands=ABC_BANDS) -> DataFrame:
 def monthly_demand_stats(sales: DataFrame) -> DataFrame:
     """Per SKU mean and sample std of monthly units (two-level aggregate)."""
     monthly = sales.groupBy("product_id", month_of().alias("_m")).agg(F.sum("quantity_sold").alias("_q"))
-    return monthly.groupBy("product_id").agg(F.avg("_q").alias("mean"), F.stddev_samp("_q").alias("std"))
+    return monthly.groupBy("product_id").agg(F.avg("_q").alias("mean"), exact_std("_q").alias("std"))
 
 
 def q40_xyz(sales: DataFrame, products: DataFrame, k: int = 15, bands=XYZ_BANDS) -> DataFrame:

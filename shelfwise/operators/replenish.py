@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import band
+from shelfwise.functions import band, exact_std
 from shelfwise.operators.classify import o06_classification
 
 # Fixed values of the reference's replenishment policy.
@@ -34,7 +34,7 @@ def safety_factor(abc, factors=SAFETY_FACTORS):
 def daily_demand_stats(sales: DataFrame, by=("product_id",)) -> DataFrame:
     """Mean and sample std of daily units over days with sales."""
     daily = sales.groupBy(*by, "sale_date").agg(F.sum("quantity_sold").alias("_q"))
-    return daily.groupBy(*by).agg(F.avg("_q").alias("daily_mean"), F.stddev_samp("_q").alias("daily_std"))
+    return daily.groupBy(*by).agg(F.avg("_q").alias("daily_mean"), exact_std("_q").alias("daily_std"))
 
 
 def attach_products(classified: DataFrame, products: DataFrame) -> DataFrame:

@@ -35,6 +35,13 @@ def AVGM(total: str, n: str) -> str:
     return f"(CASE WHEN {n} > 0 THEN CAST(({num} - ({num} % {den})) // {den} AS DOUBLE) / 100.0 END)"
 
 
+def SD(x: str) -> str:
+    """Sample std of an integer column from exact moment sums (= functions.exact_std)."""
+    d = f"CAST({x} AS HUGEINT)"
+    num = f"(COUNT({d}) * SUM({d} * {d}) - SUM({d}) * SUM({d}))"
+    return f"sqrt(CAST({num} AS DOUBLE) / NULLIF(CAST(COUNT({d}) * (COUNT({d}) - 1) AS DOUBLE), 0))"
+
+
 def HE(expr: str, d: int = 0) -> str:
     """IEEE round-half-even of a double (= numpy round = Spark rint)."""
     y = f"(CAST({expr} AS DOUBLE) * {float(10 ** d)})" if d else f"CAST({expr} AS DOUBLE)"

@@ -130,6 +130,8 @@ def _opt(spark, d):
 for _k, _cols in RP.STEP_COLUMNS.items():
     QUERIES[_k] = (lambda cols: lambda spark, d: _r6(_opt(spark, d).select(*cols), "daily_std"))(_cols)
 QUERIES["o14"] = lambda spark, d: _r6(_opt(spark, d), "std", "cv", "daily_std")
+QUERIES["o14_by_warehouse"] = lambda spark, d: (lambda t: _r6(RP.optimization_table(
+    t.sales, t.products, by_warehouse=True), "std", "cv", "daily_std"))(load(spark, d))
 
 
 # Health score and recommendations
@@ -163,6 +165,19 @@ for _k, _cols in _RSTEPS.items():
     QUERIES[_k] = (lambda cols: lambda spark, d: _recs(spark, d).select(*KEY, *cols))(_cols)
 QUERIES["r12"] = lambda spark, d: _recs(spark, d, full=False)
 QUERIES["r13"] = lambda spark, d: RC.label_distribution(_recs(spark, d, full=False))
+def _r12_by_warehouse(spark, d):
+    """R12 with per-(SKU, warehouse) parameters.  A warehouse that never sold
+    a SKU has no parameters there, so rop/eoq/safety_stock are reported as
+    doubles with NULLs (as a pandas frame would hold them)."""
+    t = load(spark, d)
+    recs = RC.recommendations(t.inventory, t.warehouses, t.suppliers,
+                              RP.optimization_table(t.sales, t.products, by_warehouse=True))
+    for c in ["rop", "eoq", "safety_stock"]:
+        recs = recs.withColumn(c, F.col(c).cast("double"))
+    return recs
+
+
+QUERIES["r12_by_warehouse"] = _r12_by_warehouse
 
 
 # Demand forecasting (total weekly series, as in the reference; the

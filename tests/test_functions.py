@@ -106,3 +106,16 @@ def test_batch_parquet_layout(spark, tmp_path):
     assert any(d.startswith("sale_month=") for d in os.listdir(paths["sales"]))
     assert any(d.startswith("date=") for d in os.listdir(paths["inventory"]))
     assert spark.read.parquet(paths["inventory_recommendations"]).count() == 1000
+
+
+def test_exact_std_matches_numpy_and_is_order_free(spark):
+    from shelfwise.functions import exact_std
+    rng = np.random.default_rng(3)
+    vals = [int(v) for v in rng.integers(0, 5000, 999)]
+    df = spark.createDataFrame([(i % 7, v) for i, v in enumerate(vals)], "g long, x long")
+    a = df.repartition(1).agg(exact_std("x")).first()[0]
+    b = df.repartition(13, "g").agg(exact_std("x")).first()[0]
+    assert a == b                                   # bit-identical regardless of partitioning
+    assert a == pytest.approx(np.std(vals, ddof=1), rel=1e-13)
+    one = spark.createDataFrame([(5,)], "x long").agg(exact_std("x")).first()[0]
+    assert one is None
