@@ -73,11 +73,14 @@ def avg_money(total, n) -> Column:
 def exact_std(x) -> Column:
     """Sample standard deviation of an integer column from exact moment sums.
 
-    (n * sum(x^2) - sum(x)^2) / (n * (n - 1)) is evaluated in decimal(38,0),
-    so it is the same number whatever order partial aggregates merge in
+    n, sum(x) and sum(x^2) are long aggregates (exact; they raise on
+    overflow under ANSI rather than wrap) and are combined per group as
+    (n * sum(x^2) - sum(x)^2) / (n * (n - 1)) in decimal(38,0).  The result
+    is therefore the same number whatever order partial aggregates merge in
     (``stddev_samp`` can differ in the last bits between runs); NULL for a
     single observation, like ``stddev_samp``."""
-    d = _c(x).cast("decimal(38,0)")
-    n = F.count(d)
-    num = n * F.sum(d * d) - F.sum(d) * F.sum(d)
+    xl = _c(x).cast("long")
+    wide = lambda c: c.cast("decimal(38,0)")
+    n, s1, s2 = F.count(xl), F.sum(xl), F.sum(xl * xl)
+    num = wide(n) * wide(s2) - wide(s1) * wide(s1)
     return F.sqrt(F.try_divide(num.cast("double"), (n * (n - 1)).cast("double")))
