@@ -73,4 +73,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b JOIN hr ON b.host IS NOT DISTINCT FROM hr.host
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op10_quality_rules": OP10}
+OP6 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op6_warc": OP6,
+           "op10_quality_rules": OP10}

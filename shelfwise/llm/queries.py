@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, quality_rules
+from shelfwise.llm import chat, decontaminate, importance, pieces, quality_rules, toxicity, warc
 from shelfwise.llm.common import table, written
 
 
@@ -22,6 +24,33 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_examples(turns.unionByName(own)))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.encode(docs, pieces.load(), check="round_trip", keep=["doc_id"])
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(spark, warc.plan(table(spark, sf_dir, "pages")))
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratio = importance.fit(spark, docs, table(spark, sf_dir, "labels"))
+    keys = written(spark, importance.weigh(docs, ratio, keep=["doc_id"]), "importance")
+    cut = importance.kth(spark, keys, math.ceil(ratio.share * keys.count()), "doc_id")
+    return keys.select("doc_id", "n_grams", "log_ratio", F.round("key", 6).alias("key"), importance.sampled(cut).alias("kept"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = lambda c: F.pmod(F.crc32(F.col(c).cast("string")), F.lit(3)) == 1
+    model = toxicity.train(spark, docs, table(spark, sf_dir, "labels"), where=~fold("id"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(fold("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = quality_rules.measures(table(spark, sf_dir, "documents"))
     m = written(spark, m.withColumn("base_failed", quality_rules.failed()), "measures")
@@ -30,4 +59,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op5_sentencepiece, op6_warc,
+                                  op8_quality_classifier, op9_toxicity, op10_quality_rules)}
