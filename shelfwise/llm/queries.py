@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, importance, pieces, quality_rules, toxicity, warc
+from shelfwise.llm import chat, decontaminate, importance, licenses, pieces, quality_rules, toxicity, warc
 from shelfwise.llm.common import table, written
 
 
@@ -35,6 +35,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    finds = F.col("licenses")
+    best = F.sort_array(F.transform(finds, lambda f: F.struct((-f["coverage"]).alias("c"), f["start_word"].alias("s"), f["license"].alias("l"))))
+    return licenses.scan(docs, keep=["doc_id"]).select(
+        "doc_id", F.size(finds).cast("long").alias("n_finds"), F.get(best, F.lit(0))["l"].alias("license"),
+        (-F.get(best, F.lit(0))["c"]).alias("coverage"), F.get(best, F.lit(0))["s"].alias("start_word"), "licenses")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratio = importance.fit(spark, docs, table(spark, sf_dir, "labels"))
@@ -59,5 +68,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op5_sentencepiece, op6_warc,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op5_sentencepiece, op6_warc, op7_license_scan,
                                   op8_quality_classifier, op9_toxicity, op10_quality_rules)}
