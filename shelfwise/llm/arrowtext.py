@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 BLOCK = 1 << 22
@@ -111,9 +111,17 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
     return mix(out)
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Lets an Arrow batch hold ``rows`` rows at most: its bytes aren't bounded otherwise, and texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], list[pa.Array]],
              fields: list[StructField], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``df``'s ``keep`` columns (default all) and new ones, which ``fn`` makes for blocks of rows."""
+    small_batches(df.sparkSession)
     kept = df.columns if keep is None else keep
     schema = StructType([df.schema[c] for c in kept] + fields)
     names = [f.name for f in schema.fields]

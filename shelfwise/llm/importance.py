@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, fresh, hash_spans, map_rows, mix, spans
+from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, fresh, hash_spans, map_rows, mix, small_batches, spans
 from shelfwise.llm.common import partitions, written
 
 BITS = 16
@@ -96,6 +96,7 @@ class Ratio:
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", max_rows: int = 20_000, bits: int = BITS, orders: int = ORDERS, alpha: float = 0.5) -> Ratio:
+    small_batches(spark)
     y = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("good")).dropna()
     y = y.groupBy("_id").agg(F.max("good").alias("good")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     y = written(spark, y, "quality-labels")

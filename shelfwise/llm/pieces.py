@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField
 
-from shelfwise.llm.arrowtext import byte_table, hash_spans, map_rows
+from shelfwise.llm.arrowtext import byte_table, hash_spans, map_rows, small_batches
 
 MARK = "▁"
 LITERAL = "\udfff"              # stands for a mark that the text itself holds; no valid text has a lone surrogate
@@ -295,6 +295,7 @@ def encode(docs: DataFrame, v: Vocabulary, text_col: str = "text", ids_col: str
 
 def decode(df: DataFrame, v: Vocabulary, ids_col: str = "ids", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``df`` with the text of each row of ids; null ids give a null text."""
+    small_batches(df.sparkSession)
     kept = [c for c in (df.columns if keep is None else keep) if c != text_col]
     shared = df.sparkSession.sparkContext.broadcast(v)
     schema = df.select(*kept).schema.add(text_col, StringType())

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, fresh, map_rows
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, fresh, map_rows, small_batches
 from shelfwise.llm.common import written
 
 BITS = 20
@@ -89,6 +89,7 @@ def _present(data: np.ndarray, off: np.ndarray, lookup: np.ndarray, orders: tupl
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id",
                     text_col: str = "text", where: Column | None = None) -> DataFrame:
     """(id, text, label): the texts of at most ``max_rows`` labelled ids."""
+    small_batches(docs.sparkSession)
     y = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     y = y if where is None else y.where(where)
     y = y.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_rows)

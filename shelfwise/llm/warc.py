@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.arrowtext import small_batches
 from shelfwise.llm.common import written
 from shelfwise.session import app_id, shared_dir
 
@@ -183,6 +184,7 @@ def plan(pages: DataFrame, min_revisit: int = 100, id_col: str = "page_id", url_
 
 def write(spark: SparkSession, planned: DataFrame, folder: str | None = None, max_bytes: int = 64 << 20) -> DataFrame:
     """Writes the archives; (archive, records, bytes) of each, as a written table."""
+    small_batches(spark)
     folder = folder or shared_dir(spark, "llm", app_id(spark), f"warc-{uuid.uuid4().hex[:12]}")
 
     def run(batches):
