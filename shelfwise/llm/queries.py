@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, importance, licenses, ngram_join, pieces, quality_rules, toxicity, warc
+from shelfwise.llm import chat, decontaminate, importance, katz, licenses, ngram_join, pieces, quality_rules, toxicity, warc
 from shelfwise.llm.common import table, written
 
 
@@ -24,6 +24,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_examples(turns.unionByName(own)))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return katz.score(spark, table(spark, sf_dir, "documents"), held).withColumnRenamed("id", "doc_id")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.join(spark, table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_copies")
@@ -73,5 +78,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op4_ngram_jaccard, op5_sentencepiece,
-                                  op6_warc, op7_license_scan, op8_quality_classifier, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op3_lm_scoring, op4_ngram_jaccard,
+                                  op5_sentencepiece, op6_warc, op7_license_scan, op8_quality_classifier, op9_toxicity, op10_quality_rules)}
