@@ -55,6 +55,11 @@ class _Powers:
         return cls.up, cls.down
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the hash base, and of its inverse."""
+    return _Powers.get(n)
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; offsets start at 0 and have one entry more than rows."""
     col = pc.fill_null(col, "").cast(pa.large_string())
@@ -133,9 +138,3 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch, np.ndarray, np.ndarray
 
     return df.mapInArrow(run, schema)
 
-
-def fresh(name: str, *dfs: DataFrame) -> str:
-    """``name``, with underscores until no table has such a column."""
-    while any(name in d.columns for d in dfs):
-        name += "_"
-    return name

@@ -12,6 +12,7 @@ from shelfwise.session import app_id, shared_dir
 #: The word classes of the query contracts, as regular expressions.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ALNUM_GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,5 +47,17 @@ def alnum_words(c: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(c, F.lit(""))), ALNUM_GAP), "")
 
 
+def count_alnum_words(c: Column) -> Column:
+    """How many ``alnum_words`` a text has; lower-casing doesn't change that."""
+    return F.size(F.array_remove(F.split(F.coalesce(c, F.lit("")), ALNUM_GAP_ANY_CASE), "")).cast("long")
+
+
+def fresh(name: str, *dfs: DataFrame) -> str:
+    """``name``, with underscores until no table has such a column."""
+    while any(name in d.columns for d in dfs):
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

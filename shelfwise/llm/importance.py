@@ -38,8 +38,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, fresh, hash_spans, map_rows, mix, small_batches, spans
-from shelfwise.llm.common import partitions, written
+from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, hash_spans, map_rows, mix, small_batches, spans
+from shelfwise.llm.common import fresh, partitions, written
 
 BITS = 16
 ORDERS = 3
@@ -154,7 +154,7 @@ def weigh(docs: DataFrame, ratio: Ratio, id_col: str = "doc_id", text_col: str =
 
     def fn(rows, data, off):
         b, row = ngrams(data, off, orders, bits)
-        w = np.bincount(row, weights=shared.value[b], minlength=rows.num_rows)
+        w = np.bincount(row, weights=shared.value[b], minlength=rows.num_rows).astype(float)     # integers without rows
         return [pa.array(np.bincount(row, minlength=rows.num_rows).astype(np.int64)), pa.array(np.round(w, 6))]
 
     out = map_rows(docs, fn, [StructField(names[0], LongType()), StructField(names[1], DoubleType())], text_col, keep)

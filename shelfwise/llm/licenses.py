@@ -163,13 +163,15 @@ class Template:
         offsets = {w: [j for j, x in enumerate(self.words) if x == w] for w in marks}
         for i in places:
             for j in offsets[text[i]]:
-                lo, hi = max(0, i - j - slack), min(len(text), i - j + n + slack)
-                if (lo, hi) in seen:
-                    continue
-                seen.add((lo, hi))
-                m = align(text[lo:hi], self.words)
-                if len(m) >= min_coverage * n:
-                    found.append((len(m) / n, len(m), lo + m[0][0], lo + m[-1][0] + 1))
+                # Just the template's place, where copies may stand side by side, and a wider one for changed texts.
+                for wide in (0, slack):
+                    lo, hi = max(0, i - j - wide), min(len(text), i - j + n + wide)
+                    if (lo, hi) in seen:
+                        continue
+                    seen.add((lo, hi))
+                    m = align(text[lo:hi], self.words)
+                    if len(m) >= min_coverage * n:
+                        found.append((len(m) / n, len(m), lo + m[0][0], lo + m[-1][0] + 1))
         found.sort(key=lambda f: (-f[0], f[3] - f[2], f[2]))
         kept: list[tuple[float, int, int, int]] = []
         for f in found:

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, small_batches, spans
-from shelfwise.llm.common import partitions, written
+from shelfwise.llm.common import fresh, partitions, written
 from shelfwise.llm.components import components
 
 _TABLE = byte_table(51, LOWER)
@@ -351,14 +351,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     Of rows with one id and equal sets, one stays.
     """
     j = written(spark, join(spark, docs, id_col, text_col, broadcast_rows=broadcast_rows, **how), "joined")
-    gone = j.where("id <> component_id").select(F.col("id").alias("_gone")).distinct()
-    out = docs.join(_sent(gone, gone.count(), broadcast_rows), F.col(id_col) == F.col("_gone"), "left_anti")
+    key = fresh("_id", docs)
+    gone = j.where("id <> component_id").select(F.col("id").alias(key)).distinct()
+    out = docs.join(_sent(gone, gone.count(), broadcast_rows), F.col(id_col) == F.col(key), "left_anti")
     again = j.where("id = component_id AND n_shingles > 0").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    again = written(spark, again.select(F.col("id").alias("_again")), "again")
+    again = written(spark, again.select(F.col("id").alias(key)), "again")
     n = again.count()
     if not n:
         return out
     # Repeated ids are rare; only their rows are compared.
-    some = out.join(_sent(again, n, broadcast_rows), F.col(id_col) == F.col("_again"), "left_semi")
-    rest = out.join(_sent(again, n, broadcast_rows), F.col(id_col) == F.col("_again"), "left_anti")
+    some = out.join(_sent(again, n, broadcast_rows), F.col(id_col) == F.col(key), "left_semi")
+    rest = out.join(_sent(again, n, broadcast_rows), F.col(id_col) == F.col(key), "left_anti")
     return rest.unionAll(some.dropDuplicates([id_col, text_col]))

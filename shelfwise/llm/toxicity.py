@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, fresh, map_rows, small_batches
-from shelfwise.llm.common import written
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, map_rows, small_batches
+from shelfwise.llm.common import fresh, written
 
 BITS = 20
 ORDERS = (3, 4, 5, 6)
