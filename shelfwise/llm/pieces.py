@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField
 
-from shelfwise.llm.arrowtext import byte_table, hash_spans, map_rows, small_batches
+from shelfwise.llm.arrowtext import byte_table, hash_spans, map_rows, powers, small_batches
 
 MARK = "▁"
 LITERAL = "\udfff"              # stands for a mark that the text itself holds; no valid text has a lone surrogate
@@ -184,27 +184,146 @@ def _short(v: Vocabulary, seg: str) -> list[int]:
 _SEGMENTS = byte_table(31)
 
 
+class PieceTable:
+    """The pieces by hashes of their bytes (spaces as spaces), for many lookups at once."""
+
+    def __init__(self, v: Vocabulary):
+        raw = [p.replace(MARK, " ").encode() for p in v.pieces]
+        self.ids = np.array([i for i, _ in v.pieces.values()], np.int32)
+        self.scores = np.array([s for _, s in v.pieces.values()])
+        self.lengths = sorted({len(x) for x in raw}, reverse=True)
+        self.up, self.down = (x[:1024] for x in powers(1024))
+        self.hashes = np.array([self._hash(np.frombuffer(x, np.uint8)) for x in raw], np.uint64)
+        # A piece stands in the first table, or in the second where that place is taken.
+        for self.bits in range(20, 28):
+            if self._placed():
+                break
+        else:
+            raise ValueError("pieces with equal hashes")
+
+    def _placed(self) -> bool:
+        self.first, self.second = (np.full(1 << self.bits, -1, np.int32) for _ in range(2))
+        a, b = self._places(self.hashes)
+        self.first[a] = np.arange(len(a))
+        rest = np.flatnonzero(self.first[a] != np.arange(len(a)))
+        self.second[b[rest]] = rest
+        return bool((self.second[b[rest]] == rest).all())
+
+    def _hash(self, x: np.ndarray) -> int:
+        return int(np.sum(_SEGMENTS[x] * self.up[: len(x)], dtype=np.uint64))
+
+    def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        down = np.uint64(64 - self.bits)
+        return (h * np.uint64(0x9E3779B97F4A7C15)) >> down, (h * np.uint64(0xD6E8FEB86659FD93)) >> down
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The piece of each hash, or -1."""
+        a, b = self._places(h)
+        i = self.first[a]
+        miss = self.hashes[i] != h
+        miss |= i < 0
+        if miss.any():
+            j = self.second[b[miss]]
+            i[miss] = np.where((j >= 0) & (self.hashes[j] == h[miss]), j, -1)
+        return i
+
+
+def _many(v: Vocabulary, t: PieceTable, raw: list[bytes]) -> list[bytes]:
+    """The search of ``_short`` over segments of one byte length, step by step for all of them.
+
+    Positions are bytes; no path gets to a place within a character.
+    """
+    x = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    n_seg, n = x.shape
+    s = np.zeros((n + 1, n_seg), np.uint64)
+    s[1:] = np.cumsum(_SEGMENTS[x] * t.up[:n], axis=1, dtype=np.uint64).T
+    lead = x.T
+    size = np.where(lead < 0x80, 1, np.where(lead >= 0xF0, 4, np.where(lead >= 0xE0, 3, np.where(lead >= 0xC0, 2, 0))))
+    score = np.full((n + 1, n_seg), -np.inf)
+    score[0] = 0.0
+    start, piece = np.zeros((n + 1, n_seg), np.int16), np.full((n + 1, n_seg), -1, np.int32)
+    steps = sorted({*t.lengths, 1, 2, 3, 4}, reverse=True)
+    for e in range(1, n + 1):
+        best = score[e]
+        for k in steps:
+            b = e - k
+            if b < 0:
+                continue
+            i = t.find((s[e] - s[b]) * t.down[b])
+            hit = i >= 0
+            new = np.where(hit, score[b] + t.scores[i], -np.inf)
+            if k <= 4:            # a character that is no piece is spelled
+                new = np.where(~hit & (size[b] == k), score[b] + v.byte_score, new)
+            better = new > best
+            if better.any():
+                best[better] = new[better]
+                start[e][better] = b
+                piece[e][better] = i[better]
+    # Back from the ends; each step gives a piece or the bytes of a character.
+    at = np.full(n_seg, n)
+    path, count = [], np.zeros(n_seg, np.int64)
+    while True:
+        on = np.flatnonzero(at > 0)
+        if not len(on):
+            break
+        e = at[on]
+        b, i = start[e, on].astype(np.int64), piece[e, on]
+        path.append((on, b, e, i))
+        count[on] += np.where(i >= 0, 1, e - b)
+        at[on] = b
+    ends = np.cumsum(count)
+    cursor = ends.copy()
+    flat = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+    spell = np.array(v.byte_ids, np.int32)
+    for on, b, e, i in path:
+        hit = i >= 0
+        cursor[on[hit]] -= 1
+        flat[cursor[on[hit]]] = t.ids[i[hit]]
+        for k in range(1, 5):
+            more = ~hit & (e - b >= k)
+            cursor[on[more]] -= 1
+            flat[cursor[on[more]]] = spell[x[on[more], e[more] - k]]
+    return [flat[a: z].tobytes() for a, z in zip((ends - count).tolist(), ends.tolist())]
+
+
 @dataclass
 class Memo:
     """Ids of short segments by their hash, forgotten all at once when there are ``most``."""
     most: int = 400_000
     short: int = 64
+    together: int = 24           # segments of one length that are worth a search together
     ids: dict[int, bytes] = field(default_factory=dict)
-
-    def segment(self, v: Vocabulary, key: int, raw: bytes) -> bytes:
-        got = self.ids.get(key)
-        if got is None:
-            text = raw.decode().replace(MARK, LITERAL).replace(" ", MARK)
-            if len(raw) > self.short:
-                s = Viterbi(v)
-                return np.array([*s.feed(text), *s.end()], np.int32).tobytes()
-            got = np.array(_short(v, text), np.int32).tobytes()
-            if len(self.ids) >= self.most:
-                self.ids.clear()
-            self.ids[key] = got
+    table: PieceTable | None = None
+
+    def segments(self, v: Vocabulary, keys: list[int], raw: list[bytes]) -> list[bytes]:
+        """The ids of segments that are all different."""
+        got = [self.ids.get(k) for k in keys]
+        by_length: dict[int, list[int]] = {}
+        for i, x in enumerate(got):
+            if x is None:
+                by_length.setdefault(len(raw[i]), []).append(i)
+        if len(self.ids) >= self.most:
+            self.ids.clear()
+        for n, which in by_length.items():
+            if n > self.short:
+                for i in which:
+                    s = Viterbi(v)
+                    got[i] = np.array([*s.feed(_marked(raw[i])), *s.end()], np.int32).tobytes()
+                continue
+            if len(which) >= self.together:
+                self.table = self.table or PieceTable(v)
+                found = _many(v, self.table, [raw[i] for i in which])
+            else:
+                found = [np.array(_short(v, _marked(raw[i])), np.int32).tobytes() for i in which]
+            for i, ids in zip(which, found):
+                got[i] = self.ids[keys[i]] = ids
         return got
 
 
+def _marked(raw: bytes) -> str:
+    return raw.decode().replace(MARK, LITERAL).replace(" ", MARK)
+
+
 def encode_block(v: Vocabulary, memo: Memo, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all rows, row offsets) for a byte buffer of texts."""
     n = np.diff(off)
@@ -224,7 +343,7 @@ def encode_block(v: Vocabulary, memo: Memo, data: np.ndarray, off: np.ndarray) -
         return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
     keys, where, inverse = np.unique(hash_spans(buf, starts, ends, _SEGMENTS), return_index=True, return_inverse=True)
     raw = buf.tobytes()
-    found = [memo.segment(v, k, raw[a:b]) for k, a, b in zip(keys.tolist(), starts[where].tolist(), ends[where].tolist())]
+    found = memo.segments(v, keys.tolist(), [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])
     size = np.array([len(x) // 4 for x in found])
     flat = np.frombuffer(b"".join(found), np.int32)
     ids = _gather(flat, np.cumsum(size) - size, size, inverse)
