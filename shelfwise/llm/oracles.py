@@ -82,5 +82,55 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op6_warc": OP6,
+
+
+def _discounts(n: str) -> str:
+    """The discounts of counts 1 to 5 as a list, from a row ``n`` with n1 to n6."""
+    out = "CASE"
+    for k in range(5, 0, -1):
+        a = f"({k + 1} * {n}.n{k + 1} / {n}.n1)"
+        d = [f"(({r + 1} * {n}.n{r + 1} / ({r} * {n}.n{r}) - {a}) / (1 - {a}))" for r in range(1, k + 1)]
+        some = " AND ".join(f"{n}.n{r} > 0" for r in range(1, k + 2))
+        out += f" WHEN {some} AND {a} < 1 AND " + " AND ".join(f"{x} > 0 AND {x} <= 1" for x in d)
+        out += f" THEN [{', '.join(d + ['1.0'] * (5 - k))}]"
+    off = f"(CASE WHEN {n}.n1 > 0 THEN least(0.9, {n}.n1 / ({n}.n1 + 2 * {n}.n2)) ELSE 0.5 END)"
+    return out + f" ELSE [{', '.join(f'({r} - {off}) / {r}' for r in range(1, 6))}] END"
+
+
+_COUNTS_OF_COUNTS = ", ".join(f"CAST(count(*) FILTER (c = {r}) AS DOUBLE) AS n{r}" for r in range(1, 7))
+_KEPT = "(CASE WHEN {0}.c <= 5 THEN {1}[{0}.c] * {0}.c ELSE {0}.c END)"
+
+OP3 = rf"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(3988292384, x // 2) ELSE x // 2 END)) AS t),
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, y: xor(t[CAST(xor(x, y) & 255 AS INTEGER) + 1], x >> 8)), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), tab),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(crc % 7 = 2, false) AS held, {_SPACE_WORDS.format(_LOWER.format('text'))} AS ws
+  FROM documents LEFT JOIN crc USING (doc_id)),
+tok AS (SELECT r, held, unnest(list_prepend(' start', ws)) AS h, unnest(list_append(ws, ' end')) AS w FROM d),
+uni AS (SELECT w, count(*) AS c FROM tok WHERE NOT held GROUP BY w),
+bi AS (SELECT h, w, count(*) AS c FROM tok WHERE NOT held GROUP BY h, w),
+nu AS (SELECT {_COUNTS_OF_COUNTS}, CAST(coalesce(sum(c), 0) AS BIGINT) AS total, count(*) AS types FROM uni),
+nb AS (SELECT {_COUNTS_OF_COUNTS} FROM bi),
+du AS (SELECT {_discounts('nu')} AS d, total, types FROM nu),
+db AS (SELECT {_discounts('nb')} AS d FROM nb),
+p1 AS (SELECT w, c, {_KEPT.format('uni', 'd')} / (total + 1) AS p FROM uni, du),
+unk AS (SELECT 1 - coalesce(sum(p), 0) AS p FROM p1),
+ctx AS (
+  SELECT h, sum(bi.c) AS c, (1 - sum({_KEPT.format('bi', 'd')}) / (sum(bi.c) + 1)) / (1 - sum(p1.p)) AS alpha
+  FROM bi JOIN p1 USING (w), db GROUP BY h),
+s AS (
+  SELECT r, count(*) AS n_tokens, count(p1.c) AS n_known,
+    sum(log10((coalesce(p1.c, 0) + 1) / (total + types + 1))) AS base,
+    sum(log10(CASE WHEN bi.c IS NOT NULL THEN {_KEPT.format('bi', 'db.d')} / (ctx.c + 1) ELSE coalesce(alpha, 1) * coalesce(p1.p, unk.p) END)) AS score
+  FROM tok LEFT JOIN p1 USING (w) LEFT JOIN ctx USING (h) LEFT JOIN bi ON bi.h = tok.h AND bi.w = tok.w, du, db, unk GROUP BY r)
+SELECT doc_id, held AS held_out, n_tokens, n_known, total AS train_tokens, round(base, 6) AS base_score, round(score, 6) AS score
+FROM d JOIN s USING (r), du
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op3_lm_scoring": OP3, "op6_warc": OP6,
            "op10_quality_rules": OP10}
