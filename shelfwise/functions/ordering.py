@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from shelfwise.session import ensure_checkpoint_dir
 
 
-def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
-    """First ``k`` rows by ``order`` (callers append a unique key as tie-break)."""
-    return df.orderBy(*order).limit(k)
+def top_k(df: DataFrame, order: Sequence[Column | str], k: int | None) -> DataFrame:
+    """First ``k`` rows by ``order`` (callers append a unique key as tie-break); all of them for None."""
+    out = df.orderBy(*order)
+    return out if k is None else out.limit(k)
 
 
 def _running(df: DataFrame, order: Sequence[str], vals: dict, frame: str, n: int | None) -> DataFrame:

@@ -44,8 +44,9 @@ def cumulative_revenue(sales: DataFrame, frame: str = "range") -> DataFrame:
     ``frame="rows"``: row-wise running sum, ties broken by product_id.
     The grand total is a scalar subquery over all sales."""
     order = ["-revenue"] + (["product_id"] if frame == "rows" else [])
-    total = sales.agg(F.sum("revenue")).scalar()
-    return (prefix_sum(sku_revenue(sales), order, {"cum_revenue": "revenue"}, frame=frame)
+    per_sku = sku_revenue(sales)
+    total = per_sku.agg(F.sum("revenue")).scalar()
+    return (prefix_sum(per_sku, order, {"cum_revenue": "revenue"}, frame=frame)
             .withColumn("total_revenue", total))
 
 

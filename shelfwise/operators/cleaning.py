@@ -34,14 +34,23 @@ def impute_lead_time(products: DataFrame, default: int = DEFAULT_LEAD_TIME) -> D
     with partial aggregation (value counts), then joined back -- no window
     holds a whole category in one task.
     """
+    return default_lead_time(median_lead_time(products), default)
+
+
+def median_lead_time(products: DataFrame) -> DataFrame:
+    """C04 alone: NULL lead time -> median of its category, as a double (9.5 stays 9.5)."""
     med = products.groupBy("category").agg(F.median("lead_time_days").alias("_med_lead"))
     cols = products.columns
     return (products.join(med, "category", "left")
-            .withColumn("lead_time_days",
-                        F.coalesce("lead_time_days", "_med_lead", F.lit(float(default))).cast("int"))
+            .withColumn("lead_time_days", F.coalesce(F.col("lead_time_days").cast("double"), "_med_lead"))
             .select(*cols))
 
 
+def default_lead_time(products: DataFrame, default: int = DEFAULT_LEAD_TIME) -> DataFrame:
+    """C05 alone: what is still NULL -> ``default``, then truncated to int."""
+    return products.withColumn("lead_time_days", F.coalesce("lead_time_days", F.lit(float(default))).cast("int"))
+
+
 def clean_products(raw_products: DataFrame, mapping: dict | None = None,
                    default_lead: int = DEFAULT_LEAD_TIME) -> DataFrame:
     return impute_lead_time(standardize_categories(raw_products, mapping), default_lead)

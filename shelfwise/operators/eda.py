@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import money, prefix_sum, ratio, round_half_up
@@ -39,13 +39,14 @@ def monthly_revenue(sales: DataFrame) -> DataFrame:
 
 
 def category_pareto(sales: DataFrame, products: DataFrame, cutoff: float = PARETO_CUTOFF) -> DataFrame:
-    """Category revenue descending with cumulative % (categories are few
-    after the aggregate, but the running sum still goes through prefix_sum)."""
+    """Category revenue descending with cumulative % (a plain window: one
+    row per category is left after the aggregate)."""
     cat = (sales.groupBy("product_id").agg(F.sum("revenue").alias("r"))
            .join(products.select("product_id", "category"), "product_id")
            .groupBy("category").agg(F.sum("r").alias("revenue")))
     total = sales.agg(F.sum("revenue")).scalar()
-    c = prefix_sum(cat, ["-revenue", "category"], {"_cum": "revenue"}, frame="rows")
+    w = Window.orderBy(F.desc("revenue"), "category").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = cat.withColumn("_cum", F.sum("revenue").over(w))
     cum_pct = round_half_up(ratio("_cum", total) * 100, 6)
     return c.select("category", money("revenue").alias("revenue"), cum_pct.alias("cum_pct"),
                     (ratio("_cum", total) * 100 <= cutoff).alias("within_cutoff"))
@@ -104,24 +105,44 @@ def kde(df: DataFrame, col: str, gridsize: int = KDE_GRID, bins: int = HIST_BINS
 
 
 def correlation_matrix(df: DataFrame, cols=CORR_COLUMNS) -> DataFrame:
-    """Pearson correlations of every column pair, one aggregate, long form."""
+    """Pearson correlations of every column pair, one aggregate, long form.
+
+    Each pair is computed once (a column with itself too, which is NULL for a
+    constant column) and reported in both orders."""
     pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+    once = {(a, b): f"{a}__{b}" for i, a in enumerate(cols) for b in cols[i:]}
+    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(k) for (a, b), k in once.items()])
     stacked = F.explode(F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                                           F.col(f"{a}__{b}").alias("corr")) for a, b in pairs]))
+                                           F.col(once.get((a, b)) or once[(b, a)]).alias("corr")) for a, b in pairs]))
     return agg.select(stacked.alias("p")).select("p.var1", "p.var2", round_half_up("p.corr", 6).alias("corr"))
 
 
 def box_stats(df: DataFrame, col: str = "quantity_sold", k: float = 1.5) -> DataFrame:
     """Quartiles (exact, interpolated), IQR, fences, whiskers and the
-    number of points outside the fences."""
+    number of points outside the fences.
+
+    The column is collapsed to one row per distinct value first; quartiles are
+    picked from a distributed running count, so no task holds all values."""
     x = F.col(col).cast("double")
-    q = _stats(df, q1=F.percentile(x, 0.25), median=F.percentile(x, 0.5), q3=F.percentile(x, 0.75))
-    q1, q3 = q["q1"], q["q3"]
+    values = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sum(values, ["x"], {"_upto": "_c"})
+    n = values.agg(F.sum("_c")).scalar()
+
+    def at(rank):           # the value of the row with this rank from 0
+        return F.min(F.when(F.col("_upto") > rank, F.col("x")))
+
+    picks = {}
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        pos = F.lit(p) * (n - 1)
+        picks[f"{name}_lo"], picks[f"{name}_hi"], picks[f"{name}_w"] = at(F.floor(pos)), at(F.ceil(pos)), F.max(pos - F.floor(pos))
+    st = _stats(ranked, **picks)
+    quart = {q: st[f"{q}_lo"] + (st[f"{q}_hi"] - st[f"{q}_lo"]) * st[f"{q}_w"] for q in ("q1", "median", "q3")}
+    q, q1, q3 = quart, quart["q1"], quart["q3"]
     lo_f = q1 - F.lit(k) * (q3 - q1)
     hi_f = q3 + F.lit(k) * (q3 - q1)
-    w = df.agg(F.min(F.when(x >= lo_f, x)).alias("lower_whisker"), F.max(F.when(x <= hi_f, x)).alias("upper_whisker"),
-               F.count(F.when((x < lo_f) | (x > hi_f), 1)).alias("n_outliers"))
+    x = F.col("x")
+    w = values.agg(F.min(F.when(x >= lo_f, x)).alias("lower_whisker"), F.max(F.when(x <= hi_f, x)).alias("upper_whisker"),
+                   F.coalesce(F.sum(F.when((x < lo_f) | (x > hi_f), F.col("_c"))), F.lit(0)).alias("n_outliers"))
     return w.select(q1.alias("q1"), q["median"].alias("median"), q3.alias("q3"),
                     (q3 - q1).alias("iqr"), lo_f.alias("lower_fence"), hi_f.alias("upper_fence"),
                     "lower_whisker", "upper_whisker", "n_outliers")

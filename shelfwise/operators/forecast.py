@@ -164,6 +164,39 @@ def arima_params(s: DataFrame, group_cols=()) -> DataFrame:
     return tr.groupBy(*gcols).applyInPandas(fit, schema)
 
 
+def series_params(s: DataFrame, group_cols=(), window: int = MA_WINDOW) -> DataFrame:
+    """F04-F06 of each series in one row, from one grouped pass: the series is
+    collected once (a row per week, so it is short) and fitted in the same
+    task that holds its sums."""
+    gcols = list(group_cols)
+    tr = s.where(~F.col("is_test"))
+    if gcols:
+        tr = tr.repartition(fit_partitions(tr.sparkSession), *gcols)
+    last = F.when(F.col("t") >= F.col("n_train") - window, F.col("demand"))
+    g = tr.groupBy(*gcols).agg(
+        F.when(F.count(last) == window, F.avg(last)).alias("ma"),
+        F.count(F.lit(1)).alias("_n"), F.sum("t").alias("_st"), F.sum("demand").alias("_sy"),
+        F.sum(F.col("t") * F.col("t")).alias("_stt"), F.sum(F.col("t") * F.col("demand")).alias("_sty"),
+        F.sort_array(F.collect_list(F.struct("t", F.col("demand").cast("double").alias("y")))).alias("_ys"))
+    num = F.col("_n") * F.col("_sty") - F.col("_st") * F.col("_sy")
+    den = F.col("_n") * F.col("_stt") - F.col("_st") * F.col("_st")
+    slope = F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
+    g = g.select(*gcols, "ma", slope.alias("slope"), ((F.col("_sy") - slope * F.col("_st")) / F.col("_n")).alias("intercept"),
+                 F.transform("_ys", lambda x: x["y"]).alias("_ys"))
+    if not gcols:
+        g = g.where("slope IS NOT NULL")             # no training weeks, no row
+    names = ["phi", "theta", "last_d", "last_e", "last_y"]
+    kept = [c for c in g.columns if c != "_ys"]
+    schema = T.StructType([g.schema[c] for c in kept] + [T.StructField(c, T.DoubleType()) for c in names])
+
+    def fit(frames):
+        for pdf in frames:
+            fits = [arima_fit(np.asarray(y, dtype="float64")) or (None,) * 5 for y in pdf["_ys"]]
+            yield pd.concat([pdf[kept].reset_index(drop=True), pd.DataFrame(fits, columns=names, dtype="float64")], axis=1)
+
+    return g.mapInPandas(fit, schema)
+
+
 FIT_PARTITIONS = "shelfwise.forecast.fitPartitions"
 
 
@@ -199,9 +232,7 @@ def attach(df: DataFrame, params: DataFrame, group_cols) -> DataFrame:
 
 def _forecasts(sales: DataFrame, g, test_weeks: int):
     s = split(fill_weeks(weekly_demand(sales, g), g), test_weeks)
-    test = s.where(F.col("is_test"))
-    for params in (ma_params(s, g), lr_params(s, g), arima_params(s, g)):
-        test = attach(test, params, g)
+    test = attach(s.where(F.col("is_test")), series_params(s, g), g)
     h = F.col("t") - F.col("n_train") + 1
     lr = F.col("intercept") + F.col("slope") * F.col("t")
     arima = arima_path(h, F.col("phi"), F.col("theta"), F.col("last_d"), F.col("last_e"), F.col("last_y"))
@@ -238,13 +269,16 @@ def evaluation(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS) ->
 
 def report(sales: DataFrame, group_cols=(), test_weeks: int = TEST_WEEKS) -> DataFrame:
     """one row per model with flags for the best model on each metric
-    (ties broken by model name)."""
+    (ties broken by model name; a NULL error is never best, and nothing is
+    flagged where all are NULL)."""
     gk = list(group_cols)
     out = evaluation(sales, gk, test_weeks)
     w = Window.partitionBy(*gk)    # three rows per series
     for m in ["mae", "rmse", "mape"]:
-        best = F.min_by("model", F.struct(F.col(m), F.col("model"))).over(w)
-        out = out.withColumn(f"best_{m}", best == F.col("model"))
+        # A model without a forecast has no error and is never the best.
+        best = F.min_by(F.when(F.col(m).isNotNull(), F.col("model")),
+                        F.struct(F.col(m).isNull(), F.col(m), F.col("model"))).over(w)
+        out = out.withColumn(f"best_{m}", F.coalesce(best == F.col("model"), F.lit(False)))
     return out
 
 

@@ -99,11 +99,12 @@ def p08_lead_time_range(products: DataFrame) -> DataFrame:
 
 
 def p09_single_source_share(products: DataFrame) -> DataFrame:
-    """Supplier's share of each category's SKUs (window over the small
-    (supplier, category) aggregate, partitioned by category)."""
+    """Supplier's share of each category's SKUs (a second aggregate joined
+    back, so no task holds all suppliers of a category)."""
     g = products.groupBy("supplier_id", "category").agg(F.count(F.lit(1)).alias("skus"))
-    tot = F.sum("skus").over(Window.partitionBy("category"))
-    return g.withColumn("category_skus", tot).withColumn("share_pct", pct("skus", "category_skus"))
+    tot = products.groupBy(F.col("category").alias("_c")).agg(F.count(F.lit(1)).alias("category_skus"))
+    return (g.join(tot, F.col("category").eqNullSafe(F.col("_c"))).drop("_c")
+            .withColumn("share_pct", pct("skus", "category_skus")))
 
 
 def p10_a_class_share(abc: DataFrame) -> DataFrame:

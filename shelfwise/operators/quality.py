@@ -94,15 +94,16 @@ def cleaning_report(suppliers: DataFrame, warehouses: DataFrame, raw_products: D
         return agg.select(F.lit(table).alias("table_name"), rows.alias("r")).select(
             "table_name", "r.check_name", "r.value")
 
-    dedup = cleaning.dedupe_sales(raw_sales).join(
+    # Equal rows are counted while they are grouped: one scan, one shuffle.
+    dedup = raw_sales.groupBy(*raw_sales.columns).agg(F.count(F.lit(1)).alias("_copies")).join(
         products.select("product_id", F.col("unit_price").alias("_up")), "product_id", "left")
-    rows_in = raw_sales.agg(F.count(F.lit(1))).scalar()
+    rows_in = F.coalesce(F.sum("_copies"), F.lit(0))
     return _union([
         report("suppliers", suppliers, null_values=nulls(suppliers)),
         report("warehouses", warehouses, null_values=nulls(warehouses)),
         report("products", raw_products, missing_lead_time=F.count_if(F.col("lead_time_days").isNull())),
         report("products", products, null_values_after=nulls(products)),
-        report("sales", dedup, rows_in=F.max(F.lit(rows_in)), duplicates_removed=rows_in - F.count(F.lit(1)),
+        report("sales", dedup, rows_in=rows_in, duplicates_removed=rows_in - F.count(F.lit(1)),
                negative_quantity=F.count_if(F.col("quantity_sold") < 0),
                price_outliers=F.count_if(cleaning.price_outlier_flag("selling_price_per_unit", "_up", factor)),
                rows_out=F.count(F.lit(1))),
@@ -114,7 +115,10 @@ def cleaning_report(suppliers: DataFrame, warehouses: DataFrame, raw_products: D
 def primary_key_violations(tables: dict[str, DataFrame], keys=PRIMARY_KEYS) -> DataFrame:
     """Per table, key values that occur more than once and the surplus rows."""
     out = []
-    for name, cols in keys.items():
+    checks = [(name, cols) for name, cols in keys.items()]
+    if "inventory" in keys and "inventory_id" in tables["inventory"].columns:
+        checks.append(("inventory", ["inventory_id"]))      # the declared key, where the layout has it
+    for name, cols in checks:
         dup = tables[name].groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
         out.append(dup.agg(F.count(F.lit(1)).alias("duplicate_keys"),
                            F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("surplus_rows"))
@@ -148,17 +152,26 @@ def channel_violations(sales: DataFrame, channels=CHANNELS) -> DataFrame:
 
 
 def foreign_key_violations(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
-    """Child rows whose (non-NULL) key has no parent row (anti joins)."""
+    """Child rows whose (non-NULL) key has no parent row (anti joins).
+
+    Child rows are counted per key first, so a hot key is one row of the join."""
     out = []
     for child, ck, parent, pk in fks:
-        keys = tables[parent].select(F.col(pk).alias("_k")).distinct()
-        orphans = (tables[child].where(F.col(ck).isNotNull())
+        keys = tables[parent].select(F.col(pk).alias("_k"))
+        orphans = (tables[child].where(F.col(ck).isNotNull()).groupBy(ck).agg(F.count(F.lit(1)).alias("_c"))
                    .join(keys, F.col(ck) == F.col("_k"), "left_anti"))
-        out.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+        out.append(orphans.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("violations")).select(
             F.lit(f"{child}.{ck} -> {parent}.{pk}").alias("foreign_key"), "violations"))
     return _union(out)
 
 
+def generated_revenue(sales: DataFrame) -> DataFrame:
+    """Rows, and rows whose stored revenue isn't quantity x price (NULLs only match NULLs)."""
+    regenerated = cleaning.add_revenue(sales.select("quantity_sold", "selling_price_per_unit", F.col("revenue").alias("stored")))
+    return regenerated.agg(F.count(F.lit(1)).alias("rows"),
+                           F.count_if(~F.col("stored").eqNullSafe(F.col("revenue"))).alias("mismatches"))
+
+
 def default_fills(raw_inventory: DataFrame) -> DataFrame:
     """How many NULLs the column defaults (0) fill."""
     return raw_inventory.agg(F.count_if(F.col("stock_allocated").isNull()).alias("stock_allocated"),

@@ -37,6 +37,31 @@ def daily_demand_stats(sales: DataFrame, by=("product_id",)) -> DataFrame:
     return daily.groupBy(*by).agg(F.avg("_q").alias("daily_mean"), exact_std("_q").alias("daily_std"))
 
 
+def daily_demand(sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """O09 alone: every sold SKU with its daily mean and sample std (one sale day: 0)."""
+    return daily_demand_stats(sales).withColumn("daily_std", F.coalesce("daily_std", F.lit(0.0)))
+
+
+def annual_demand(sales: DataFrame, products: DataFrame, holding_rate: float = HOLDING_RATE) -> DataFrame:
+    """O10 alone: annual demand and holding cost of every sold SKU (no classes needed)."""
+    t = attach_products(daily_demand(sales), products)
+    return (t.withColumn("annual_demand", F.col("daily_mean") * F.lit(DAYS_PER_YEAR))
+            .withColumn("annual_holding_cost_per_unit", F.col("unit_cost") * F.lit(holding_rate)))
+
+
+def order_quantities(sales: DataFrame, products: DataFrame, ordering_cost: float = ORDERING_COST,
+                     holding_rate: float = HOLDING_RATE) -> DataFrame:
+    """O11 alone: EOQ of every sold SKU (no classes needed)."""
+    return with_eoq(annual_demand(sales, products, holding_rate), ordering_cost)
+
+
+def with_eoq(t: DataFrame, ordering_cost: float = ORDERING_COST) -> DataFrame:
+    """EOQ = max(rint(sqrt(2 D S / H)), MOQ); an impossible EOQ falls back to MOQ."""
+    raw = F.sqrt(F.try_divide(F.lit(2.0) * F.col("annual_demand") * F.lit(ordering_cost), F.col("annual_holding_cost_per_unit")))
+    moq = F.col("min_order_qty")
+    return t.withColumn("eoq", F.greatest(F.coalesce(F.rint(raw), moq), moq).cast("long"))
+
+
 def attach_products(classified: DataFrame, products: DataFrame) -> DataFrame:
     """Product attributes, left join by SKU (money as double, as in the frames)."""
     p = products.select("product_id", "product_name", "category",
@@ -54,11 +79,7 @@ def add_replenishment(t: DataFrame, ordering_cost: float = ORDERING_COST, holdin
     # O10
     t = (t.withColumn("annual_demand", F.col("daily_mean") * F.lit(DAYS_PER_YEAR))
           .withColumn("annual_holding_cost_per_unit", F.col("unit_cost") * F.lit(holding_rate)))
-    # EOQ = max(rint(sqrt(2 D S / H)), MOQ); an impossible EOQ falls back to MOQ
-    raw_eoq = F.sqrt(F.try_divide(F.lit(2.0) * F.col("annual_demand") * F.lit(ordering_cost),
-                                  F.col("annual_holding_cost_per_unit")))
-    moq = F.col("min_order_qty")
-    t = t.withColumn("eoq", F.greatest(F.coalesce(F.rint(raw_eoq), moq), moq).cast("long"))
+    t = with_eoq(t, ordering_cost)
     # O12, O13
     ss = F.rint(F.col("safety_factor_z") * F.col("daily_std") * F.sqrt(F.col("lead_time_days")))
     t = t.withColumn("safety_stock", F.coalesce(ss, F.lit(float(DEFAULT_SAFETY_STOCK))).cast("long"))

@@ -230,7 +230,7 @@ def q30_quantity_percentile(sales: DataFrame, k: int = 15) -> DataFrame:
                     (round_half_up(pr, 4) * 100).alias("quantity_percentile")))
 
 
-def q31_first_last_sale(sales: DataFrame, k: int = 10) -> DataFrame:
+def q31_first_last_sale(sales: DataFrame, k: int | None = None) -> DataFrame:
     g = sales.groupBy("product_id").agg(F.min("sale_date").alias("first_sale_date"),
                                         F.max("sale_date").alias("last_sale_date"))
     out = g.select("product_id", F.date_format("first_sale_date", "yyyy-MM-dd").alias("first_sale_date"),

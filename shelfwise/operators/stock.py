@@ -54,9 +54,12 @@ def q19_over_allocated(ci) -> DataFrame:
                     (F.col("stock_allocated") - F.col("stock_on_hand")).alias("short_units")))
 
 
-def q20_stock_by_warehouse(ci, k: int = 15, warehouses=WAREHOUSES) -> DataFrame:
+def q20_stock_by_warehouse(ci, k: int | None = None, warehouses=WAREHOUSES) -> DataFrame:
     """Stock per SKU pivoted to fixed warehouse columns plus the total.
 
+    ``warehouses`` names the pivoted ones; stock in any other warehouse is in
+    the total only.
+
     Written as conditional sums so that the pivot columns and the total
     come out of one aggregate (one shuffle), exactly what a pivot with
     given values compiles to."""
@@ -158,7 +161,7 @@ def q37_slow_dead_stock(ci, sales, products, min_days: int = 30, k: int = 15) ->
     return top_k(out, [F.desc("tied_up_capital"), "product_id"], k)
 
 
-def q38_eoq(sales, products, order_cost: float = 150.0, holding_rate: float = 0.15, k: int = 15) -> DataFrame:
+def q38_eoq(sales, products, order_cost: float = 150.0, holding_rate: float = 0.15, k: int | None = None) -> DataFrame:
     d = sales.groupBy("product_id").agg(F.sum("quantity_sold").alias("annual_demand_units"))
     h = F.col("unit_cost").cast("double") * F.lit(holding_rate)
     eoq = F.sqrt(F.try_divide(F.lit(2.0) * F.col("annual_demand_units").cast("double") * F.lit(order_cost), h))

@@ -15,9 +15,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import forecast, recommend, replenish
-from shelfwise.operators import cleaning
-from shelfwise.sources.files import write_table
+from shelfwise.operators import cleaning, forecast, quality, recommend, replenish
+from shelfwise.session import ship_package
+from shelfwise.sources.files import buckets, cluster, write_table
 
 
 def clean(raw: dict[str, DataFrame], category_map: dict | None = None) -> dict[str, DataFrame]:
@@ -25,7 +25,7 @@ def clean(raw: dict[str, DataFrame], category_map: dict | None = None) -> dict[s
     return {
         "suppliers": raw["suppliers"],
         "warehouses": raw["warehouses"],
-        "products": products,
+        "products": cleaning.set_null_dangling_supplier(products, raw["suppliers"]),       # K06
         "sales": cleaning.clean_sales(raw["raw_sales"], products),
         "inventory": cleaning.clean_inventory(raw["raw_inventory"]),
     }
@@ -36,23 +36,52 @@ def stage(spark: SparkSession, df: DataFrame, path: str, fmt: str, partition_by=
     write_table(df, path, fmt, partition_by=partition_by if fmt == "parquet" else None)
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return spark.read.schema(df.schema).option("header", True).csv(path)
+    return spark.read.schema(df.schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+def quality_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
+    """What a database would refuse or the cleaning changed: (source, table_name, rule, violations)
+    for keys, NOT NULLs, CHECKs and references of the cleaned tables, and the cleaning report."""
+    def rows(source, df, table, rule, n):
+        return df.select(F.lit(source).alias("source"), table.alias("table_name"), rule.alias("rule"), n.cast("long").alias("violations"))
+
+    t = {k: cleaned[k] for k in ("suppliers", "warehouses", "products", "sales", "inventory")}
+    c = F.col
+    parts = [
+        rows("primary key", quality.primary_key_violations(t), c("table_name"), c("key_columns"), c("surplus_rows")),
+        rows("not null", quality.not_null_violations(t), c("table_name"), c("column_name"), c("violations")),
+        rows("check", quality.check_violations(t), c("table_name"), c("rule_name"), c("violations")),
+        rows("foreign key", quality.foreign_key_violations(t), F.split("foreign_key", r"\.")[0], c("foreign_key"), c("violations")),
+        rows("cleaning", quality.cleaning_report(raw["suppliers"], raw["warehouses"], raw["raw_products"], cleaned["products"],
+                                                 raw["raw_sales"], raw["raw_inventory"]), c("table_name"), c("check_name"), c("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, fmt: str = "parquet",
         category_map: dict | None = None) -> dict[str, str]:
     """Write every stage; later stages read the written output of earlier ones."""
+    ship_package(spark)
     cleaned = clean(raw, category_map)
     if fmt == "parquet":        # facts partitioned by date: snapshots by day, sales by month
         cleaned["sales"] = cleaned["sales"].withColumn("sale_month", F.trunc("sale_date", "month"))
+        # As many files of a month or date as its rows need, and no more.
+        months = raw["raw_sales"].groupBy(F.trunc("sale_date", "month")).count().agg(F.max("count")).first()[0] or 0
+        dates = raw["raw_inventory"].groupBy("date").count().agg(F.max("count")).first()[0] or 0
+        cleaned["sales"] = cluster(cleaned["sales"], "sale_month", "sale_id", buckets(spark, months))
+        cleaned["inventory"] = cluster(cleaned["inventory"], "date", "product_id", buckets(spark, dates))
     layout = {"inventory": ["date"], "sales": ["sale_month"]}
     t = {name: stage(spark, df, f"{out}/{name}", fmt, layout.get(name)) for name, df in cleaned.items()}
+    stage(spark, quality_report(raw, t), f"{out}/quality_report", fmt)
     opt = stage(spark, replenish.optimization_table(t["sales"], t["products"]),
                 f"{out}/inventory_optimization", fmt)
     stage(spark, recommend.recommendations(t["inventory"], t["warehouses"], t["suppliers"], opt),
           f"{out}/inventory_recommendations", fmt)
     stage(spark, forecast.evaluation(t["sales"]), f"{out}/forecast_evaluation", fmt)
-    names = list(t) + ["inventory_optimization", "inventory_recommendations", "forecast_evaluation"]
+    names = list(t) + ["quality_report", "inventory_optimization", "inventory_recommendations", "forecast_evaluation"]
     return {n: f"{out}/{n}" for n in names}
 
 

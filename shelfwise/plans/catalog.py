@@ -1,11 +1,17 @@
-"""The loaded "database": raw and cleaned tables written once per session.
+"""The loaded "database": raw and cleaned tables, each written once per session.
 
 The reference rebuilds a database from cleaned files and then runs its
 queries against it.  Here the adapted raw tables and the cleaned tables
 are written as Parquet under the shared checkpoint folder (a written
 table cuts lineage and survives executor loss); every query then scans
-Parquet with pruning and pushdown.  ``inventory`` is partitioned by
-snapshot date, so "rows at the latest date" prunes to one partition.
+Parquet with pruning and pushdown.  A table is written when a query first
+asks for it, so a query over products alone writes nothing else.
+
+``inventory`` is partitioned by snapshot date and ``sales`` by month, each
+month or date spread over as many files as its rows need
+(``files.cluster``).  ``daily`` holds the units, revenue and number of sales
+of each (SKU, warehouse, day): queries that only add these up read it
+instead of the sales fact, so the fact is scanned once for all of them.
 """
 
 from __future__ import annotations
@@ -13,139 +19,174 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning
-from shelfwise.session import app_id, shared_dir
+from shelfwise.session import app_id, shared_dir, ship_package
 from shelfwise.sources import testdata
-from shelfwise.sources.files import write_table
+from shelfwise.sources.files import buckets, cluster, write_table
 
+SALES_MONTH = "sale_month"      # partition column of the sales tables (first day of the month)
+SNAPSHOT_COLUMNS = ["date", "product_id", "warehouse_id", "stock_on_hand", "stock_allocated", "stock_on_order"]
+SALES_COLUMNS = ["sale_id", "sale_date", "product_id", "warehouse_id", "quantity_sold", "selling_price_per_unit", "channel", "revenue"]
+DAILY_COLUMNS = ["sale_date", "product_id", "warehouse_id", "quantity_sold", "revenue", "n_sales"]
 
-@dataclass
-class Tables:
-    suppliers: DataFrame
-    warehouses: DataFrame
-    products: DataFrame
-    sales: DataFrame
-    inventory: DataFrame
-    raw_products: DataFrame
-    raw_sales: DataFrame
-    raw_inventory: DataFrame
-    # sales with its month partition column, for operators that prune by date
-    sales_by_month: DataFrame | None = None
-
-    def as_dict(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.__dict__.items() if v is not None}
+_LOCK = threading.RLock()        # re-entrant: derived tables load the ones they come from
+_CACHE: dict[tuple, object] = {}
 
 
-_LOCK = threading.RLock()        # re-entrant: derived tables load the catalog first
-_CACHE: dict[tuple[str, str], Tables] = {}
+def daily_sales(sales: DataFrame) -> DataFrame:
+    """Units, revenue and number of sales of each (SKU, warehouse, day), under the names of the sales table."""
+    return sales.groupBy("product_id", "warehouse_id", "sale_date").agg(
+        F.sum("quantity_sold").alias("quantity_sold"), F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n_sales"))
 
 
 def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy plans of all eight tables from the test data (nothing written)."""
+    """Lazy plans of all tables from the test data (nothing written)."""
     raw = testdata.raw_tables(spark, sf_dir)
     products = cleaning.clean_products(raw["raw_products"], testdata.TEST_CATEGORY_MAP)
+    sales = cleaning.clean_sales(raw["raw_sales"], products)
     return {
         **raw,
         "products": products,
-        "sales": cleaning.clean_sales(raw["raw_sales"], products),
+        "sales": sales,
         "inventory": cleaning.clean_inventory(raw["raw_inventory"]),
+        "daily": daily_sales(sales),
     }
 
 
-FILES_PER_DATE = "shelfwise.snapshot.filesPerDate"
-SALES_MONTH = "sale_month"      # partition column of the sales table (first day of the month)
+class Tables:
+    """The tables of one data folder, as attributes; each is written when first read.
+
+    ``sales_by_month`` and ``daily_by_month`` are ``sales`` and ``daily`` with
+    their month partition column, for operators that prune by date.
+    """
+
+    NAMES = ["suppliers", "warehouses", "products", "sales", "inventory", "raw_products", "raw_sales", "raw_inventory", "daily"]
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._root = _root(spark, sf_dir, "catalog")
+        self._raw: dict[str, DataFrame] = {}
+        self._done: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        with _LOCK:
+            if name in ("sales_by_month", "daily_by_month"):
+                getattr(self, name.split("_")[0])
+                return self._read(name.split("_")[0])
+            if name not in self.NAMES:
+                raise AttributeError(name)
+            if name not in self._done:
+                self._write(name)
+                columns = {"sales": SALES_COLUMNS, "daily": DAILY_COLUMNS, "inventory": SNAPSHOT_COLUMNS, "raw_inventory": SNAPSHOT_COLUMNS}
+                df = self._read(name)
+                self._done[name] = df.select(*columns[name]) if name in columns else df
+            return self._done[name]
+
+    def all(self) -> dict[str, DataFrame]:
+        """Every table, written."""
+        return {n: getattr(self, n) for n in self.NAMES}
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._root}/{name}")
+
+    def _months(self) -> int:
+        """Rows of the raw sales' largest month."""
+        n = self.raw_sales.groupBy(F.trunc("sale_date", "month")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        return n or 0
+
+    def _snapshot(self) -> int:
+        """Rows of a snapshot date: every SKU in every warehouse."""
+        return self.raw_products.count() * self.warehouses.count()
+
+    def _write(self, name: str) -> None:
+        spark, path = self._spark, f"{self._root}/{name}"
+        if name == "products":
+            return write_table(cleaning.clean_products(self.raw_products, testdata.TEST_CATEGORY_MAP), path)
+        if name == "sales":
+            df = cleaning.clean_sales(self.raw_sales, self.products).withColumn(SALES_MONTH, F.trunc("sale_date", "month"))
+            return write_table(cluster(df, SALES_MONTH, "sale_id", buckets(spark, self._months())), path, partition_by=[SALES_MONTH])
+        if name == "daily":
+            df = daily_sales(self.sales).withColumn(SALES_MONTH, F.trunc("sale_date", "month"))
+            return write_table(cluster(df, SALES_MONTH, "product_id", buckets(spark, self._months())), path, partition_by=[SALES_MONTH])
+        if name == "inventory":
+            df = cluster(cleaning.clean_inventory(self.raw_inventory), "date", "product_id", buckets(spark, self._snapshot()))
+            return write_table(df, path, partition_by=["date"])
+        self._raw = self._raw or testdata.raw_tables(spark, self._sf_dir)
+        df = self._raw[name]
+        if name == "raw_inventory":
+            return write_table(cluster(df, "date", "product_id", buckets(spark, self._snapshot())), path, partition_by=["date"])
+        return write_table(df, path)
+
+
+class LazyTables:
+    """The same tables as plans (nothing written)."""
+
+    def __init__(self, frames: dict[str, DataFrame]):
+        self.__dict__.update(frames)
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return dict(self.__dict__)
+
 
+def _root(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    return shared_dir(spark, kind, app_id(spark), hashlib.sha1(_key(sf_dir).encode()).hexdigest()[:12])
 
-def snapshot_layout(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Cluster snapshot rows for a date-partitioned write: hash on (date,
-    SKU bucket) gives ``filesPerDate`` files per date (raise it on large
-    data so each file stays a few hundred MB).  A hash exchange needs no
-    sampling pass over the input, unlike range partitioning."""
-    k = int(spark.conf.get(FILES_PER_DATE, "1"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64("product_id"), F.lit(k))
-    # Each (date, bucket) lands in exactly one of the n partitions, so n sets
-    # the write parallelism, not the file count (dates x buckets).
-    return df.repartition(n, "date", bucket)
 
+def _key(sf_dir: str) -> str:
+    return sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
 
-def _write_all(spark: SparkSession, sf_dir: str, root: str) -> None:
-    # Raw tables first; cleaned tables are derived from the written raw ones
-    # so the adapter joins run once.
-    raw = testdata.raw_tables(spark, sf_dir)
-    for name in ["suppliers", "warehouses", "raw_products"]:
-        write_table(raw[name], f"{root}/{name}")
-    write_table(raw["raw_sales"], f"{root}/raw_sales")
-    write_table(snapshot_layout(raw["raw_inventory"], spark), f"{root}/raw_inventory", partition_by=["date"])
-
-    rd = lambda t: spark.read.parquet(f"{root}/{t}")
-    products = cleaning.clean_products(rd("raw_products"), testdata.TEST_CATEGORY_MAP)
-    write_table(products, f"{root}/products")
-    sales = cleaning.clean_sales(rd("raw_sales"), rd("products"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    monthly = sales.withColumn(SALES_MONTH, F.trunc("sale_date", "month")).repartition(n, SALES_MONTH)
-    write_table(monthly, f"{root}/sales", partition_by=[SALES_MONTH])
-    inv = cleaning.clean_inventory(rd("raw_inventory"))
-    write_table(snapshot_layout(inv, spark), f"{root}/inventory", partition_by=["date"])
-
-
-def load(spark: SparkSession, sf_dir: str) -> Tables:
-    """Tables for ``sf_dir``, written on first use in this application."""
-    app = app_id(spark)
-    key = (app, os.path.abspath(sf_dir))
+
+def load(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Tables:
+    """Tables for ``sf_dir``, written on first use in this application.
+
+    Input that changes under the same path is only seen with ``refresh``,
+    which writes all tables anew when they are next read.
+    """
+    ship_package(spark)
     with _LOCK:
+        key = (app_id(spark), _key(sf_dir))
+        if refresh:
+            for k in [k for k in _CACHE if k[:2] == key]:
+                del _CACHE[k]
         if key not in _CACHE:
-            digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            root = shared_dir(spark, "catalog", app, digest)
-            _write_all(spark, sf_dir, root)
-            rd = lambda t: spark.read.parquet(f"{root}/{t}")
-            cols = {
-                "raw_inventory": ["date", "product_id", "warehouse_id", "stock_on_hand",
-                                  "stock_allocated", "stock_on_order"],
-            }
-            cols["inventory"] = cols["raw_inventory"]
-            cols["sales"] = ["sale_id", "sale_date", "product_id", "warehouse_id", "quantity_sold",
-                             "selling_price_per_unit", "channel", "revenue"]
-            frames = {}
-            for t in ["suppliers", "warehouses", "products", "sales", "inventory",
-                      "raw_products", "raw_sales", "raw_inventory"]:
-                df = rd(t)
-                frames[t] = df.select(*cols[t]) if t in cols else df
-            frames["sales_by_month"] = rd("sales")
-            _CACHE[key] = Tables(**frames)
+            _CACHE[key] = Tables(spark, sf_dir)
         return _CACHE[key]
 
 
-def optimization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The per-SKU optimization table (O14), written once per application
-    like the reference's persisted optimization output; the recommendation
-    step reads it instead of recomputing it."""
-    from shelfwise.operators import replenish
+def derived(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A table made from the catalog by ``make(tables)``, written once per application."""
     t = load(spark, sf_dir)
-    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    root = shared_dir(spark, "derived", app_id(spark), digest)
-    key = ("optimization", root)
     with _LOCK:
+        key = (app_id(spark), _key(sf_dir), name)
         if key not in _CACHE:
-            write_table(replenish.optimization_table(t.sales, t.products), f"{root}/inventory_optimization")
-            _CACHE[key] = spark.read.parquet(f"{root}/inventory_optimization")
+            path = f"{_root(spark, sf_dir, 'derived')}/{name}"
+            write_table(make(t), path)
+            _CACHE[key] = spark.read.parquet(path)
         return _CACHE[key]
 
 
+def optimization(spark: SparkSession, sf_dir: str, by_warehouse: bool = False) -> DataFrame:
+    """The optimization table (O14), written once per application like the
+    reference's persisted optimization output; the recommendation step reads
+    it instead of recomputing it."""
+    from shelfwise.operators import replenish
+    name = "inventory_optimization" + "_by_warehouse" * by_warehouse
+    return derived(spark, sf_dir, name, lambda t: replenish.optimization_table(t.daily, t.products, by_warehouse=by_warehouse))
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> str:
     """The five loaded tables written once as header CSV (overwrite)
     next to the Parquet catalog; returns the folder."""
     t = load(spark, sf_dir)
-    app = app_id(spark)
-    digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    root = shared_dir(spark, "csv", app, digest)
-    key = ("csv", root)
+    root = _root(spark, sf_dir, "csv")
     with _LOCK:
+        key = (app_id(spark), _key(sf_dir), "csv")
         if key not in _CACHE:
             for name in ["suppliers", "warehouses", "products", "sales", "inventory"]:
                 write_table(getattr(t, name), f"{root}/{name}.csv", fmt="csv")
@@ -153,7 +194,6 @@ def csv_export(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def load_lazy(spark: SparkSession, sf_dir: str) -> Tables:
+def load_lazy(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Same tables as ``load`` but as one lazy plan (no writes)."""
-    return Tables(**build(spark, sf_dir))
-
+    return LazyTables(build(spark, sf_dir))

@@ -42,25 +42,25 @@ _q("q02", S.q02_top_unit_price, "products")
 _q("q03", S.q03_skus_per_category, "products")
 _q("q04", S.q04_channel_mix, "sales")
 _q("q05", S.q05_supplier_averages, "suppliers")
-_q("q06", S.q06_top_products_by_revenue, "sales", "products")
+_q("q06", S.q06_top_products_by_revenue, "daily", "products")
 _q("q07", S.q07_monthly_trend, "sales")
 _q("q08", S.q08_aov_by_channel, "sales")
-_q("q09", S.q09_category_margin, "sales", "products")
+_q("q09", S.q09_category_margin, "daily", "products")
 _q("q10", S.q10_weekday_weekend, "sales")
-_q("q11", S.q11_warehouse_contribution, "sales", "warehouses")
-_q("q12", S.q12_warehouse_category, "sales", "warehouses", "products")
+_q("q11", S.q11_warehouse_contribution, "daily", "warehouses")
+_q("q12", S.q12_warehouse_category, "daily", "warehouses", "products")
 _q("q13", S.q13_markup, "products")
 _q("q14", S.q14_daily_avg_by_month, "sales")
-_q("q15", S.q15_low_revenue_skus, "sales", "products")
-_q("q26", S.q26_top_per_category, "sales", "products")
-_q("q27", S.q27_running_monthly_revenue, "sales")
+_q("q15", S.q15_low_revenue_skus, "daily", "products")
+_q("q26", S.q26_top_per_category, "daily", "products")
+_q("q27", S.q27_running_monthly_revenue, "daily")
 _q("q28", S.q28_rolling_7d, "sales")
-_q("q29", S.q29_mom_growth, "sales")
+_q("q29", S.q29_mom_growth, "daily")
 _q("q30", S.q30_quantity_percentile, "sales")
-_q("q31", S.q31_first_last_sale, "sales")
+_q("q31", S.q31_first_last_sale, "daily")
 _q("q32", S.q32_basket_bands, "sales")
 _q("q33", S.q33_large_baskets, "sales")
-_q("q34", S.q34_rolling_3m_category_units, "sales", "products")
+_q("q34", S.q34_rolling_3m_category_units, "daily", "products")
 _q("q35", S.q35_best_channel_per_category, "sales", "products")
 
 
@@ -88,15 +88,15 @@ QUERIES["q18"] = _with_ci(K.q18_out_of_stock)
 QUERIES["q19"] = _with_ci(K.q19_over_allocated)
 QUERIES["q20"] = _with_ci(K.q20_stock_by_warehouse)
 QUERIES["q21"] = _with_ci(K.q21_stock_status)
-QUERIES["q22"] = _with_ci(K.q22_dio, "sales", "products")
-QUERIES["q23"] = _with_ci(K.q23_turnover, "sales", "products")
-QUERIES["q24"] = _with_ci(K.q24_lowest_sku_turnover, "sales", "products")
+QUERIES["q22"] = _with_ci(K.q22_dio, "daily", "products")
+QUERIES["q23"] = _with_ci(K.q23_turnover, "daily", "products")
+QUERIES["q24"] = _with_ci(K.q24_lowest_sku_turnover, "daily", "products")
 QUERIES["q25"] = _with_ci(K.q25_pending_ratio)
-QUERIES["q36"] = _with_ci(K.q36_reorder_alerts, "sales", "products")
-QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "sales_by_month", "products")
-_q("q38", K.q38_eoq, "sales", "products")
+QUERIES["q36"] = _with_ci(K.q36_reorder_alerts, "daily", "products")
+QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "daily_by_month", "products")
+_q("q38", K.q38_eoq, "daily", "products")
 _q("q42", SU.q42_supplier_scorecard, "suppliers")
-_q("q43", SU.q43_warehouse_efficiency, "sales", "warehouses")
+_q("q43", SU.q43_warehouse_efficiency, "daily", "warehouses")
 _q("q44", SU.q44_supplier_category_skus, "products", "suppliers")
 QUERIES["q45"] = _with_ci(K.q45_outages_by_supplier, "suppliers", "products")
 
@@ -111,27 +111,31 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 
 
 # Classification and replenishment
-_q("q39", C.q39_abc, "sales")
-_q("q40", C.q40_xyz, "sales", "products")
-QUERIES["q41"] = lambda spark, d: (lambda t: C.q41_abc_xyz_matrix(t.sales, _ci(t), t.products))(load(spark, d))
-_q("o01", C.o01_revenue_share, "sales")
-_q("o02", C.o02_abc, "sales")
-_q("o03", C.o03_class_counts, "sales")
-QUERIES["o04"] = lambda spark, d: _r6(C.o04_xyz_stats(load(spark, d).sales), "std", "cv")
-QUERIES["o05"] = lambda spark, d: _r6(C.o05_xyz(load(spark, d).sales), "std", "cv")
-QUERIES["o06"] = lambda spark, d: _r6(C.o06_classification(load(spark, d).sales), "std", "cv")
+_q("q39", C.q39_abc, "daily")
+_q("q40", C.q40_xyz, "daily", "products")
+QUERIES["q41"] = lambda spark, d: (lambda t: C.q41_abc_xyz_matrix(t.daily, _ci(t), t.products))(load(spark, d))
+_q("o01", C.o01_revenue_share, "daily")
+_q("o02", C.o02_abc, "daily")
+_q("o03", C.o03_class_counts, "daily")
+QUERIES["o04"] = lambda spark, d: _r6(C.o04_xyz_stats(load(spark, d).daily), "std", "cv")
+QUERIES["o05"] = lambda spark, d: _r6(C.o05_xyz(load(spark, d).daily), "std", "cv")
+QUERIES["o06"] = lambda spark, d: _r6(C.o06_classification(load(spark, d).daily), "std", "cv")
 
 
 def _opt(spark, d):
     t = load(spark, d)
-    return RP.optimization_table(t.sales, t.products)
+    return RP.optimization_table(t.daily, t.products)
 
 
+# The steps that need no classes have plans of their own.
+_OWN = {"o09": RP.daily_demand, "o10": RP.annual_demand, "o11": RP.order_quantities}
 for _k, _cols in RP.STEP_COLUMNS.items():
-    QUERIES[_k] = (lambda cols: lambda spark, d: _r6(_opt(spark, d).select(*cols), "daily_std"))(_cols)
+    if _k in _OWN:
+        QUERIES[_k] = (lambda fn, cols: lambda spark, d: (lambda t: _r6(fn(t.daily, t.products).select(*cols), "daily_std"))(load(spark, d)))(_OWN[_k], _cols)
+    else:
+        QUERIES[_k] = (lambda cols: lambda spark, d: _r6(_opt(spark, d).select(*cols), "daily_std"))(_cols)
 QUERIES["o14"] = lambda spark, d: _r6(_opt(spark, d), "std", "cv", "daily_std")
-QUERIES["o14_by_warehouse"] = lambda spark, d: (lambda t: _r6(RP.optimization_table(
-    t.sales, t.products, by_warehouse=True), "std", "cv", "daily_std"))(load(spark, d))
+QUERIES["o14_by_warehouse"] = lambda spark, d: _r6(optimization(spark, d, by_warehouse=True), "std", "cv", "daily_std")
 
 
 # Health score and recommendations
@@ -171,7 +175,7 @@ def _r12_by_warehouse(spark, d):
     doubles with NULLs (as a pandas frame would hold them)."""
     t = load(spark, d)
     recs = RC.recommendations(t.inventory, t.warehouses, t.suppliers,
-                              RP.optimization_table(t.sales, t.products, by_warehouse=True))
+                              optimization(spark, d, by_warehouse=True))
     for c in ["rop", "eoq", "safety_stock"]:
         recs = recs.withColumn(c, F.col(c).cast("double"))
     return recs
@@ -183,7 +187,7 @@ QUERIES["r12_by_warehouse"] = _r12_by_warehouse
 # Demand forecasting (total weekly series, as in the reference; the
 # functions take group_cols for per-SKU / per-category series)
 def _split(spark, d):
-    s = load(spark, d).sales
+    s = load(spark, d).daily
     return FC.split(FC.fill_weeks(FC.weekly_demand(s)))
 
 
@@ -191,23 +195,23 @@ def _wk(df: DataFrame) -> DataFrame:
     return df.withColumn("week", F.date_format("week", "yyyy-MM-dd"))
 
 
-QUERIES["f01"] = lambda spark, d: _wk(FC.weekly_demand(load(spark, d).sales))
-QUERIES["f02"] = lambda spark, d: _wk(FC.fill_weeks(FC.weekly_demand(load(spark, d).sales)))
+QUERIES["f01"] = lambda spark, d: _wk(FC.weekly_demand(load(spark, d).daily))
+QUERIES["f02"] = lambda spark, d: _wk(FC.fill_weeks(FC.weekly_demand(load(spark, d).daily)))
 QUERIES["f03"] = lambda spark, d: _wk(_split(spark, d).select("week", "t", "n", "demand", "is_test"))
 QUERIES["f04"] = lambda spark, d: FC.ma_params(_split(spark, d))
 QUERIES["f05"] = lambda spark, d: FC.lr_params(_split(spark, d))
 QUERIES["f06"] = lambda spark, d: FC.arima_params(_split(spark, d))
-QUERIES["f07"] = lambda spark, d: _wk(FC.forecasts(load(spark, d).sales)).withColumn(
+QUERIES["f07"] = lambda spark, d: _wk(FC.forecasts(load(spark, d).daily)).withColumn(
     "forecast_lr", round_half_up("forecast_lr", 6)).withColumn("forecast_arima", round_half_up("forecast_arima", 6))
-QUERIES["f08"] = lambda spark, d: FC.evaluation(load(spark, d).sales)
-QUERIES["f09"] = lambda spark, d: FC.report(load(spark, d).sales)
-QUERIES["f10"] = lambda spark, d: _wk(FC.comparison_series(load(spark, d).sales)).withColumn(
+QUERIES["f08"] = lambda spark, d: FC.evaluation(load(spark, d).daily)
+QUERIES["f09"] = lambda spark, d: FC.report(load(spark, d).daily)
+QUERIES["f10"] = lambda spark, d: _wk(FC.comparison_series(load(spark, d).daily)).withColumn(
     "value", round_half_up("value", 6))
 
 
 def _sales_by_category(spark, d):
     t = load(spark, d)
-    return t.sales.join(t.products.select("product_id", "category"), "product_id")
+    return t.daily.join(t.products.select("product_id", "category"), "product_id")
 
 
 def _f06_by_category(spark, d):
@@ -218,7 +222,7 @@ def _f06_by_category(spark, d):
 # The same forecasting plan, one series per category (the scale axis).
 QUERIES["f06_by_category"] = _f06_by_category
 QUERIES["f09_by_category"] = lambda spark, d: FC.report(_sales_by_category(spark, d), ["category"])
-QUERIES["f09_by_warehouse"] = lambda spark, d: FC.report(load(spark, d).sales, ["warehouse_id"])
+QUERIES["f09_by_warehouse"] = lambda spark, d: FC.report(load(spark, d).daily, ["warehouse_id"])
 
 
 # EDA datasets
@@ -232,9 +236,9 @@ def _dbl(df: DataFrame) -> DataFrame:
 
 QUERIES["e01"] = lambda spark, d: (lambda t: _dbl(V.iso_dates(
     E.enriched_sales(t.sales, t.products, t.warehouses), "sale_date")))(load(spark, d))
-_q("e02", E.monthly_revenue, "sales")
-_q("e03", E.category_pareto, "sales", "products")
-_q("e04", E.warehouse_revenue, "sales", "warehouses")
+_q("e02", E.monthly_revenue, "daily")
+_q("e03", E.category_pareto, "daily", "products")
+_q("e04", E.warehouse_revenue, "daily", "warehouses")
 QUERIES["e05"] = lambda spark, d: E.histogram(load(spark, d).products, "unit_price")
 QUERIES["e06"] = lambda spark, d: E.kde(load(spark, d).products, "unit_price")
 _q("e07", E.correlation_matrix, "products")
@@ -262,9 +266,10 @@ QUERIES["c01"] = lambda spark, d: Q.null_profile(_raw(load(spark, d)))
 _q("c02", Q.category_lists, "raw_products", "products")
 QUERIES["c03"] = lambda spark, d: (lambda t: C_.standardize_categories(t.raw_products, TEST_MAP).select(
     "product_id", "category"))(load(spark, d))
-QUERIES["c04"] = lambda spark, d: (lambda t: C_.impute_lead_time(C_.standardize_categories(
+QUERIES["c04"] = lambda spark, d: (lambda t: C_.median_lead_time(C_.standardize_categories(
+    t.raw_products, TEST_MAP)).select("product_id", "category", "lead_time_days"))(load(spark, d))
+QUERIES["c05"] = lambda spark, d: (lambda t: C_.impute_lead_time(C_.standardize_categories(
     t.raw_products, TEST_MAP)).select("product_id", "category", "lead_time_days"))(load(spark, d))
-QUERIES["c05"] = QUERIES["c04"]
 QUERIES["c06"] = lambda spark, d: V.iso_dates(_dbl(C_.dedupe_sales(load(spark, d).raw_sales)), "sale_date")
 QUERIES["c07"] = lambda spark, d: V.iso_dates(_dbl(C_.fix_quantity(C_.dedupe_sales(load(spark, d).raw_sales))),
                                               "sale_date")
@@ -285,10 +290,7 @@ QUERIES["k04"] = lambda spark, d: Q.channel_violations(load(spark, d).sales)
 QUERIES["k05"] = lambda spark, d: Q.foreign_key_violations(_loaded(load(spark, d)))
 QUERIES["k06"] = lambda spark, d: (lambda t: C_.set_null_dangling_supplier(t.products, t.suppliers).select(
     "product_id", "supplier_id"))(load(spark, d))
-QUERIES["k07"] = lambda spark, d: (lambda s: s.agg(
-    F.count(F.lit(1)).alias("rows"),
-    F.count_if(F.col("revenue") != (F.col("quantity_sold") * F.col("selling_price_per_unit"))).alias("mismatches")))(
-    C_.add_revenue(load(spark, d).sales.drop("revenue")))
+_q("k07", Q.generated_revenue, "sales")
 QUERIES["k08"] = lambda spark, d: Q.default_fills(load(spark, d).raw_inventory)
 
 
@@ -305,18 +307,18 @@ QUERIES["s02"] = lambda spark, d: V.iso_dates(_dbl(_csv_tables(spark, d)["sales"
 
 
 def _s03(spark, d):
+    """The sales table of a database of named tables, with its regenerated revenue."""
     t = load(spark, d)
-    SF.load_tables(spark, _loaded(t))
-    return SF.row_counts({n: spark.table(n) for n in ["suppliers", "warehouses", "products", "sales", "inventory"]})
+    database = SF.create_database(spark, d)
+    SF.load_tables(spark, _loaded(t), database)
+    return V.iso_dates(_dbl(spark.table(f"{database}.sales").select(
+        "sale_id", "sale_date", "product_id", "quantity_sold", "selling_price_per_unit", "revenue")), "sale_date")
 
 
 def _s04(spark, d):
-    from shelfwise.session import app_id, shared_dir
+    """Row counts of the five tables after a full rebuild over an existing one."""
     t = load(spark, d)
-    path = shared_dir(spark, "rebuild", app_id(spark), "products")
-    for _ in range(2):                      # a full rebuild twice leaves one copy
-        SF.write_table(t.products, path)
-    return SF.row_counts({"products": spark.read.parquet(path)})
+    return SF.row_counts(SF.rebuild(spark, _loaded(t), SF.folder_of(spark, d, "rebuild")))
 
 
 def _views(spark, d):
@@ -342,15 +344,15 @@ def _recs_full(spark, d):
 
 QUERIES["p01"] = lambda spark, d: P.p01_stockout_rate(load(spark, d).inventory)
 QUERIES["p02"] = lambda spark, d: P.p02_overstock_capital(_recs(spark, d, full=False), load(spark, d).products)
-QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.sales_by_month, t.products))(load(spark, d))
-_q("p04", P.p04_revenue_vs_space, "sales", "warehouses")
+QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.daily_by_month, t.products))(load(spark, d))
+_q("p04", P.p04_revenue_vs_space, "daily", "warehouses")
 QUERIES["p05"] = lambda spark, d: P.p05_avg_stockout_days(_cur(spark, d))
 QUERIES["p06"] = lambda spark, d: P.p06_transfer_candidates(_recs_full(spark, d))
-_q("p07", P.p07_cost_per_sqft, "sales", "warehouses")
+_q("p07", P.p07_cost_per_sqft, "daily", "warehouses")
 _q("p08", P.p08_lead_time_range, "products")
 _q("p09", P.p09_single_source_share, "products")
-QUERIES["p10"] = lambda spark, d: P.p10_a_class_share(C.o02_abc(load(spark, d).sales))
-_q("p11", P.p11_category_markup_profit, "sales", "products")
+QUERIES["p10"] = lambda spark, d: P.p10_a_class_share(C.o02_abc(load(spark, d).daily))
+_q("p11", P.p11_category_markup_profit, "daily", "products")
 _q("p12", P.p12_channel_share, "sales")
 _q("p13", P.p13_weekend_uplift, "sales")
 _q("p14", P.p14_low_margin_skus, "products")

@@ -37,7 +37,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -46,8 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    folder; it is always honoured.  Only when nothing is configured (unit
-    tests, a laptop) do we fall back to a fresh folder under /tmp.
+    folder; it is always honoured.  Only when nothing is configured on a
+    ``local`` master (unit tests, a laptop) do we fall back to a fresh folder
+    under /tmp; on any other master a missing setting is an error, for tables
+    in a machine's own folder would be lost to the other machines.
     """
     try:
         sc = spark.sparkContext
@@ -63,11 +68,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         conf_dir = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application.
+
+    Python functions of the package run on executors by import.  A launcher
+    may install it there or pass ``--py-files``; this does the same for
+    sessions that were started without either.
+    """
+    app = app_id(spark)
+    if app in _SHIPPED:
+        return
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions get the package from their server
+        return
+    import shutil
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="shelfwise-package-"), "shelfwise")
+    sc.addPyFile(shutil.make_archive(name, "zip", root, "shelfwise"))
+    _SHIPPED.add(app)
+
+
 def app_id(spark: SparkSession) -> str:
     """Identifier of the running application (session id on Spark Connect)."""
     try:

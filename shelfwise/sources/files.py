@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.session import app_id, shared_dir
 from shelfwise.sources.schema import FK_ORDER, RAW_SCHEMAS
 
 
@@ -32,6 +35,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
     w.format(fmt).save(path)
 
 
+ROWS_PER_FILE = "shelfwise.layout.rowsPerFile"
+
+
+def buckets(spark: SparkSession, rows: int) -> int:
+    """Files that ``rows`` rows of one partition value need: at most
+    ``shelfwise.layout.rowsPerFile`` (default 4 million) in each."""
+    per_file = int(spark.conf.get(ROWS_PER_FILE, "4000000"))
+    return max(1, -(-rows // per_file))
+
+
+def cluster(df: DataFrame, key: str, spread: str, n_buckets: int) -> DataFrame:
+    """Rows of one ``key`` value in ``n_buckets`` places of the shuffle, by the
+    hash of ``spread``: a write partitioned by ``key`` then makes at most so
+    many files of each value, and a large value is no single task."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_buckets)
+    return df.repartition(n, F.col(key), F.pmod(F.xxhash64(spread), F.lit(n_buckets)))
+
+
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str | None = None) -> None:
     """Register cleaned tables under their names in FK order.
 
@@ -50,6 +71,25 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str
             df.createOrReplaceTempView(name)
 
 
+def folder_of(spark: SparkSession, data: str, kind: str) -> str:
+    """A folder for tables made from the data folder ``data`` in this application."""
+    return shared_dir(spark, kind, app_id(spark), hashlib.sha1(data.encode()).hexdigest()[:12])
+
+
+def create_database(spark: SparkSession, data: str) -> str:
+    """A database for the tables of the data folder ``data``, kept in the shared folder."""
+    name = "shelfwise_" + hashlib.sha1((app_id(spark) + data).encode()).hexdigest()[:12]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder_of(spark, data, 'database')}'")
+    return name
+
+
+def rebuild(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Every table written anew over what is there; returns the tables read back."""
+    for name, df in tables.items():
+        write_table(df, f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """Named business views as temp views."""
     for name, df in views.items():

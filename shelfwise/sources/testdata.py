@@ -94,12 +94,13 @@ def raw_sales(b) -> DataFrame:
                      "selling_price_per_unit", "channel"))
 
 
-def raw_inventory(b) -> DataFrame:
+def raw_inventory(b, days: int = SNAPSHOT_DAYS) -> DataFrame:
+    """Snapshots of the last ``days`` ship days: every date x SKU x warehouse (the table is that product)."""
     li = b["lineitem"]
     ship = F.col("l_shipdate").cast("date")
     max_d = li.agg(F.max(ship)).scalar()
-    in_window = ship > F.date_sub(max_d, SNAPSHOT_DAYS)
-    # Bounded arrays: at most SNAPSHOT_DAYS dates, and the fixed region list.
+    in_window = ship > F.date_sub(max_d, days)
+    # Bounded arrays: at most ``days`` dates, and the fixed region list.
     dates = li.where(in_window).agg(F.collect_set(ship)).scalar()
     regions = b["region"].agg(F.collect_set("r_regionkey")).scalar()
 
@@ -128,12 +129,12 @@ def raw_inventory(b) -> DataFrame:
         "CASE WHEN oh < 2.5 * (3 + p_size % 19) AND (pk + rk) % 3 = 0 THEN 50 ELSE 0 END AS stock_on_order")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, days: int = SNAPSHOT_DAYS) -> dict[str, DataFrame]:
     b = read_base(spark, sf_dir)
     return {
         "suppliers": suppliers(b),
         "warehouses": warehouses(b),
         "raw_products": raw_products(b),
         "raw_sales": raw_sales(b),
-        "raw_inventory": raw_inventory(b),
+        "raw_inventory": raw_inventory(b, days),
     }

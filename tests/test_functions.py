@@ -73,7 +73,7 @@ def test_batch_writes_every_stage(spark, tmp_path):
     from shelfwise.sources import testdata
     paths = batch.run(spark, testdata.raw_tables(spark, SF_SMALL), str(tmp_path / "out"), "csv",
                          testdata.TEST_CATEGORY_MAP)
-    assert set(paths) == {"suppliers", "warehouses", "products", "sales", "inventory", "inventory_optimization",
+    assert set(paths) == {"suppliers", "warehouses", "products", "sales", "inventory", "quality_report", "inventory_optimization",
                           "inventory_recommendations", "forecast_evaluation"}
     recs = spark.read.option("header", True).csv(paths["inventory_recommendations"])
     assert len(recs.columns) == 17 and recs.count() > 0

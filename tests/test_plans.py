@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL
+from shelfwise.plans.registry import QUERIES
 
 
 def _plan(df) -> str:
@@ -10,8 +11,7 @@ def _plan(df) -> str:
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())
@@ -43,13 +43,12 @@ def test_scans_prune_columns(spark):
 def test_no_pairwise_joins_without_broadcast(spark):
     """With broadcasts disabled (dimensions too large to broadcast), every join
     still has equi-keys: no query falls back to a Cartesian or nested-loop join."""
-    from __spark_entry__ import queries
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        for name, fn in sorted(queries().items()):
+        for name, fn in sorted(QUERIES.items()):
             plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
             assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     finally:
