@@ -7,6 +7,7 @@ the block, or by the longest single word.  A null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)           # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -36,6 +37,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a worker that keeps what a large step has freed adds it to the next one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):            # not glibc
+        pass
+
+
 def byte_table(seed: int, fold: np.ndarray | None = None) -> np.ndarray:
     """A random 64-bit value for each byte; ``fold`` maps bytes to the byte they count as."""
     t = mix(np.arange(1, 257, dtype=np.uint64) * _BASE + np.uint64(seed))

@@ -22,7 +22,7 @@ needs (requests go to the unigram ranges, answers come back), and once to
 build the range of the model and to score its tokens.  The result is written
 as a table partitioned by kind: ``model`` holds a row of packed contexts,
 followers, counts and backoff weights for each range, ``score`` the sums of
-each range by document, which are added up at last.
+each range for the documents of each pack, which are added up at last.
 
 Contexts with more than a quarter of a range's share of the tokens are hot;
 their number is below four times the ranges, so their list has a proven bound.
@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, small_batches, spans
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, release, small_batches, spans
 from shelfwise.llm.common import partitions, written
 from shelfwise.session import app_id, shared_dir
 
@@ -133,7 +133,7 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return context, word, np.repeat(np.arange(len(n)), n)
 
 
-def count_unigrams(spark: SparkSession, docs: DataFrame, ranges: int, flush: int = 2_000_000) -> tuple[DataFrame, Unigrams]:
+def count_unigrams(spark: SparkSession, docs: DataFrame, ranges: int, flush: int = 1_000_000) -> tuple[DataFrame, Unigrams]:
     """The table (part, words, counts) of the training documents, a row for each range, and what is known of all."""
     def send(batches):
         held, n = [], 0
@@ -157,8 +157,10 @@ def count_unigrams(spark: SparkSession, docs: DataFrame, ranges: int, flush: int
                 if n >= flush:
                     yield out()
                     held, n = [], 0
+                    release()
         if n:
             yield out()
+        release()
 
     def add(key, pdf):
         w = np.concatenate([unplanes(x, 8) for x in pdf["words"]])
@@ -231,13 +233,16 @@ def _bigram_packs(docs: DataFrame, shared, ranges: int, flush: int) -> DataFrame
 
         def out():
             a, b, d = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             words, code = np.unique(np.concatenate([a, b]), return_inverse=True)
-            c1, c2 = code[: len(a)].astype(np.uint64), code[len(a):].astype(np.uint64)
+            key = (code[: len(a)].astype(np.uint64) << _U(24)) | code[len(a):].astype(np.uint64)
+            del code
             hot, _ = u.is_hot(a)
-            part = range_of(np.where(hot, mix(a ^ (b * _U(3))), a), ranges).astype(np.uint64)
-            key = (part << _U(48)) | (c1 << _U(24)) | c2
+            key |= range_of(np.where(hot, mix(a ^ (b * _U(3))), a), ranges).astype(np.uint64) << _U(48)
+            del a, b, hot
             o = np.argsort(key, kind="stable")
             key, d = key[o], d[o]
+            del o
             new_pair = np.concatenate([[True], key[1:] != key[:-1]])
             new_post = new_pair | np.concatenate([[True], d[1:] != d[:-1]])
             at = np.flatnonzero(new_post)
@@ -279,45 +284,57 @@ def _bigram_packs(docs: DataFrame, shared, ranges: int, flush: int) -> DataFrame
                 ids += rows.column("id").to_pylist()
                 sizes += np.bincount(row, minlength=rows.num_rows).tolist()
                 n, n_docs = n + len(a), n_docs + rows.num_rows
-                if n >= flush or n_docs >= 1 << 19:
+                if n >= flush or n_docs >= 1 << 17:
                     yield out()
                     seq, held, n, n_docs, trains, ids, sizes = seq + 1, [], 0, 0, [], [], []
+                    release()
         if n_docs:
             yield out()
+        release()
 
     return docs.mapInArrow(send, _PACK)
 
 
 class _Range:
-    """The bigrams of one range, from its packs: distinct pairs with their training counts, and where each pack has them."""
+    """The bigrams of one range, from its packs: distinct pairs with their training counts.
+
+    Documents of a pack are only unpacked while it is looked at.
+    """
 
     def __init__(self, pdf: pd.DataFrame):
+        release()
         self.docs = [r for r in pdf.itertuples() if not r.words]
-        packs = [r for r in pdf.itertuples() if r.words]
-        w1, w2, counts, self.posts = [], [], [], []
-        for r in packs:
-            words = unplanes(r.words, 8)
-            a, b = (words[unplanes(x, 3).astype(np.int64)] for x in (r.w1, r.w2))
-            runs, doc, times = (unplanes(x, k).astype(np.int64) for x, k in ((r.runs, 3), (r.docs, 3), (r.times, 4)))
+        self.packs = [r for r in pdf.itertuples() if r.words]
+        words, w1, w2, counts = [], [], [], []
+        for r in self.packs:
+            own = unplanes(r.words, 8)
+            a, b = (own[unplanes(x, 3).astype(np.int32)] for x in (r.w1, r.w2))
+            pair, doc, times = self.posts(r)
             train = np.unpackbits(np.frombuffer(r.train, np.uint8)).astype(bool)
-            pair = np.repeat(np.arange(len(a)), runs)
             w1.append(a)
             w2.append(b)
-            counts.append(_sums(pair, times * train[doc], len(a)))
-            self.posts.append((r.base, pair, doc, times))
+            counts.append(np.bincount(pair, weights=times * train[doc], minlength=len(a)).astype(np.int64))
         none = np.zeros(0, np.uint64)
-        w1, w2 = (np.concatenate(x) if x else none for x in (w1, w2))
-        # Pairs are told apart by both words: sorted by the first, then the second.
-        self.contexts, i1 = np.unique(w1, return_inverse=True)
-        self.words, i2 = np.unique(w2, return_inverse=True)
-        key, at = np.unique((i1.astype(np.int64) << 32) | i2, return_inverse=True)
-        self.i1, self.i2 = key >> 32, key & 0xFFFFFFFF
+        self.contexts, i1 = np.unique(np.concatenate(w1) if w1 else none, return_inverse=True)
+        i1 = i1.astype(np.int64) << 32
+        del w1
+        self.words, i2 = np.unique(np.concatenate(w2) if w2 else none, return_inverse=True)
+        del w2, words
+        # Pairs are told apart by both words.
+        i1 |= i2
+        del i2
+        key, at = np.unique(i1, return_inverse=True)
+        del i1
         self.c = _sums(at, np.concatenate(counts) if counts else np.zeros(0, np.int64), len(key))
-        self.pairs, start = [], 0
-        for _, pair, *_ in self.posts:
-            n = int(pair[-1]) + 1 if len(pair) else 0
-            self.pairs.append(at[start: start + n])
-            start += n
+        ends = np.cumsum([len(x) for x in counts])
+        self.pairs = np.split(at.astype(np.int32), ends[:-1]) if counts else []
+        self.i1, self.i2 = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
+
+    @staticmethod
+    def posts(r) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pair, document, times) of a pack."""
+        runs, doc, times = (unplanes(x, k).astype(np.int32) for x, k in ((r.runs, 3), (r.docs, 3), (r.times, 4)))
+        return np.repeat(np.arange(len(runs), dtype=np.int32), runs), doc, times
 
 
 def _ask(ranges: int):
@@ -348,10 +365,14 @@ def _answer(ranges: int):
     return run
 
 
-_OUT = "kind string, part int, rid long, id long, word long, base double, score double, known long, tokens long, train boolean, contexts binary, followers binary, words binary, which binary, counts binary, alpha binary"
+_OUT = "kind string, part int, base long, rid long, word long, x double, y double, n long, " + ", ".join(f"b{i} binary" for i in range(6))
 _OUT_NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
 
+def _frame(kind: str, **columns) -> pd.DataFrame:
+    return pd.DataFrame({"kind": kind, **columns})
+
+
 def _score(shared):
     def run(key, packs, answers):
         u, none = shared.value, np.zeros(0, np.uint64)
@@ -377,68 +398,85 @@ def _score(shared):
         known = np.where(first, 0, c1[r.i1] > 0)
         waits = hot[r.i1] & ~seen
         out = []
-        for (at, pair, doc, times), which in zip(r.posts, r.pairs):
+        for pack, which in zip(r.packs, r.pairs):
+            pair, doc, times = r.posts(pack)
             pair = which[pair]
-            docs, to = np.unique(doc, return_inverse=True)
-            add = lambda x: np.bincount(to, weights=x[pair] * times, minlength=len(docs))
-            out.append(pd.DataFrame({"kind": "score", "rid": at + docs, "base": add(base), "score": add(score), "known": add(known).astype(np.int64)}))
+            # The sums of the pack's documents that the range has bigrams of.
+            here, to = np.unique(doc, return_inverse=True)
+            add = lambda z: np.bincount(to, weights=z[pair] * times, minlength=len(here))
+            out.append(_frame("score", base=[pack.base], b0=[add(base).tobytes()], b1=[add(score).tobytes()],
+                              b2=[planes(add(known).astype(np.int64), 4)], b3=[planes(here, 3)]))
+            del to
             late = waits[pair]
             if late.any():
-                k, to = np.unique((doc[late] << 32) | r.i1[pair[late]], return_inverse=True)
-                out.append(pd.DataFrame({"kind": "waits", "rid": at + (k >> 32), "word": r.contexts[k & 0xFFFFFFFF].view(np.int64),
-                                         "known": _sums(to, times[late], len(k))}))
-        for x in r.docs:
-            ids, null = np.frombuffer(x.docs, np.int64), np.frombuffer(x.runs, bool)
-            train = np.unpackbits(np.frombuffer(x.train, np.uint8))[: len(ids)].astype(bool)
-            out.append(pd.DataFrame({"kind": "score", "rid": x.base + np.arange(len(ids)), "id": pd.array(np.where(null, 0, ids), "Int64"),
-                                     "tokens": np.frombuffer(x.times, np.int64), "train": train, "base": 0.0, "score": 0.0, "known": 0}))
-            out[-1].loc[null, "id"] = pd.NA
+                k, to = np.unique((doc[late].astype(np.int64) << 32) | r.i1[pair[late]], return_inverse=True)
+                out.append(_frame("waits", base=pack.base, rid=k >> 32, word=r.contexts[k & 0xFFFFFFFF].view(np.int64), n=_sums(to, times[late], len(k))))
+        for z in r.docs:
+            out.append(_frame("docs", base=[z.base], b0=[z.docs], b1=[z.runs], b2=[z.times], b3=[z.train]))
         h = np.flatnonzero(hot)
         if len(h):
-            out.append(pd.DataFrame({"kind": "hot", "word": r.contexts[h].view(np.int64), "base": kept[h], "score": low[h], "known": c1[h]}))
-        i1, i2, c = r.i1[seen], r.i2[seen], r.c[seen]
-        out.append(pd.DataFrame({"kind": ["model"], "contexts": [planes(r.contexts, 8)], "followers": [planes(np.bincount(i1, minlength=m), 4)],
-                                 "words": [planes(r.words, 8)], "which": [planes(i2, 4)], "counts": [planes(c, 5)], "alpha": [alpha.astype("<f8").tobytes()]}))
+            out.append(_frame("hot", word=r.contexts[h].view(np.int64), x=kept[h], y=low[h], n=c1[h]))
+        out.append(_frame("model", b0=[planes(r.contexts, 8)], b1=[planes(np.bincount(r.i1[seen], minlength=m), 4)], b2=[planes(r.words, 8)],
+                          b3=[planes(r.i2[seen], 4)], b4=[planes(r.c[seen], 5)], b5=[alpha.astype("<f8").tobytes()]))
         res = pd.concat(out, ignore_index=True).reindex(columns=_OUT_NAMES)
         res["part"] = key[0]
-        for c in ("rid", "id", "word", "known", "tokens"):
+        for c in ("base", "rid", "word", "n"):
             res[c] = res[c].astype("Int64")
-        res["train"] = res["train"].astype("boolean")
         return res
     return run
 
 
 def score(spark: SparkSession, docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-          flush: int = 2_000_000) -> DataFrame:
+          flush: int = 1_000_000, per_range: int = 1_500_000) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
     ``held_out`` is a boolean column over ``docs``: rows not to learn from
-    (null: learned from).
+    (null: learned from).  Tasks pack ``flush`` tokens at a time, and a range
+    holds about ``per_range`` training tokens.
     """
     small_batches(spark)
-    ranges = min(partitions(spark), 1 << 15)
+    ranges = min(partitions(spark), 1 << 15)          # of words; those of contexts hold some million tokens each
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(~held_out, F.lit(True)).alias("train"))
     unigrams, u = count_unigrams(spark, d, ranges, flush)
     shared = spark.sparkContext.broadcast(u)
-    packs = _bigram_packs(d, shared, ranges, flush).repartition(ranges, "part")
+    parts = min(max(ranges, -(-u.tokens // per_range)), 1 << 15)
+    packs = _bigram_packs(d, shared, parts, flush).repartition(parts, "part")
     asked = packs.groupBy("part").applyInPandas(_ask(ranges), "to int, part int, words binary")
     known = unigrams.select(F.col("part").alias("to"), "words", "counts")
-    answers = asked.groupBy("to").cogroup(known.groupBy("to")).applyInPandas(_answer(ranges), "part int, to int, counts binary")
+    answers = asked.groupBy("to").cogroup(known.groupBy("to")).applyInPandas(_answer(parts), "part int, to int, counts binary")
     out = packs.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(shared), _OUT)
 
     path = shared_dir(spark, "llm", app_id(spark), f"katz-{uuid.uuid4().hex[:12]}")
     out.write.partitionBy("kind").parquet(path)
     t = spark.read.schema(out.schema).parquet(path)
     # Backoff weights of the hot contexts, from the sums of all ranges.
-    hot = t.where("kind = 'hot'").groupBy("word").agg(F.sum("base").alias("kept"), F.sum("score").alias("low"), F.max("known").alias("c"))
+    hot = t.where("kind = 'hot'").groupBy("word").agg(F.sum("x").alias("kept"), F.sum("y").alias("low"), F.max("n").alias("c"))
     hot = hot.select("word", F.log10((1 - F.col("kept") / (F.col("c") + 1)) / (1 - F.col("low"))).alias("a"))
-    late = t.where("kind = 'waits'").join(F.broadcast(hot), "word").select(      # under 4 * ranges words
-        "rid", F.lit(None).cast("long").alias("id"), F.lit(0.0).alias("base"), (F.col("a") * F.col("known")).alias("score"),
-        F.lit(0).cast("long").alias("known"), F.lit(None).cast("long").alias("tokens"), F.lit(None).cast("boolean").alias("train"))
-    s = t.where("kind = 'score'").select("rid", "id", "base", "score", "known", "tokens", "train").unionAll(late)
-    s = s.groupBy("rid").agg(F.max("id").alias("id"), F.sum("base").alias("base"), F.sum("score").alias("score"),
-                             F.sum("known").alias("known"), F.max("tokens").alias("tokens"), F.max("train").alias("train"))
+    late = t.where("kind = 'waits'").join(F.broadcast(hot), "word").groupBy("base", "rid").agg(      # under 4 * ranges words
+        F.sum(F.col("a") * F.col("n")).alias("x"))
+    rows = t.where("kind IN ('score', 'docs')").select("kind", "base", F.lit(None).cast("long").alias("rid"), F.lit(None).cast("double").alias("x"), "b0", "b1", "b2", "b3")
+    none = [F.lit(None).cast("binary").alias(f"b{i}") for i in range(4)]
+    rows = rows.unionAll(late.select(F.lit("late").alias("kind"), "base", "rid", "x", *none))
     end = float(np.log10((u.ends + 1) / (u.tokens + u.types + 1)))
-    return s.select("id", (~F.col("train")).alias("held_out"), F.col("tokens").alias("n_tokens"),
-                    (F.col("known") + F.lit(int(u.ends > 0))).alias("n_known"), F.lit(u.tokens).cast("long").alias("train_tokens"),
-                    F.round(F.col("base") + F.lit(end), 6).alias("base_score"), F.round("score", 6).alias("score"))
+    s = rows.groupBy("base").applyInPandas(_documents, "id long, train boolean, n_tokens long, n_known long, base double, score double")
+    return s.select("id", (~F.col("train")).alias("held_out"), "n_tokens", (F.col("n_known") + F.lit(int(u.ends > 0))).alias("n_known"),
+                    F.lit(u.tokens).cast("long").alias("train_tokens"), F.round(F.col("base") + F.lit(end), 6).alias("base_score"),
+                    F.round("score", 6).alias("score"))
+
+
+def _documents(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one pack with the sums of all ranges."""
+    kind = pdf["kind"]
+    d = pdf[kind == "docs"].iloc[0]
+    ids, null = np.frombuffer(d["b0"], np.int64), np.frombuffer(d["b1"], bool)
+    n = len(ids)
+    base, score, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
+    for r in pdf[kind == "score"].itertuples():
+        here = unplanes(r.b3, 3).astype(np.int64)
+        base[here] += np.frombuffer(r.b0, np.float64)
+        score[here] += np.frombuffer(r.b1, np.float64)
+        known[here] += unplanes(r.b2, 4).astype(np.int64)
+    late = pdf[kind == "late"]
+    score += np.bincount(late["rid"].astype(np.int64), weights=late["x"], minlength=n) if len(late) else 0
+    return pd.DataFrame({"id": pd.Series(ids).astype("Int64").mask(null), "train": np.unpackbits(np.frombuffer(d["b3"], np.uint8))[:n].astype(bool),
+                         "n_tokens": np.frombuffer(d["b2"], np.int64), "n_known": known, "base": base, "score": score})
