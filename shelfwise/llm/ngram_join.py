@@ -3,12 +3,13 @@
 A document is the set of its distinct five-word shingles ("tokens").  Two
 documents link when 100 * intersection >= percent * union.
 
-Prefixes.  Tokens have one global order: rare tokens by hash, then frequent
-ones by ascending frequency.  A document of n tokens lets a partner miss at
+Prefixes.  Tokens have one global order: tokens that stand in one document
+only, then rare tokens, both by hash, then frequent ones by ascending
+frequency.  A document of n tokens lets a partner miss at
 most t = n - ceil(percent * n / 100) of them.  Rare tokens are indexed alone.
 Frequent tokens fall into classes by hash, and pairs of tokens of one class
-are indexed; a class of c prefix tokens then only vouches for c - 1 of them.
-So a prefix is extended until its rare tokens and the c - 1 of its classes add
+are indexed; a class of c prefix tokens then only vouches for c - 1 of them.  Tokens of one
+document fill its prefix, but need no index.  So a prefix is extended until its rare tokens and the c - 1 of its classes add
 up to t + 1.  Of two linked documents the one whose prefix ends first shares
 so many prefix tokens with the other that a rare token, or two of a class,
 are common, and both index it.  The number of classes goes by the size of the
@@ -16,16 +17,24 @@ smaller document of a pair (a power of two), so a document indexes for the one
 or two sizes its smaller partners can have; classes hold about four prefix
 tokens, which keeps the pairs linear in the size of a document.
 
-Frequent are the tokens that stand in more than ``rare_df`` documents, the
-``max_frequent`` most frequent of them at most (a bound of the broadcast list;
-the class of a token never changes the result).
+Frequent are the tokens that stand in more than ``rare_df`` documents; where
+these are more than ``max_frequent``, the least frequent of them count as rare.
+Which tokens stand in several documents is told by a bitmap of ``2**bits``
+places; a token that shares its place counts as rare.  So what tasks are sent
+has a fixed size, and the class of a token never changes the result.
 
 Components.  Equal sets are one node.  Of the documents that index a key only
-neighbours in the order of ids are compared first, and the links found are
-joined to components.  Then every key whose documents lie in several
-components is compared across these components, in full.  No link between two
-components can be missed, and a large group of near copies never gives all
-its pairs.
+neighbours in the order of nodes are compared first, and the links found are
+joined to components.  In the next rounds neighbours in other orders are
+compared, where they lie in different components; so a large group of near
+copies comes together without giving all its pairs.  What is left are keys
+whose documents lie in several components for good; there every pair across
+components is a candidate.  So no link between two components is missed.
+
+Bounds.  Linked sets have near sizes, and their difference is small: each set
+has a sketch of 1024 parity bits, one token flipping one of them, so the bits in
+which two sketches differ are a lower bound of the tokens in which the sets
+do.  Candidates beyond either bound are dropped before sets are compared.
 
 Defined cases: a text of fewer words than five is one token, its whole word
 sequence; null texts and texts without words are empty and link with nothing;
@@ -38,13 +47,15 @@ hashes of their sets.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, small_batches, spans
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, release, small_batches, spans
 from shelfwise.llm.common import fresh, partitions, written
 from shelfwise.llm.components import components
 
@@ -98,19 +109,31 @@ def _node(s: np.ndarray) -> int:
     return int(mix(x).view(np.int64)[0])
 
 
+SKETCH = [f"q{i}" for i in range(16)]
+
+
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """The parities of the tokens at each of 1,024 places, as 16 integers."""
+    flips = np.bincount((mix(s ^ _U(0x94D049BB133111EB)) & _U(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def profile(docs: DataFrame, size: int = 5) -> DataFrame:
-    """(id, n, node) of each row of (id, text)."""
+    """(id, n, node, sketch columns) of each row of (id, text)."""
     small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             for rows, data, off in blocks(batch, "text"):
                 sets = _sets(data, off, size)
+                sketches = np.array([_sketch(s) for s in sets]).reshape(-1, len(SKETCH)).T
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64())],
-                    names=["id", "n", "node"])
+                    [rows.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()),
+                     *(pa.array(np.ascontiguousarray(q)) for q in sketches)], names=["id", "n", "node", *SKETCH])
 
     schema = docs.select("id").schema.add("n", "long").add("node", "long")
+    for q in SKETCH:
+        schema = schema.add(q, "long")
     return docs.mapInArrow(run, schema)
 
 
@@ -128,16 +151,37 @@ def _unpack(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def frequent_tokens(spark: SparkSession, docs: DataFrame, size: int = 5, rare_df: int = 32, max_frequent: int = 1 << 18,
-                    flush: int = 2_000_000) -> np.ndarray:
-    """Keys of the most frequent tokens, ascending in frequency: ``max_frequent`` numbers at most.
+@dataclass
+class Classes:
+    """Which tokens are frequent, and which may stand in several documents, by keys of 48 bits."""
+    keys: np.ndarray             # of the frequent ones, sorted
+    ranks: np.ndarray            # from 1, ascending in frequency
+    shared: np.ndarray           # bitmap over the keys' first bits
+    bits: int
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        """-1 for tokens of one document, 0 for rare ones, the rank of frequent ones."""
+        k = s >> _U(16)
+        place = k >> _U(48 - self.bits)
+        out = ((self.shared[(place >> _U(3)).astype(np.int64)] >> (_U(7) - (place & _U(7))).astype(np.uint8)) & 1).astype(np.int32) - 1
+        if len(self.keys):
+            at = np.searchsorted(self.keys, k)
+            at[at == len(self.keys)] = 0
+            hit = self.keys[at] == k
+            out[hit] = self.ranks[at[hit]]
+        return out
+
+
+def token_classes(spark: SparkSession, docs: DataFrame, size: int = 5, rare_df: int = 4, max_frequent: int = 1 << 20,
+                  bits: int = 26, flush: int = 1_000_000) -> Classes:
+    """The classes of all tokens, from how many documents each stands in.
 
     Tasks send their tokens in sorted packs, one for each range of keys.
     """
     small_batches(spark)
     parts = partitions(spark)
-    ranges = 1 << int(np.ceil(np.log2(max(2, 4 * parts))))
-    shift = _U(48 - int(np.log2(ranges)))
+    r = min(bits - 3, int(np.ceil(np.log2(max(2, 4 * parts)))))
+    ranges, shift = 1 << r, _U(48 - r)
 
     def send(batches):
         held, n = [], 0
@@ -157,20 +201,43 @@ def frequent_tokens(spark: SparkSession, docs: DataFrame, size: int = 5, rare_df
                     if n >= flush:
                         yield out()
                         held, n = [], 0
+                        release()
         if n:
             yield out()
+        release()
 
     def count(key, pdf):
         import pandas as pd
         k = np.sort(np.concatenate([_unpack(x) for x in pdf["keys"]]))
         at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         df = np.diff(np.append(at, len(k)))
+        places = np.zeros(1 << (bits - r), bool)
+        places[((k[at[df > 1]] >> _U(48 - bits)) & _U(len(places) - 1)).astype(np.int64)] = True
         often = df > rare_df
-        return pd.DataFrame({"key": k[at[often]].astype(np.int64), "df": df[often].astype(np.int64)})
-
-    counts = docs.select("text").mapInArrow(send, "part int, keys binary").groupBy("part").applyInPandas(count, "key long, df long")
-    top = counts.orderBy(F.col("df").desc(), "key").limit(max_frequent).collect()
-    return np.array([r["key"] for r in reversed(top)], np.uint64)
+        return pd.DataFrame({"part": key[0], "key": [-1, *k[at[often]].astype(np.int64)], "df": [0, *df[often]],
+                             "places": [np.packbits(places).tobytes(), *[None] * int(often.sum())]})
+
+    counts = docs.select("text").mapInArrow(send, "part int, keys binary").groupBy("part").applyInPandas(
+        count, "part int, key long, df long, places binary")
+    counts = written(spark, counts, "tokens")
+    shared = np.zeros((ranges, 1 << (bits - r - 3)), np.uint8)
+    for x in counts.where("key < 0").select("part", "places").collect():            # 2**bits bits in all
+        shared[x["part"]] = np.frombuffer(x["places"], np.uint8)
+    # The lowest frequency above which there are max_frequent tokens at most.
+    step = F.floor(8 * F.log2("df")).cast("int")
+    tops = sorted(counts.where("key >= 0").groupBy(step.alias("s")).count().collect(), reverse=True)     # 8 rows a doubling
+    total, least = 0, 1 << 30
+    for x in tops:
+        total += x["count"]
+        if total > max_frequent:
+            break
+        least = x["s"]
+    t = counts.where((F.col("key") >= 0) & (step >= least)).select("key", "df").toArrow()         # max_frequent rows at most
+    keys, df = (t[c].to_numpy() for c in ("key", "df"))
+    ranks = np.empty(len(keys), np.int32)
+    ranks[np.lexsort((keys, df))] = np.arange(1, len(keys) + 1)
+    o = np.argsort(keys)
+    return Classes(keys[o].astype(np.uint64), ranks[o], shared.reshape(-1), bits)
 
 
 def _allowed(n: int, percent: int) -> int:
@@ -184,9 +251,11 @@ def _classes(b: int, percent: int) -> int:
 
 
 def signatures(s: np.ndarray, rank: np.ndarray, percent: int = 80) -> np.ndarray:
-    """The keys under which a set is indexed; ``rank`` is 0 for rare tokens."""
+    """The keys under which a set is indexed; ``rank`` is as in ``Classes.of``."""
     n = len(s)
-    need = _allowed(n, percent) + 1
+    need = _allowed(n, percent) + 1 - int((rank < 0).sum())
+    if need <= 0:
+        return np.zeros(0, np.uint64)
     rare = s[rank == 0]
     single = mix(rare[:need] ^ _U(0xA0761D6478BD642F))
     if len(rare) >= need:
@@ -214,32 +283,24 @@ def signatures(s: np.ndarray, rank: np.ndarray, percent: int = 80) -> np.ndarray
     return np.concatenate(out)
 
 
-def index(spark: SparkSession, docs: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
+def index(spark: SparkSession, docs: DataFrame, classes: Classes, size: int, percent: int) -> DataFrame:
     """(sig, n, node): every key of every row."""
     small_batches(spark)
-    order = np.argsort(frequent)
-    shared = spark.sparkContext.broadcast((frequent[order], (order + 1).astype(np.int64)))
+    shared = spark.sparkContext.broadcast(classes)
 
     def run(batches):
-        keys, ranks = shared.value
         for batch in batches:
             for _, data, off in blocks(batch, "text"):
                 sigs, sizes, nodes, counts = [], [], [], []
                 for s in _sets(data, off, size):
                     if len(s) < 2:
                         continue
-                    k = s >> _U(16)
-                    if len(keys):
-                        at = np.searchsorted(keys, k)
-                        at[at == len(keys)] = 0
-                        rank = np.where(keys[at] == k, ranks[at], 0)
-                    else:
-                        rank = np.zeros(len(s), np.int64)
-                    g = signatures(s, rank, percent)
-                    sigs.append(g)
-                    sizes.append(len(s))
-                    nodes.append(_node(s))
-                    counts.append(len(g))
+                    g = signatures(s, shared.value.of(s), percent)
+                    if len(g):
+                        sigs.append(g)
+                        sizes.append(len(s))
+                        nodes.append(_node(s))
+                        counts.append(len(g))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(sigs).view(np.int64) if sigs else [], pa.int64()),
                      pa.array(np.repeat(np.array(sizes, np.int64), counts), pa.int64()),
@@ -253,13 +314,19 @@ def _near(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _alike(x: str, y: str, percent: int):
+    """Sketches that can belong to a link: its sets of sizes a and b differ in (100 - p) (a + b) / (100 + p) tokens at most."""
+    differ = sum((F.bit_count(F.col(x + q).bitwiseXOR(F.col(y + q))) for q in SKETCH), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"{x}n") + F.col(f"{y}n"))
+
+
 def _sent(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int,
+def compared(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int,
              broadcast_rows: int) -> DataFrame:
-    """The links among ``pairs`` (x, y of nodes), checked on whole sets of tokens."""
+    """(x, y, linked) of ``pairs`` (x, y of nodes), from whole sets of tokens."""
     small_batches(spark, 128)
     nodes = pairs.select(F.col("x").alias("node")).unionAll(pairs.select("y")).distinct()
     first = written(spark, nodes.join(classes, "node").select("node", F.col("id").alias("_id")), "compared")
@@ -275,66 +342,93 @@ def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
                 yield pa.RecordBatch.from_arrays([pa.array([want[i] for i in ok], pa.int64()),
                                                   pa.array([got[i].tobytes() for i in ok], pa.binary())], names=["node", "tokens"])
 
-    t = d.mapInArrow(sets, "node long, tokens binary").dropDuplicates(["node"])
-    t = written(spark, t, "sets")
+    # One set for each node, dealt by node: the same exchange serves both joins.
+    t = d.mapInArrow(sets, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
     p = pairs.join(t.select(F.col("node").alias("x"), F.col("tokens").alias("tx")), "x")
     p = p.join(t.select(F.col("node").alias("y"), F.col("tokens").alias("ty")), "y")
 
     def check(batches):
         for batch in batches:
-            ok = []
+            linked = []
             for a, b in zip(batch.column("tx"), batch.column("ty")):
                 a, b = (np.frombuffer(z.as_buffer(), np.uint64) for z in (a, b))
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                ok.append(100 * both >= percent * (len(a) + len(b) - both))
-            m = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("x").filter(m), batch.column("y").filter(m)], names=["x", "y"])
+                linked.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(linked, pa.bool_())], names=["x", "y", "linked"])
 
-    return written(spark, p.mapInArrow(check, "x long, y long"), "verified")
+    return written(spark, p.mapInArrow(check, "x long, y long, linked boolean"), "compared")
 
 
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-         percent: int = 80, rare_df: int = 32, max_frequent: int = 1 << 18, broadcast_rows: int = 200_000) -> DataFrame:
+         percent: int = 80, rare_df: int = 4, max_frequent: int = 1 << 20, bits: int = 26, rounds: int = 2, broadcast_rows: int = 200_000) -> DataFrame:
     """(id, n_shingles, component_id, n_copies) of each row; copies are the rows with an equal set, the row included."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(spark, profile(d, size), "profile")
-    classes = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.count(F.lit(1)).alias("n_copies"))
-    classes = written(spark, classes, "classes")
+    classes = rows.where("n > 0").groupBy("node").agg(
+        F.min("id").alias("id"), F.min("n").alias("n"), F.count(F.lit(1)).alias("n_copies"), F.first(F.struct(*SKETCH)).alias("q"))
+    classes = written(spark, classes.select("node", "id", "n", "n_copies", "q.*"), "classes")
 
-    frequent = frequent_tokens(spark, d, size, rare_df, max_frequent)
+    kinds = token_classes(spark, d, size, rare_df, max_frequent, bits)
     w = Window.partitionBy("sig").orderBy("node")
-    keyed = index(spark, d, frequent, size, percent)
+    keyed = index(spark, d, kinds, size, percent)
     keyed = keyed.withColumn("prev", F.lag("node").over(w)).withColumn("last", F.max("node").over(Window.partitionBy("sig")))
     # Keys of one document only are most of them and need nothing more; of equal rows one stays.
     keyed = keyed.where("(prev IS NULL AND last > node) OR prev < node")
     keyed = written(spark, keyed.drop("last"), "keys")
-    sized = classes.select("node", F.col("n").alias("pn"))
-
-    def candidates(p: DataFrame) -> DataFrame:
-        return written(spark, p.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
-
-    near = keyed.where("prev IS NOT NULL").select(F.col("prev").alias("x"), F.col("node").alias("y"), "n").distinct()
-    near = near.join(sized, near["x"] == sized["node"]).where(_near("n", "pn", percent))
-    first = candidates(near)
-    links = verified(spark, d, classes, first, size, percent, broadcast_rows)
-    comp = components(spark, links)
-
-    # Keys whose documents lie in several components: all pairs across these.
-    k = keyed.select("sig", "node", "n").join(comp, "node", "left").select("sig", "node", "n", F.coalesce("component", "node").alias("c"))
-    split = k.groupBy("sig", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("sig").agg(
-        F.max_by("c", F.struct("m", "c")).alias("main"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
-    k = written(spark, k.join(split.select("sig", "main"), "sig"), "split")
-    rest = k.where("c <> main").select("sig", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    main = k.where("c = main").select("sig", F.col("node").alias("y"), F.col("n").alias("yn"))
-    other = k.where("c <> main").select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"))
-    across = rest.join(main, "sig").where(_near("xn", "yn", percent)).select("x", "y").unionAll(
-        rest.join(other, "sig").where((F.col("xc") < F.col("yc")) & _near("xn", "yn", percent)).select("x", "y"))
-    second = candidates(across)
-    second = second.join(first, ["x", "y"], "left_anti")
-    more = verified(spark, d, classes, written(spark, second, "pairs"), size, percent, broadcast_rows)
-    if more.limit(1).count():
-        stars = comp.select(F.col("node").alias("x"), F.col("component").alias("y"))
-        comp = components(spark, stars.unionAll(more))
+    tested = None
+
+    def marked(x: str) -> DataFrame:
+        return classes.select(F.col("node").alias(x), *[F.col(c).alias(x + c) for c in ("n", *SKETCH)])
+
+    def test(p: DataFrame) -> DataFrame:
+        """Compares the pairs that were not compared yet; all results so far are in ``tested``."""
+        nonlocal tested
+        p = p.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        for x in ("x", "y"):
+            p = p.join(marked(x), x)
+        p = p.where(_near("xn", "yn", percent) & _alike("x", "y", percent)).select("x", "y")
+        if tested is not None:
+            p = p.join(tested.select("x", "y"), ["x", "y"], "left_anti")
+        got = compared(spark, d, classes, written(spark, p, "pairs"), size, percent, broadcast_rows)
+        tested = got if tested is None else tested.unionAll(got)
+        return got.where("linked")
+
+    near = keyed.where("prev IS NOT NULL").select(F.col("prev").alias("x"), F.col("node").alias("y"))
+    comp = components(spark, test(near))
+
+    def split() -> DataFrame:
+        """The keys whose documents lie in several components, with these (c) and the largest of the key (main)."""
+        k = keyed.select("sig", "node", "n").join(comp, "node", "left").select("sig", "node", "n", F.coalesce("component", "node").alias("c"))
+        several = k.groupBy("sig", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("sig").agg(
+            F.max_by("c", F.struct("m", "c")).alias("main"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
+        return written(spark, k.join(several.select("sig", "main"), "sig"), "split")
+
+    def merge(links: DataFrame) -> bool:
+        nonlocal comp
+        if not links.limit(1).count():
+            return False
+        comp = components(spark, comp.select(F.col("node").alias("x"), F.col("component").alias("y")).unionAll(links.select("x", "y")))
+        return True
+
+    k = split()
+    for seed in range(1, rounds + 1):
+        # The first of these orders is the same for all keys, the next ones are each key's own.
+        order = F.xxhash64("node", F.lit(seed)) if seed == 1 else F.xxhash64("node", "sig", F.lit(seed))
+        o = Window.partitionBy("sig").orderBy(order, "node")
+        b = k.select("node", "n", "c", *[F.lag(x).over(o).alias(f"p{x}") for x in ("node", "n", "c")])
+        b = b.where((F.col("c") != F.col("pc")) & _near("n", "pn", percent)).select("node", "pnode").distinct()
+        if not merge(test(b.select(F.col("node").alias("x"), F.col("pnode").alias("y")))):
+            break
+        k = split()
+
+    # What is left: every pair across components of a key that the bounds allow.
+    k = k.select("sig", "node", "c", "main")
+    rest, main, other = (k.where(side).select("sig", F.col("node").alias(x), F.col("c").alias(f"{x}c")).join(marked(x), x)
+                         for side, x in (("c <> main", "x"), ("c = main", "y"), ("c <> main", "y")))
+    may = _near("xn", "yn", percent) & _alike("x", "y", percent)
+    across = rest.join(main, "sig").where(may).select("x", "y").unionAll(
+        rest.join(other, "sig").where((F.col("xc") < F.col("yc")) & may).select("x", "y"))
+    merge(test(across))
 
     of = classes.join(comp, "node").groupBy("component").agg(F.min("id").alias("least"))
     of = comp.join(of, "component").select("node", "least")
