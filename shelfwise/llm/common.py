@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.session import app_id, shared_dir
+from shelfwise.session import app_id, shared_dir, ship_package
 
 #: The word classes of the query contracts, as regular expressions.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
