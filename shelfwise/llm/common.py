@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _trim() -> None:
+    """Lets go of what a step has left in the driver's Python, and so of the plans that it holds in the JVM."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):            # not glibc
+        pass
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
@@ -30,6 +41,7 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_dir(spark, "llm", app_id(spark), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
+    _trim()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -163,11 +163,15 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: st
                      pa.array([f[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["id", "label", "f"])
 
-    got = sorted(((r["id"], r["label"], bytes(r["f"])) for r in sample.mapInArrow(extract, "id string, label int, f binary").collect()))
-    y = np.array([r[1] for r in got], float)
-    f = [np.frombuffer(r[2], np.int32) for r in got]
-    row = np.repeat(np.arange(len(f)), [len(x) for x in f])
-    w, b = _logistic(row, np.concatenate(f) if f else np.zeros(0, np.int32), y, ratio, l2, steps)
+    del counts, p, q, both, chi
+    got = sample.mapInArrow(extract, "id string, label int, f binary").toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
+    y = got["label"].to_numpy().astype(float)
+    f = [np.frombuffer(x.as_buffer(), np.int32) for x in got["f"]]
+    row = np.repeat(np.arange(len(f), dtype=np.int32), [len(x) for x in f])
+    f = np.concatenate(f) if f else np.zeros(0, np.int32)
+    del got
+    w, b = _logistic(row, f, y, ratio, l2, steps)
+    look.unpersist()
     return Model(features, w * ratio, b, orders, bits)
 
 
