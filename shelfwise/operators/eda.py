@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import money, prefix_sum, ratio, round_half_up
 from shelfwise.operators.sales import month_of
+from shelfwise.session import ensure_checkpoint_dir
 
 HIST_BINS = 30
 KDE_GRID = 200
@@ -124,20 +125,21 @@ def box_stats(df: DataFrame, col: str = "quantity_sold", k: float = 1.5) -> Data
     The column is collapsed to one row per distinct value first; quartiles are
     picked from a distributed running count, so no task holds all values."""
     x = F.col(col).cast("double")
-    values = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("_c"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # Read several times below, so the column itself is scanned once.
+    values = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
     ranked = prefix_sum(values, ["x"], {"_upto": "_c"})
-    n = values.agg(F.sum("_c")).scalar()
+    n = values.agg(F.sum("_c")).first()[0] or 0         # one number, and three below
 
-    def at(rank):           # the value of the row with this rank from 0
+    def at(rank: int):           # the value of the row with this rank from 0
         return F.min(F.when(F.col("_upto") > rank, F.col("x")))
 
-    picks = {}
-    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
-        pos = F.lit(p) * (n - 1)
-        picks[f"{name}_lo"], picks[f"{name}_hi"], picks[f"{name}_w"] = at(F.floor(pos)), at(F.ceil(pos)), F.max(pos - F.floor(pos))
-    st = _stats(ranked, **picks)
-    quart = {q: st[f"{q}_lo"] + (st[f"{q}_hi"] - st[f"{q}_lo"]) * st[f"{q}_w"] for q in ("q1", "median", "q3")}
-    q, q1, q3 = quart, quart["q1"], quart["q3"]
+    pos = {"q1": 0.25 * (n - 1), "median": 0.5 * (n - 1), "q3": 0.75 * (n - 1)}
+    st = ranked.agg(*[f.alias(k) for q, p in pos.items()
+                      for k, f in ((f"{q}_lo", at(math.floor(p))), (f"{q}_hi", at(math.ceil(p))))]).first()
+    q = {k: F.lit(None if st[f"{k}_lo"] is None else st[f"{k}_lo"] + (st[f"{k}_hi"] - st[f"{k}_lo"]) * (p - math.floor(p))).cast("double")
+         for k, p in pos.items()}
+    q1, q3 = q["q1"], q["q3"]
     lo_f = q1 - F.lit(k) * (q3 - q1)
     hi_f = q3 + F.lit(k) * (q3 - q1)
     x = F.col("x")
