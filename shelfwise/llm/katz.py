@@ -1,4 +1,4 @@
-"""Word bigram scoring by Katz backoff.
+"""Word n-gram scoring by Katz backoff, of order 2 by packed ranges, of any other order by recursive tables.
 
 Counts are discounted by Good-Turing (counts up to ``K``), and what the
 discounts free goes to the next lower order with weights that make every
@@ -14,7 +14,15 @@ One count of every context is reserved (the + 1), so contexts without small
 counts back off too.  A text is its words and one end; the first word's
 context is the start of the text.
 
-Jobs.  Words are 64-bit hashes.  The unigram table is counted first, in
+Other orders.  ``order`` words make an n-gram, and P(w | h) backs off to
+P(w | h without its first word), down to the words; contexts before the start
+of a text are filled with it.  ``recursive`` counts the n-grams of all
+documents once, sums them to the lower orders, and makes the written table of
+each order (n-gram, count, probability) from that of the next lower one: an
+aggregate for the weights of the contexts and two joins, none of them by
+single tokens.
+
+Jobs of order 2.  Words are 64-bit hashes.  The unigram table is counted first, in
 ranges of words.  Then tasks pack their bigrams (with the documents they stand
 in) by the range of the context, and this exchange is read twice in one plan:
 once for the counts of counts and for the words whose unigram counts a range
@@ -427,16 +435,19 @@ def _score(shared):
 
 
 def score(spark: SparkSession, docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-          flush: int = 1_000_000, per_range: int = 1_500_000) -> DataFrame:
+          flush: int = 1_000_000, per_range: int = 1_500_000, order: int = 2) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
     ``held_out`` is a boolean column over ``docs``: rows not to learn from
     (null: learned from).  Tasks pack ``flush`` tokens at a time, and a range
-    holds about ``per_range`` training tokens.
+    holds about ``per_range`` training tokens.  ``order`` is the number of
+    words of an n-gram; what is not 2 goes by ``recursive``.
     """
     small_batches(spark)
     ranges = min(partitions(spark), 1 << 15)          # of words; those of contexts hold some million tokens each
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(~held_out, F.lit(True)).alias("train"))
+    if order != 2:
+        return recursive(spark, d, order)
     unigrams, u = count_unigrams(spark, d, ranges, flush)
     shared = spark.sparkContext.broadcast(u)
     parts = min(max(ranges, -(-u.tokens // per_range)), 1 << 15)
@@ -480,3 +491,84 @@ def _documents(pdf: pd.DataFrame) -> pd.DataFrame:
     score += np.bincount(late["rid"].astype(np.int64), weights=late["x"], minlength=n) if len(late) else 0
     return pd.DataFrame({"id": pd.Series(ids).astype("Int64").mask(null), "train": np.unpackbits(np.frombuffer(d["b3"], np.uint8))[:n].astype(bool),
                          "n_tokens": np.frombuffer(d["b2"], np.int64), "n_known": known, "base": base, "score": score})
+
+
+def _grams(docs: DataFrame, order: int) -> DataFrame:
+    """(rid, id, train, w0, w1, ...) of every token: its word and the ``order - 1`` words before it, the last first."""
+    words = [f"w{j}" for j in range(order)]
+
+    def run(batches):
+        for batch in batches:
+            for rows, data, off in blocks(batch, "text"):
+                _, word, row = tokens(data, off)
+                place = np.arange(len(word)) - np.searchsorted(row, row)
+                before = [word]
+                for j in range(1, order):
+                    w = np.full(len(word), START, np.uint64)
+                    w[place >= j] = word[np.flatnonzero(place >= j) - j]
+                    before.append(w)
+                for lo in range(0, len(word), 1 << 16):
+                    s = slice(lo, lo + (1 << 16))
+                    at = pa.array(row[s])
+                    yield pa.RecordBatch.from_arrays([*(rows.column(c).take(at) for c in ("rid", "id", "train")), *(pa.array(w[s].view(np.int64)) for w in before)],
+                                                     names=["rid", "id", "train", *words])
+
+    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
+    return numbered.mapInArrow(run, "rid long, id long, train boolean, " + ", ".join(f"{w} long" for w in words))
+
+
+def _kept(c, d: np.ndarray):
+    """What the discounts leave of a count."""
+    return F.when(c <= K, F.get(F.array(*[F.lit(float(x)) for x in d]), F.least(c, F.lit(K)).cast("int")) * c).otherwise(c.cast("double"))
+
+
+def _counts_of_counts(grams: DataFrame) -> list[int]:
+    n = {r["c"]: r["n"] for r in grams.where(F.col("c").between(1, K + 1)).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [0, *(n.get(r, 0) for r in range(1, K + 2))]
+
+
+def model(spark: SparkSession, grams: DataFrame, order: int) -> tuple[list[DataFrame], int, int]:
+    """The written tables of the orders 1 to ``order``, the training tokens and the training words.
+
+    ``grams`` has (w0, w1, ..., c): every n-gram with its training count, which
+    may be 0.  The table of order k has (w0 to w(k-1), c, alpha, p, c1): the
+    n-gram's count, the weight of its context, its probability and the count
+    of its word.
+    """
+    words = [f"w{j}" for j in range(order)]
+    lower = {k: grams.groupBy(*words[:k]).agg(F.sum("c").alias("c")) if k < order else grams for k in range(1, order + 1)}
+    c = F.col("c")
+    first = written(spark, lower[1], "grams-1")
+    n = _counts_of_counts(first)
+    d = discounts(n)
+    tot = first.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(c > 0, 1)).alias("types")).first()
+    small = sum(r * n[r] for r in range(1, K + 1))
+    unknown = 1 - (sum(d[r] * r * n[r] for r in range(1, K + 1)) + tot["n"] - small) / (tot["n"] + 1)
+    p = F.when(c > 0, _kept(c, d) / F.lit(tot["n"] + 1)).otherwise(F.lit(float(unknown)))
+    out = [written(spark, first.select("w0", "c", F.lit(1.0).alias("alpha"), p.alias("p"), c.alias("c1")), "model-1")]
+    for k in range(2, order + 1):
+        d = discounts(_counts_of_counts(lower[k]))
+        suffix, context = words[:k - 1], words[1:k]
+        g = lower[k].join(out[-1].select(*suffix, F.col("p").alias("q"), "c1"), suffix)
+        g = written(spark, g.select(*words[:k], "c", "q", "c1", _kept(c, d).alias("kept")), f"grams-{k}")
+        a = g.where("c > 0").groupBy(*context).agg(F.sum("c").alias("all"), F.sum("kept").alias("used"), F.sum("q").alias("low"))
+        a = a.select(*context, "all", ((1 - F.col("used") / (F.col("all") + 1)) / (1 - F.col("low"))).alias("alpha"))
+        g = g.join(a, context, "left").withColumn("alpha", F.coalesce("alpha", F.lit(1.0)))
+        p = F.when(c > 0, F.col("kept") / (F.col("all") + 1)).otherwise(F.col("alpha") * F.col("q"))
+        out.append(written(spark, g.select(*words[:k], "c", "alpha", p.alias("p"), "c1"), f"model-{k}"))
+    return out, tot["n"], tot["types"]
+
+
+def recursive(spark: SparkSession, d: DataFrame, order: int) -> DataFrame:
+    """``score`` of (id, text, train) for any order, every token looked up in the written table of the highest."""
+    if order < 1:
+        raise ValueError("order counts the words of an n-gram, 1 at least")
+    words = [f"w{j}" for j in range(order)]
+    t = written(spark, _grams(d, order), "tokens")
+    grams = written(spark, t.groupBy(*words).agg(F.sum(F.col("train").cast("long")).alias("c")), "grams")
+    tables, n, types = model(spark, grams, order)
+    s = t.join(tables[-1].select(*words, "p", "c1"), words).groupBy("rid", "id", "train").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.count(F.when(F.col("c1") > 0, 1)).alias("n_known"),
+        F.sum(F.log10((F.col("c1") + 1) / F.lit(n + types + 1))).alias("base"), F.sum(F.log10("p")).alias("score"))
+    return s.select("id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+                    F.round("base", 6).alias("base_score"), F.round("score", 6).alias("score"))
