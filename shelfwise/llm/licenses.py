@@ -13,7 +13,9 @@ exact.  In such a text every occurrence of the template's word that is rarest
 there marks a window around the place where the template would stand; each
 window is aligned on its own, so a license that is repeated in a text is found
 each time.  Of overlapping finds of one template the best, then the first,
-stays.
+stays.  Templates that hold one another's words are all found; of such
+overlapping finds the one with most matched words, then the best, names the
+text (``name``).
 
 Defined cases: words are lower-cased runs of ASCII letters, digits and
 non-ASCII characters; null and empty texts have no finds; templates without
@@ -34,8 +36,20 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from shelfwise.llm.arrowtext import LOWER, byte_table, hash_spans, map_rows, spans
 
-#: License notices and texts to look for, by SPDX identifier.
+#: License notices and texts to look for, by SPDX identifier; ``-full`` are whole texts with their disclaimers.
 TEMPLATES = {
+    "0BSD-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
+        "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "AGPL-3.0-only": "This work is licensed under the GNU Affero General Public License, version 3",
+    "AGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -49,8 +63,48 @@ TEMPLATES = {
         "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
         "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
         "distribution."),
+    "BSD-2-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" "
+        "AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY "
+        "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+        "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may "
+        "be used to endorse or promote products derived from this software without specific prior written permission."),
+    "BSD-3-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may "
+        "be used to endorse or promote products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."),
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "GPL-2.0-only": "This work is licensed under the GNU General Public License, version 2",
+    "GPL-2.0-or-later": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
     "GPL-3.0-only": "This work is licensed under the GNU General Public License, version 3",
     "GPL-3.0-or-later": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
@@ -59,7 +113,49 @@ TEMPLATES = {
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "ISC-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+        "USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "LGPL-2.0-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-2.1-only": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-2.1-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-3.0-only": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-3.0-or-later": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
     "MIT": "Released under the MIT License",
+    "MIT-0-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\", "
+        "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN "
+        "AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+        "OTHER DEALINGS IN THE SOFTWARE."),
     "MIT-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
@@ -213,17 +309,40 @@ def find_block(known: list[Template], data: np.ndarray, off: np.ndarray, min_cov
     return [sorted(x, key=lambda f: (f[3], -f[1], f[0])) for x in out]
 
 
+def name(finds: list[tuple]) -> tuple | None:
+    """The find that names a text: overlapped by none with more matched words, then the best, then the first."""
+    kept, starts, ends = [], [], []                # starts and ends of disjoint finds, ascending
+    for f in sorted(finds, key=lambda f: (-f[2], -f[1], f[3], f[0])):
+        i = bisect_left(starts, f[4])
+        if i and ends[i - 1] > f[3]:
+            continue
+        starts.insert(i, f[3])
+        ends.insert(i, f[4])
+        kept.append(f)
+    return min(kept, key=lambda f: (-f[1], f[3], f[0]), default=None)
+
+
 def scan(docs: DataFrame, texts: dict[str, str] | None = None, min_coverage: float = 0.8, out: str = "licenses",
-         text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with an array of finds (license, coverage, matched, start_word, end_word), by place."""
+         text_col: str = "text", keep: list[str] | None = None, best: str | None = None) -> DataFrame:
+    """``docs`` with an array of finds (license, coverage, matched, start_word, end_word), by place.
+
+    ``best`` names a column for the find that names the text.
+    """
     known = templates(TEMPLATES if texts is None else texts)
     names = ["license", "coverage", "matched", "start_word", "end_word"]
-    kind = pa.list_(pa.struct([pa.field("license", pa.string(), False), pa.field("coverage", pa.float64(), False),
-                               pa.field("matched", pa.int32(), False), pa.field("start_word", pa.int64(), False),
-                               pa.field("end_word", pa.int64(), False)]))
+    kind = pa.struct([pa.field("license", pa.string(), False), pa.field("coverage", pa.float64(), False),
+                      pa.field("matched", pa.int32(), False), pa.field("start_word", pa.int64(), False),
+                      pa.field("end_word", pa.int64(), False)])
+
+    def row(f):
+        return dict(zip(names, (f[0], round(f[1], 6), *f[2:])))
 
     def fn(rows, data, off):
         finds = find_block(known, data, off, min_coverage)
-        return [pa.array([[dict(zip(names, (f[0], round(f[1], 6), *f[2:]))) for f in x] for x in finds], kind)]
+        found = [pa.array([[row(f) for f in x] for x in finds], pa.list_(kind))]
+        if best is not None:
+            found.append(pa.array([row(name(x)) if x else None for x in finds], kind))
+        return found
 
-    return map_rows(docs, fn, [StructField(out, FINDS)], text_col, keep)
+    fields = [StructField(out, FINDS)] + ([] if best is None else [StructField(best, FINDS.elementType)])
+    return map_rows(docs, fn, fields, text_col, keep)

@@ -47,11 +47,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    finds = F.col("licenses")
-    best = F.sort_array(F.transform(finds, lambda f: F.struct((-f["coverage"]).alias("c"), f["start_word"].alias("s"), f["license"].alias("l"))))
-    return licenses.scan(docs, keep=["doc_id"]).select(
-        "doc_id", F.size(finds).cast("long").alias("n_finds"), F.get(best, F.lit(0))["l"].alias("license"),
-        (-F.get(best, F.lit(0))["c"]).alias("coverage"), F.get(best, F.lit(0))["s"].alias("start_word"), "licenses")
+    return licenses.scan(docs, keep=["doc_id"], best="best").select(
+        "doc_id", F.size("licenses").cast("long").alias("n_finds"), "best.license", "best.coverage", "best.start_word", "licenses")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

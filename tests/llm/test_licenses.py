@@ -59,3 +59,35 @@ def test_tables(spark):
     assert sorted(f["license"] for f in two) == ["a"] * 3 + ["b"] * 3
     with pytest.raises(ValueError):
         licenses.scan(df, {"none": "..."})
+
+
+NOTICE = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published "
+          "by the Free Software Foundation{} either version {} of the License, or (at your option) any later version. This {} is distributed in the "
+          "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY.")
+
+
+def test_siblings_are_named_apart(spark):
+    full = {k: v for k, v in licenses.TEMPLATES.items() if k.endswith("-full")}
+    assert {"0BSD-full", "BSD-2-Clause-full", "BSD-3-Clause-full", "ISC-full", "MIT-0-full", "MIT-full"} <= set(full)
+    assert all("WARRANTIES" in v.upper() or "WARRANTY" in v.upper() for v in full.values())
+    rows = [(k, f"some words before Copyright (c) 2020 A Holder {v} and after") for k, v in full.items()]
+    rows += [(k, licenses.TEMPLATES[k]) for k in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT-text", "Apache-2.0", "Apache-2.0-header", "MPL-2.0")]
+    rows += [(name, NOTICE.format(what, *(";", lic, ";") if v[0] in "12" else (":", lic, ","), v, what)) for name, what, lic, v in (
+        ("GPL-2.0-or-later", "program", "", "2"), ("GPL-3.0-or-later", "program", "", "3"), ("AGPL-3.0-or-later", "program", "Affero ", "3"),
+        ("LGPL-2.0-or-later", "library", "Library ", "2"), ("LGPL-2.1-or-later", "library", "Lesser ", "2.1"), ("LGPL-3.0-or-later", "library", "Lesser ", "3"))]
+    rows += [(f"{lic}-{v}.0-only", f"This work is licensed under the GNU {say}General Public License, version {v}.") for lic, say, v in (
+        ("GPL", "", 2), ("GPL", "", 3), ("LGPL", "Lesser ", 3), ("AGPL", "Affero ", 3))]
+    rows += [("MIT", f"{MIT}. {MIT}"), (None, "no license here"), (None, None)]
+    out = licenses.scan(spark.createDataFrame(rows, "want string, text string"), best="best").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert (r["best"] and r["best"]["license"]) == r["want"], r
+    assert all(r["best"] in r["licenses"] for r in out if r["best"])
+
+
+def test_name_takes_most_matched_of_overlapping():
+    short, long_, far = ("a", 1.0, 6, 3, 9), ("b", 0.9, 40, 0, 44), ("c", 0.95, 8, 60, 68)
+    assert licenses.name([short, long_]) == long_
+    assert licenses.name([short, long_, far]) == far              # apart from each other, the best coverage names the text
+    assert licenses.name([short, ("d", 1.0, 6, 20, 26)]) == short
+    assert licenses.name([]) is None
