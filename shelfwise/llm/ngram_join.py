@@ -31,6 +31,12 @@ copies comes together without giving all its pairs.  What is left are keys
 whose documents lie in several components for good; there every pair across
 components is a candidate.  So no link between two components is missed.
 
+Links.  Every link lies inside one component.  Where each row's number of
+links is asked for, all pairs of nodes of a component are compared by whole
+sets: its nodes are dealt into blocks of about ``block`` tokens by hash, every
+two blocks of a component make a task's group, and only numbers leave it.  A
+row's links are all other rows that it links with, copies included.
+
 Bounds.  Linked sets have near sizes, and their difference is small: each set
 has a sketch of 1024 parity bits, one token flipping one of them, so the bits in
 which two sketches differ are a lower bound of the tokens in which the sets
@@ -324,11 +330,9 @@ def _sent(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def compared(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int,
-             broadcast_rows: int) -> DataFrame:
-    """(x, y, linked) of ``pairs`` (x, y of nodes), from whole sets of tokens."""
+def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, broadcast_rows: int) -> DataFrame:
+    """(node, tokens) of ``nodes`` (node), a row for each."""
     small_batches(spark, 128)
-    nodes = pairs.select(F.col("x").alias("node")).unionAll(pairs.select("y")).distinct()
     first = written(spark, nodes.join(classes, "node").select("node", F.col("id").alias("_id")), "compared")
     # Only texts of compared documents travel; the list is broadcast if its counted rows allow.
     d = docs.join(_sent(first, first.count(), broadcast_rows), docs["id"].eqNullSafe(first["_id"])).select("node", "text")
@@ -342,8 +346,15 @@ def compared(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
                 yield pa.RecordBatch.from_arrays([pa.array([want[i] for i in ok], pa.int64()),
                                                   pa.array([got[i].tobytes() for i in ok], pa.binary())], names=["node", "tokens"])
 
+    return d.mapInArrow(sets, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+
+def compared(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int,
+             broadcast_rows: int) -> DataFrame:
+    """(x, y, linked) of ``pairs`` (x, y of nodes), from whole sets of tokens."""
+    nodes = pairs.select(F.col("x").alias("node")).unionAll(pairs.select("y")).distinct()
     # One set for each node, dealt by node: the same exchange serves both joins.
-    t = d.mapInArrow(sets, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    t = _sets_of(spark, docs, classes, nodes, size, broadcast_rows)
     p = pairs.join(t.select(F.col("node").alias("x"), F.col("tokens").alias("tx")), "x")
     p = p.join(t.select(F.col("node").alias("y"), F.col("tokens").alias("ty")), "y")
 
@@ -359,9 +370,67 @@ def compared(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
     return written(spark, p.mapInArrow(check, "x long, y long, linked boolean"), "compared")
 
 
+def _link_counts(a: list[np.ndarray], b: list[np.ndarray], wa: np.ndarray, wb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the sets of ``a`` the weights of their links in ``b``, and the other way round."""
+    na, nb = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    if not a or not b:
+        return na, nb
+    o = np.argsort([len(x) for x in b], kind="stable")
+    sizes, w = np.array([len(b[i]) for i in o]), wb[o]
+    off = np.concatenate([[0], np.cumsum(sizes)])
+    words, code = np.unique(np.concatenate([b[i] for i in o]), return_inverse=True)
+    got = np.zeros(len(b), np.int64)
+    for i, s in enumerate(a):
+        n = len(s)
+        lo, hi = np.searchsorted(100 * sizes, percent * n), np.searchsorted(percent * sizes, 100 * n, "right")
+        if lo >= hi:
+            continue
+        at = np.searchsorted(words, s)
+        at[at == len(words)] = 0
+        here = np.zeros(len(words), np.uint8)
+        here[at[words[at] == s]] = 1
+        both = np.add.reduceat(here[code[off[lo]: off[hi]]], off[lo:hi] - off[lo], dtype=np.int64)
+        linked = 100 * both >= percent * (n + sizes[lo:hi] - both)
+        na[i] = w[lo:hi][linked].sum()
+        got[lo:hi][linked] += wa[i]
+    nb[o] = got
+    return na, nb
+
+
+def link_counts(spark: SparkSession, docs: DataFrame, classes: DataFrame, comp: DataFrame, size: int, percent: int,
+                broadcast_rows: int, block: int = 1 << 16) -> DataFrame:
+    """(node, others): the rows of other nodes that each node of ``comp`` links with."""
+    of = comp.join(classes.select("node", "n", "n_copies"), "node")
+    all_ = of.groupBy("component").agg(F.least(F.ceil(F.sum("n") / F.lit(block)), F.count(F.lit(1))).cast("int").alias("blocks"))
+    of = of.join(all_, "component").select("node", "component", "n_copies", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own"))
+    of = written(spark, of, "members")
+    t = of.join(_sets_of(spark, docs, classes, of.select("node"), size, broadcast_rows), "node")
+    t = t.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "n_copies", "tokens")
+
+    def count(key, pdf):
+        import pandas as pd
+        sides = []
+        for k in dict.fromkeys(key[1:]):
+            x = pdf[pdf["own"] == k]
+            sides.append((x["node"].to_numpy(), [np.frombuffer(z, np.uint64) for z in x["tokens"]], x["n_copies"].to_numpy()))
+        (u, a, wa), (v, b, wb) = sides[0], sides[-1]
+        na, nb = _link_counts(a, b, wa, wb, percent)
+        if len(sides) == 1:
+            return pd.DataFrame({"node": u, "others": na - wa})          # a set links with itself
+        return pd.DataFrame({"node": np.concatenate([u, v]), "others": np.concatenate([na, nb])})
+
+    counts = t.groupBy("component", "lo", "hi").applyInPandas(count, "node long, others long")
+    return written(spark, counts.groupBy("node").agg(F.sum("others").alias("others")), "counts")
+
+
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-         percent: int = 80, rare_df: int = 4, max_frequent: int = 1 << 20, bits: int = 26, rounds: int = 2, broadcast_rows: int = 200_000) -> DataFrame:
-    """(id, n_shingles, component_id, n_copies) of each row; copies are the rows with an equal set, the row included."""
+         percent: int = 80, rare_df: int = 4, max_frequent: int = 1 << 20, bits: int = 26, rounds: int = 2, broadcast_rows: int = 200_000,
+         links: bool = False, block: int = 1 << 16) -> DataFrame:
+    """(id, n_shingles, component_id, n_copies) of each row; copies are the rows with an equal set, the row included.
+
+    With ``links`` also n_links, the number of other rows that the row links with.
+    """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(spark, profile(d, size), "profile")
     classes = rows.where("n > 0").groupBy("node").agg(
@@ -432,10 +501,14 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
 
     of = classes.join(comp, "node").groupBy("component").agg(F.min("id").alias("least"))
     of = comp.join(of, "component").select("node", "least")
-    classes = classes.join(of, "node", "left").select("node", "n_copies", F.coalesce("least", "id").alias("label"))
+    more = ["n_links"] if links else []
+    if links:
+        counts = link_counts(spark, d, classes, comp, size, percent, broadcast_rows, block)
+        classes = classes.join(counts, "node", "left").withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("n_copies") - 1)
+    classes = classes.join(of, "node", "left").select("node", "n_copies", F.coalesce("least", "id").alias("label"), *more)
     out = rows.join(classes, (rows["node"] == classes["node"]) & (rows["n"] > 0), "left")
     return out.select("id", rows["n"].alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("id")).alias("component_id"),
-                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), *[F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in more])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

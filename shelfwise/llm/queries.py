@@ -30,8 +30,8 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ngram_join.join(spark, table(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_copies")
+    out = ngram_join.join(spark, table(spark, sf_dir, "documents"), links=True)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_copies", "n_links")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,3 +144,13 @@ def test_components_of_chains_and_stars(spark):
 def test_packs_round_trip():
     k = np.sort(np.random.default_rng(1).integers(0, 2**48, 1000).astype(np.uint64))
     assert (nj._unpack(nj._pack(k)) == k).all()
+
+
+@pytest.mark.parametrize("how", [{}, {"block": 300, "broadcast_rows": 0}])
+def test_links_equal_plain(spark, rows, how):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = [plain_set(t) for _, t in rows]
+    want = [(str(i), len(s), sum(j != k and 100 * len(s & x) >= 80 * len(s | x) for k, x in enumerate(sets)) if s else 0) for j, ((i, _), s) in enumerate(zip(rows, sets))]
+    got = sorted((str(r["id"]), r["n_shingles"], r["n_links"]) for r in nj.join(spark, df, links=True, **how).collect())
+    assert got == sorted(want)
+    assert want[5][2] >= 2                     # the rows repeated above count
