@@ -60,8 +60,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import LongType, StructField
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, mix, release, small_batches, spans
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, hash_spans, map_rows, mix, release, small_batches, spans
 from shelfwise.llm.common import fresh, partitions, written
 from shelfwise.llm.components import components
 
@@ -426,10 +427,10 @@ def link_counts(spark: SparkSession, docs: DataFrame, classes: DataFrame, comp:
 
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
          percent: int = 80, rare_df: int = 4, max_frequent: int = 1 << 20, bits: int = 26, rounds: int = 2, broadcast_rows: int = 200_000,
-         links: bool = False, block: int = 1 << 16) -> DataFrame:
+         links: bool = False, block: int = 1 << 16, nodes: bool = False) -> DataFrame:
     """(id, n_shingles, component_id, n_copies) of each row; copies are the rows with an equal set, the row included.
 
-    With ``links`` also n_links, the number of other rows that the row links with.
+    With ``links`` also n_links, the number of other rows that the row links with, and with ``nodes`` the row's node.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(spark, profile(d, size), "profile")
@@ -508,7 +509,8 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     classes = classes.join(of, "node", "left").select("node", "n_copies", F.coalesce("least", "id").alias("label"), *more)
     out = rows.join(classes, (rows["node"] == classes["node"]) & (rows["n"] > 0), "left")
     return out.select("id", rows["n"].alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("id")).alias("component_id"),
-                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), *[F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in more])
+                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), *[F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in more],
+                      *([rows["node"]] if nodes else []))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -517,10 +519,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
 
     Of rows with one id and equal sets, one stays.
     """
-    j = written(spark, join(spark, docs, id_col, text_col, broadcast_rows=broadcast_rows, **how), "joined")
-    key = fresh("_id", docs)
-    gone = j.where("id <> component_id").select(F.col("id").alias(key)).distinct()
+    j = written(spark, join(spark, docs, id_col, text_col, broadcast_rows=broadcast_rows, nodes=True, **how), "joined")
+    key, node, own = fresh("_id", docs), fresh("_node", docs), fresh("_own", docs)
+    moved = F.col("id") != F.col("component_id")
+    ids = j.where("id IS NOT NULL").groupBy(F.col("id").alias(key)).agg(F.min(moved).alias("every"), F.max(moved).alias("some")).where("some")
+    gone, mixed = ids.where("every").select(key), written(spark, ids.where("NOT every").select(key), "mixed")
     out = docs.join(_sent(gone, gone.count(), broadcast_rows), F.col(id_col) == F.col(key), "left_anti")
+    n = mixed.count()
+    if n:
+        # Ids on several texts of which only some are linked with a smaller id: these rows go by their sets.
+        some = out.join(_sent(mixed, n, broadcast_rows), F.col(id_col) == F.col(key), "left_semi")
+        rest = out.join(_sent(mixed, n, broadcast_rows), F.col(id_col) == F.col(key), "left_anti")
+        size = how.get("size", 5)
+        some = map_rows(some, lambda rows, data, off: [pa.array([_node(x) for x in _sets(data, off, size)], pa.int64())],
+                        [StructField(own, LongType())], text_col)
+        left = j.where(moved).select(F.col("id").alias(key), F.col("node").alias(node)).distinct()
+        some = some.join(left, (F.col(id_col) == F.col(key)) & (F.col(own) == F.col(node)), "left_anti")
+        out = rest.unionAll(some.select(*[F.col(f"`{c}`") for c in docs.columns]))
     again = j.where("id = component_id AND n_shingles > 0").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     again = written(spark, again.select(F.col("id").alias(key)), "again")
     n = again.count()

@@ -154,3 +154,11 @@ def test_links_equal_plain(spark, rows, how):
     got = sorted((str(r["id"]), r["n_shingles"], r["n_links"]) for r in nj.join(spark, df, links=True, **how).collect())
     assert got == sorted(want)
     assert want[5][2] >= 2                     # the rows repeated above count
+
+
+def test_one_id_on_two_texts(spark):
+    """Only the text that is linked with a smaller id goes; an empty text with the id stays too."""
+    x, y = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(1, y), (5, x), (5, y + " more"), (5, ""), (9, x + " more")]
+    out = nj.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == [(1, y), (5, ""), (5, x)]
