@@ -9,7 +9,7 @@ are matched.
 
 Where to align: a text can only reach ``min_coverage`` when it holds enough of
 the template's words, which is counted first for all texts at once and is
-exact.  In such a text every occurrence of the template's word that is rarest
+exact for texts whose foreign words fit a window (below).  In such a text every occurrence of the template's word that is rarest
 there marks a window around the place where the template would stand; each
 window is aligned on its own, so a license that is repeated in a text is found
 each time.  Of overlapping finds of one template the best, then the first,
@@ -17,6 +17,10 @@ stays.  Templates that hold one another's words are all found; of such
 overlapping finds the one with most matched words, then the best, names the
 text (``name``).
 
+Largest gap: a window has max(4, n // 4) words more than a template of n words
+on each side.  A template with more foreign words than that inside, where no
+window holds ``min_coverage`` of it, is not found.
+
 Defined cases: words are lower-cased runs of ASCII letters, digits and
 non-ASCII characters; null and empty texts have no finds; templates without
 words are refused; equal templates under two names are both reported; extra
