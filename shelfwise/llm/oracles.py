@@ -132,5 +132,62 @@ SELECT doc_id, held AS held_out, n_tokens, n_known, total AS train_tokens, round
 FROM d JOIN s USING (r), du
 """
 
+OP13 = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(3988292384, x // 2) ELSE x // 2 END)) AS t),
+conv AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM (SELECT DISTINCT conv_id FROM conversations)),
+own AS (
+  SELECT k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(c.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations c JOIN conv ON c.conv_id IS NOT DISTINCT FROM conv.conv_id),
+crc AS (
+  SELECT name, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, y: xor(t[CAST(xor(x, y) & 255 AS INTEGER) + 1], x >> 8)), 4294967295) % 20 AS kind
+  FROM (SELECT DISTINCT name FROM own), tab),
+dam AS (
+  SELECT k, turn, CASE WHEN kind = 4 THEN 'user' WHEN role = '' THEN ' ' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS time
+  FROM own JOIN crc USING (name) WHERE kind <> 0),
+pos AS (SELECT k, turn, role, text, role[1] AS ini, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
+flt AS (
+  SELECT *, lag(ini) OVER (PARTITION BY k ORDER BY i) || ini AS pair,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+         WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+         WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM pos),
+stat AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM flt GROUP BY k),
+ins AS (FROM (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'), (3, 2, 5, 'I', chr(10) || 'user:'), (2, 3, 5, 'I', chr(10) || 'assistant:'),
+  (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'))
+  AS ins(s, t, cost, letters, lines)),
+step AS (FROM (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')) AS step(s, t, ini)),
+edit AS (
+  SELECT k, i, s, s AS t, 2 AS cost, 'D' AS letter, '' AS line FROM flt, (SELECT unnest(range(4)) AS s)
+  UNION ALL
+  SELECT k, i, s, t, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K', chr(10) || role || ':' || text
+  FROM flt JOIN step USING (ini) WHERE fault IS NULL OR fault = 'truncated'
+  UNION ALL
+  SELECT k, i, s, t, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R', chr(10) || CASE step.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text
+  FROM flt, step WHERE step.ini <> 's' AND (fault IS NULL OR fault = 'truncated')),
+way AS (
+  SELECT k, CAST(0 AS BIGINT) AS i, 0 AS s, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''} AS w FROM stat
+  UNION ALL
+  SELECT w.k, e.i, e.t, min({'cost': w.w.cost + ins.cost + e.cost, 'audit': w.w.audit || ins.letters || e.letter, 'lines': w.w.lines || ins.lines || e.line})
+  FROM way w JOIN ins ON ins.s = w.s JOIN edit e ON e.k = w.k AND e.i = w.i + 1 AND e.s = ins.t GROUP BY w.k, e.i, e.t),
+best AS (
+  SELECT w.k, min({'cost': w.w.cost + ins.cost, 'audit': w.w.audit || ins.letters, 'lines': w.w.lines || ins.lines}) AS w
+  FROM way w JOIN stat ON stat.k = w.k AND stat.n = w.i JOIN ins ON ins.s = w.s WHERE ins.t IN (0, 3) GROUP BY w.k)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.cost, 0) AS BIGINT) AS cost,
+       coalesce(w.audit, '') AS audit, sha256(coalesce(substr(w.lines, 2), '')) AS repaired_sha256
+FROM conv LEFT JOIN stat USING (k) LEFT JOIN best USING (k)
+"""
+
 ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op3_lm_scoring": OP3, "op6_warc": OP6,
-           "op10_quality_rules": OP10}
+           "op10_quality_rules": OP10, "op13_conversation_repair": OP13}

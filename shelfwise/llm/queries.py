@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, importance, katz, licenses, ngram_join, pieces, quality_rules, toxicity, warc
+from shelfwise.llm import chat, conversation_repair, decontaminate, importance, katz, licenses, ngram_join, pieces, quality_rules, toxicity, warc
 from shelfwise.llm.common import table, written
 
 
@@ -75,5 +75,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repaired_all(spark, turns, conversation_repair.damaged(turns))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op3_lm_scoring, op4_ngram_jaccard,
-                                  op5_sentencepiece, op6_warc, op7_license_scan, op8_quality_classifier, op9_toxicity, op10_quality_rules)}
+                                  op5_sentencepiece, op6_warc, op7_license_scan, op8_quality_classifier, op9_toxicity, op10_quality_rules,
+                                  op13_conversation_repair)}
