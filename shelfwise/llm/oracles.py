@@ -189,5 +189,29 @@ SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS
 FROM conv LEFT JOIN stat USING (k) LEFT JOIN best USING (k)
 """
 
+OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+t AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS g, i
+          FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM t, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, g, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 10),
+tot AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM t GROUP BY lang),
+cand AS (SELECT lang, k, g, c AS a, string_split(g, ' ') AS ws FROM f WHERE k > 1),
+longer AS (
+  SELECT lang, sub, max(a) AS a FROM (SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS sub FROM cand WHERE k = 3) GROUP BY ALL),
+cuts AS (
+  SELECT lang, g, a, cut, array_to_string(ws[1 : cut], ' ') AS x, array_to_string(ws[cut + 1 : k], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)),
+s AS (
+  SELECT cuts.lang, cuts.g, a, cut, fx.c AS l, fy.c AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(fx.c AS HUGEINT) * fy.c) AS score
+  FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.g = x JOIN f fy ON fy.lang = cuts.lang AND fy.g = y),
+one AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+kept AS (SELECT one.* FROM one LEFT JOIN longer ON longer.lang = one.lang AND sub = one.g WHERE coalesce(100 * longer.a < 50 * one.a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN tot USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op3_lm_scoring": OP3, "op6_warc": OP6,
-           "op10_quality_rules": OP10, "op13_conversation_repair": OP13}
+           "op10_quality_rules": OP10, "op11_collocations": OP11,
+           "op13_conversation_repair": OP13}
