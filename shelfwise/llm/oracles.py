@@ -132,6 +132,24 @@ SELECT doc_id, held AS held_out, n_tokens, n_known, total AS train_tokens, round
 FROM d JOIN s USING (r), du
 """
 
+OP12 = """
+WITH b AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT row, doc_id, p, substr(h, 2 * p + 1, 100) AS g
+  FROM (SELECT row, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM b WHERE len(h) >= 100)),
+m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g),
+hit AS (SELECT row, p, lag(p) OVER (PARTITION BY row ORDER BY p) AS before FROM w JOIN m USING (g) WHERE first < doc_id),
+isl AS (SELECT row, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY row ORDER BY p) AS k FROM hit),
+sp AS (SELECT row, k, min(p) AS a, max(p) + 50 AS z FROM isl GROUP BY ALL),
+pre AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY row ORDER BY k), 0) AS y FROM sp),
+kept AS (
+  SELECT row, sum(z - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * y + 1, 2 * (a - y)), '' ORDER BY k) || substr(any_value(h), 2 * max(z) + 1) AS h
+  FROM pre JOIN b USING (row) GROUP BY row)
+SELECT doc_id, len(b.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, b.h))) AS kept_sha256
+FROM b LEFT JOIN kept USING (row)
+"""
+
 OP13 = r"""
 WITH RECURSIVE tab AS (
   SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -213,5 +231,5 @@ SELECT lang, rank, g AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM
 """
 
 ORACLES = {"op1_decontamination": OP1, "op2_chat_formatting": OP2, "op3_lm_scoring": OP3, "op6_warc": OP6,
-           "op10_quality_rules": OP10, "op11_collocations": OP11,
+           "op10_quality_rules": OP10, "op11_collocations": OP11, "op12_suffix_dedup": OP12,
            "op13_conversation_repair": OP13}

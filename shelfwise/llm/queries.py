@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, collocations, conversation_repair, decontaminate, importance, katz, licenses, ngram_join, pieces, quality_rules, toxicity, warc
+from shelfwise.llm import chat, collocations, conversation_repair, decontaminate, importance, katz, licenses, ngram_join, pieces, quality_rules, suffix_dedup, toxicity, warc
 from shelfwise.llm.common import table, written
 
 
@@ -79,6 +79,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversation_repair.repaired_all(spark, turns, conversation_repair.damaged(turns))
@@ -86,4 +90,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_chat_formatting, op3_lm_scoring, op4_ngram_jaccard,
                                   op5_sentencepiece, op6_warc, op7_license_scan, op8_quality_classifier, op9_toxicity, op10_quality_rules,
-                                  op11_collocations, op13_conversation_repair)}
+                                  op11_collocations, op12_suffix_dedup, op13_conversation_repair)}
