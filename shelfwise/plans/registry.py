@@ -23,6 +23,7 @@ from shelfwise.operators import replenish as RP
 from shelfwise.operators import sales as S
 from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
+from shelfwise.operators import transfers as T
 from shelfwise.operators import views as V
 from shelfwise.plans.catalog import csv_export, load, optimization
 from shelfwise.sources import files as SF
@@ -348,6 +349,7 @@ QUERIES["p03"] = lambda spark, d: (lambda t: P.p03_dead_stock(_ci(t), t.daily_by
 _q("p04", P.p04_revenue_vs_space, "daily", "warehouses")
 QUERIES["p05"] = lambda spark, d: P.p05_avg_stockout_days(_cur(spark, d))
 QUERIES["p06"] = lambda spark, d: P.p06_transfer_candidates(_recs_full(spark, d))
+QUERIES["p06_transfers"] = lambda spark, d: T.transfer_plan(T.offers(_recs_full(spark, d)))
 _q("p07", P.p07_cost_per_sqft, "daily", "warehouses")
 _q("p08", P.p08_lead_time_range, "products")
 _q("p09", P.p09_single_source_share, "products")
