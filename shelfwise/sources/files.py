@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.session import app_id, shared_dir
+from shelfwise.sources import versions
 from shelfwise.sources.schema import FK_ORDER, RAW_SCHEMAS
 
 
@@ -25,7 +26,7 @@ def read_csv_tables(spark: SparkSession, directory: str, names=FK_ORDER,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
-    """Overwrite one table.  Parquet by default; facts may be
+    """Overwrite one table.  Parquet by default; facts may be
     partitioned (inventory by date) so that date filters prune files."""
     w = df.write.mode("overwrite")
     if partition_by:
@@ -84,10 +85,9 @@ def create_database(spark: SparkSession, data: str) -> str:
 
 
 def rebuild(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Every table written anew over what is there; returns the tables read back."""
-    for name, df in tables.items():
-        write_table(df, f"{folder}/{name}")
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+    """Every table written anew and committed as one version (see ``versions``); returns the tables read back."""
+    versions.rebuild(spark, tables, folder)
+    return versions.read(spark, folder)
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
