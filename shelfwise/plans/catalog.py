@@ -180,6 +180,20 @@ def optimization(spark: SparkSession, sf_dir: str, by_warehouse: bool = False) -
     return derived(spark, sf_dir, name, lambda t: replenish.optimization_table(t.daily, t.products, by_warehouse=by_warehouse))
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """(folder, tables): the raw tables, each split once per application into rows that a load accepts and rejects."""
+    from shelfwise.operators.quarantine import split
+    t = load(spark, sf_dir)
+    tables = {"suppliers": t.suppliers, "warehouses": t.warehouses, "products": t.raw_products, "sales": t.raw_sales, "inventory": t.raw_inventory}
+    folder = _root(spark, sf_dir, "quarantine")
+    with _LOCK:
+        key = (app_id(spark), _key(sf_dir), "quarantine")
+        if key not in _CACHE:
+            split(spark, tables, folder)
+            _CACHE[key] = folder
+    return folder, tables
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> str:
     """The five loaded tables written once as header CSV (overwrite)
     next to the Parquet catalog; returns the folder."""

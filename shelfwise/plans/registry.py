@@ -18,6 +18,7 @@ from shelfwise.operators import eda as E
 from shelfwise.operators import forecast as FC
 from shelfwise.operators import metrics as P
 from shelfwise.operators import quality as Q
+from shelfwise.operators import quarantine as QU
 from shelfwise.operators import recommend as RC
 from shelfwise.operators import replenish as RP
 from shelfwise.operators import sales as S
@@ -25,7 +26,7 @@ from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import transfers as T
 from shelfwise.operators import views as V
-from shelfwise.plans.catalog import csv_export, load, optimization
+from shelfwise.plans.catalog import csv_export, load, optimization, quarantine
 from shelfwise.sources import files as SF
 from shelfwise.sources import versions as VS
 from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
@@ -296,6 +297,20 @@ _q("k07", Q.generated_revenue, "sales")
 QUERIES["k08"] = lambda spark, d: Q.default_fills(load(spark, d).raw_inventory)
 
 
+def _sink(spark, d, table, sink):
+    folder, tables = quarantine(spark, d)
+    out = _dbl(QU.rows(spark, folder, table, tables[table].schema, sink))
+    if sink == "rejected":
+        out = out.withColumn(QU.BROKEN, F.array_join(QU.BROKEN, "; "))
+    return V.iso_dates(out, "sale_date" if table == "sales" else "date")
+
+
+for _t in ("sales", "inventory"):
+    for _s in ("accepted", "rejected"):
+        QUERIES[f"k_{_s}_{_t}"] = (lambda t, s: lambda spark, d: _sink(spark, d, t, s))(_t, _s)
+QUERIES["k_report"] = lambda spark, d: QU.report(spark, *quarantine(spark, d))
+
+
 # Sources and sinks
 def _csv_tables(spark, d):
     t = load(spark, d)
