@@ -33,14 +33,14 @@ def _trim() -> None:
         pass
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+def written(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back; ``codec``: else the session's.
 
     Cuts the lineage at a place that survives lost executors.  The folder is
     new for every call, so a changed input is never answered from an old table.
     """
     path = shared_dir(spark, "llm", app_id(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     _trim()
     return spark.read.schema(df.schema).parquet(path)
 
