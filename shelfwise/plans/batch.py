@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cleaning, forecast, quality, recommend, replenish
+from shelfwise.operators import cleaning, forecast, measured, quality, recommend, replenish
 from shelfwise.session import ship_package
 from shelfwise.sources.files import buckets, cluster, write_table
 
@@ -39,9 +39,9 @@ def stage(spark: SparkSession, df: DataFrame, path: str, fmt: str, partition_by=
     return spark.read.schema(df.schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def quality_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
+def quality_report(cleaned: dict[str, DataFrame], cleaning_report: DataFrame) -> DataFrame:
     """What a database would refuse or the cleaning changed: (source, table_name, rule, violations)
-    for keys, NOT NULLs, CHECKs and references of the cleaned tables, and the cleaning report."""
+    for keys, NOT NULLs, CHECKs and references of the cleaned tables, and the cleaning report (C12)."""
     def rows(source, df, table, rule, n):
         return df.select(F.lit(source).alias("source"), table.alias("table_name"), rule.alias("rule"), n.cast("long").alias("violations"))
 
@@ -52,8 +52,7 @@ def quality_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) ->
         rows("not null", quality.not_null_violations(t), c("table_name"), c("column_name"), c("violations")),
         rows("check", quality.check_violations(t), c("table_name"), c("rule_name"), c("violations")),
         rows("foreign key", quality.foreign_key_violations(t), F.split("foreign_key", r"\.")[0], c("foreign_key"), c("violations")),
-        rows("cleaning", quality.cleaning_report(raw["suppliers"], raw["warehouses"], raw["raw_products"], cleaned["products"],
-                                                 raw["raw_sales"], raw["raw_inventory"]), c("table_name"), c("check_name"), c("value")),
+        rows("cleaning", cleaning_report, c("table_name"), c("check_name"), c("value")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -65,17 +64,31 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, fmt: str = "pa
         category_map: dict | None = None) -> dict[str, str]:
     """Write every stage; later stages read the written output of earlier ones."""
     ship_package(spark)
-    cleaned = clean(raw, category_map)
+    layout = {"inventory": ["date"], "sales": ["sale_month"]}
+    t: dict[str, DataFrame] = {}
+    counted: dict[str, dict] = {}
+
+    def put(name: str, m: measured.Measured) -> None:
+        """Writes a cleaned table; its cleaning report is counted by the write."""
+        df, seen = measured.observe(m)
+        t[name] = stage(spark, df, f"{out}/{name}", fmt, layout.get(name))
+        counted[name] = seen.get
+
+    put("suppliers", measured.plain(raw["suppliers"]))
+    put("warehouses", measured.plain(raw["warehouses"]))
+    m = measured.products(raw["raw_products"], category_map)
+    put("products", m._replace(df=cleaning.set_null_dangling_supplier(m.df, raw["suppliers"])))       # K06
+    sales, inventory = measured.sales(raw["raw_sales"], t["products"]), measured.inventory(raw["raw_inventory"])
     if fmt == "parquet":        # facts partitioned by date: snapshots by day, sales by month
-        cleaned["sales"] = cleaned["sales"].withColumn("sale_month", F.trunc("sale_date", "month"))
         # As many files of a month or date as its rows need, and no more.
         months = raw["raw_sales"].groupBy(F.trunc("sale_date", "month")).count().agg(F.max("count")).first()[0] or 0
         dates = raw["raw_inventory"].groupBy("date").count().agg(F.max("count")).first()[0] or 0
-        cleaned["sales"] = cluster(cleaned["sales"], "sale_month", "sale_id", buckets(spark, months))
-        cleaned["inventory"] = cluster(cleaned["inventory"], "date", "product_id", buckets(spark, dates))
-    layout = {"inventory": ["date"], "sales": ["sale_month"]}
-    t = {name: stage(spark, df, f"{out}/{name}", fmt, layout.get(name)) for name, df in cleaned.items()}
-    stage(spark, quality_report(raw, t), f"{out}/quality_report", fmt)
+        by_month = sales.df.withColumn("sale_month", F.trunc("sale_date", "month"))
+        sales = sales._replace(df=cluster(by_month, "sale_month", "sale_id", buckets(spark, months)))
+        inventory = inventory._replace(df=cluster(inventory.df, "date", "product_id", buckets(spark, dates)))
+    put("sales", sales)
+    put("inventory", inventory)
+    stage(spark, quality_report(t, measured.report(spark, counted)), f"{out}/quality_report", fmt)
     opt = stage(spark, replenish.optimization_table(t["sales"], t["products"]),
                 f"{out}/inventory_optimization", fmt)
     stage(spark, recommend.recommendations(t["inventory"], t["warehouses"], t["suppliers"], opt),

@@ -23,7 +23,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cleaning
+from shelfwise.operators import cleaning, measured
 from shelfwise.session import app_id, shared_dir, ship_package
 from shelfwise.sources import testdata
 from shelfwise.sources.files import buckets, cluster, write_table
@@ -70,6 +70,7 @@ class Tables:
         self._spark, self._sf_dir = spark, sf_dir
         self._root = _root(spark, sf_dir, "catalog")
         self._raw: dict[str, DataFrame] = {}
+        self._seen: dict[str, dict] = {}        # what the writes have counted (C12)
         self._done: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -107,22 +108,35 @@ class Tables:
     def _write(self, name: str) -> None:
         spark, path = self._spark, f"{self._root}/{name}"
         if name == "products":
-            return write_table(cleaning.clean_products(self.raw_products, testdata.TEST_CATEGORY_MAP), path)
+            return self._put(name, measured.products(self.raw_products, testdata.TEST_CATEGORY_MAP))
         if name == "sales":
-            df = cleaning.clean_sales(self.raw_sales, self.products).withColumn(SALES_MONTH, F.trunc("sale_date", "month"))
-            return write_table(cluster(df, SALES_MONTH, "sale_id", buckets(spark, self._months())), path, partition_by=[SALES_MONTH])
+            m = measured.sales(self.raw_sales, self.products)
+            df = m.df.withColumn(SALES_MONTH, F.trunc("sale_date", "month"))
+            return self._put(name, m._replace(df=cluster(df, SALES_MONTH, "sale_id", buckets(spark, self._months()))), SALES_MONTH)
         if name == "daily":
             df = daily_sales(self.sales).withColumn(SALES_MONTH, F.trunc("sale_date", "month"))
             return write_table(cluster(df, SALES_MONTH, "product_id", buckets(spark, self._months())), path, partition_by=[SALES_MONTH])
         if name == "inventory":
-            df = cluster(cleaning.clean_inventory(self.raw_inventory), "date", "product_id", buckets(spark, self._snapshot()))
-            return write_table(df, path, partition_by=["date"])
+            m = measured.inventory(self.raw_inventory)
+            return self._put(name, m._replace(df=cluster(m.df, "date", "product_id", buckets(spark, self._snapshot()))), "date")
         self._raw = self._raw or testdata.raw_tables(spark, self._sf_dir)
         df = self._raw[name]
         if name == "raw_inventory":
             return write_table(cluster(df, "date", "product_id", buckets(spark, self._snapshot())), path, partition_by=["date"])
+        if name in ("suppliers", "warehouses"):
+            return self._put(name, measured.plain(df))
         return write_table(df, path)
 
+    def _put(self, name: str, m: measured.Measured, partition_by: str | None = None) -> None:
+        """Writes a table and keeps what its cleaning has counted."""
+        df, seen = measured.observe(m)
+        write_table(df, f"{self._root}/{name}", partition_by=partition_by and [partition_by])
+        self._seen[name] = seen.get
+
+    def cleaning_counts(self) -> dict[str, dict]:
+        """{table: {check: count}} of the cleaned tables, as counted by the writes that made them."""
+        return {name: (getattr(self, name), self._seen[name])[1] for name in ("suppliers", "warehouses", "products", "sales", "inventory")}
+
 
 class LazyTables:
     """The same tables as plans (nothing written)."""

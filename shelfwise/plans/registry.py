@@ -16,6 +16,7 @@ from shelfwise.operators import classify as C
 from shelfwise.operators import cleaning as C_
 from shelfwise.operators import eda as E
 from shelfwise.operators import forecast as FC
+from shelfwise.operators import measured as ME
 from shelfwise.operators import metrics as P
 from shelfwise.operators import quality as Q
 from shelfwise.operators import quarantine as QU
@@ -245,6 +246,21 @@ _q("e04", E.warehouse_revenue, "daily", "warehouses")
 QUERIES["e05"] = lambda spark, d: E.histogram(load(spark, d).products, "unit_price")
 QUERIES["e06"] = lambda spark, d: E.kde(load(spark, d).products, "unit_price")
 _q("e07", E.correlation_matrix, "products")
+QUERIES["e06_binned"] = lambda spark, d: E.kde_binned(load(spark, d).sales, "selling_price_per_unit")
+
+
+def _priced(spark, d, table="sales"):
+    t = load(spark, d)
+    return getattr(t, table).join(t.products.select("product_id", "category"), "product_id").select(
+        "sale_id", "product_id", "warehouse_id", "category", F.col("selling_price_per_unit").cast("double").alias("price"))
+
+
+QUERIES["c04_selected"] = lambda spark, d: (lambda t: E.group_medians(C_.standardize_categories(
+    t.raw_products, TEST_MAP), "category", "lead_time_days"))(load(spark, d))
+QUERIES["e08_outliers"] = lambda spark, d: E.outliers(load(spark, d).sales.select("sale_id", "product_id", "warehouse_id", "quantity_sold"), "quantity_sold")
+QUERIES["e08_price"] = lambda spark, d: E.box_stats(_priced(spark, d), "price")
+QUERIES["e08_price_by_category"] = lambda spark, d: E.box_stats_by(_priced(spark, d), ["category"], "price")
+QUERIES["e08_price_outliers"] = lambda spark, d: E.outliers(_priced(spark, d, "raw_sales"), "price", ["category"])     # before the repair
 QUERIES["e08"] = lambda spark, d: E.box_stats(load(spark, d).sales, "quantity_sold")
 _q("e09", E.supplier_scatter, "suppliers")
 
@@ -283,8 +299,7 @@ QUERIES["c09"] = lambda spark, d: (lambda t: V.iso_dates(_dbl(C_.repair_prices(
     C_.fix_quantity(C_.dedupe_sales(t.raw_sales)), t.products)), "sale_date"))(load(spark, d))
 QUERIES["c10"] = lambda spark, d: V.iso_dates(_dbl(load(spark, d).sales), "sale_date")
 QUERIES["c11"] = lambda spark, d: V.iso_dates(load(spark, d).inventory, "date")
-QUERIES["c12"] = lambda spark, d: (lambda t: Q.cleaning_report(
-    t.suppliers, t.warehouses, t.raw_products, t.products, t.raw_sales, t.raw_inventory))(load(spark, d))
+QUERIES["c12"] = lambda spark, d: ME.report(spark, load(spark, d).cleaning_counts())
 QUERIES["k01"] = lambda spark, d: Q.primary_key_violations(_loaded(load(spark, d)))
 QUERIES["k02"] = lambda spark, d: Q.not_null_violations(_loaded(load(spark, d)))
 QUERIES["k03"] = lambda spark, d: Q.check_violations(_loaded(load(spark, d)))
