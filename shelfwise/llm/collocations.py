@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from shelfwise.llm.arrowtext import LOWER, blocks, byte_table, hash_spans, mix, release, small_batches, spans
 from shelfwise.llm.common import partitions, written
 
-BLOCK = 8 << 20                  # bytes of text that one count of words covers
+BLOCK = 2 << 20                  # bytes of text that one count of words covers
 DICTIONARY = 1 << 22             # words of one broadcast
 SHARD = 250_000                  # phrases of one trie
 GROUP = 3                        # tries of one pass over the text
 PART = 1 << 16                   # counts of one row
-RANGE = 2_000_000                # phrases gathered in one group
+RANGE = 1_000_000                # phrases gathered in one group
 BUCKETS = 1 << 22
 
 #: The bytes that end a piece, and those that end a word.
