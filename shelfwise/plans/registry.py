@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import round_half_up
+from shelfwise.operators import arima as AR
 from shelfwise.operators import classify as C
 from shelfwise.operators import cleaning as C_
 from shelfwise.operators import eda as E
@@ -223,6 +224,15 @@ def _f06_by_category(spark, d):
     return FC.arima_params(s, ["category"])
 
 
+def _refined(df: DataFrame) -> DataFrame:
+    """Parameters to 3 places and sums of squares relative to the grid's, which the engines' last digits don't reach."""
+    return df.select(*[c for c in df.columns if c not in AR.FIELDS], round_half_up("phi", 3).alias("phi"), round_half_up("theta", 3).alias("theta"),
+                     "last_d", "last_y", round_half_up("grid_sse", 3).alias("grid_sse"), round_half_up("sse", 3).alias("sse"))
+
+
+QUERIES["f06_refined"] = lambda spark, d: _refined(AR.refined_params(_split(spark, d)))
+QUERIES["f06_refined_by_category"] = lambda spark, d: _refined(AR.refined_params(
+    FC.split(FC.fill_weeks(FC.weekly_demand(_sales_by_category(spark, d), ["category"]), ["category"])), ["category"]))
 # The same forecasting plan, one series per category (the scale axis).
 QUERIES["f06_by_category"] = _f06_by_category
 QUERIES["f09_by_category"] = lambda spark, d: FC.report(_sales_by_category(spark, d), ["category"])
