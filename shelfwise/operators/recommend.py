@@ -50,11 +50,11 @@ def stockout_days(inventory: DataFrame) -> DataFrame:
             .groupBy("product_id", "warehouse_id").agg(F.count("date").alias("stockout_days")))
 
 
-def current_status(inventory: DataFrame, warehouses: DataFrame) -> DataFrame:
+def current_status(inventory: DataFrame, warehouses: DataFrame, date=None) -> DataFrame:
     """R03 + R04: latest snapshot with stockout days (0 if none), warehouse
     name and availability % = rint1((1 - stockout_days / total_days) * 100)."""
     total = snapshot_days(inventory).scalar()
-    cur = (latest_snapshot(inventory)
+    cur = (latest_snapshot(inventory, date)
            .join(stockout_days(inventory), ["product_id", "warehouse_id"], "left")
            .join(warehouses.select("warehouse_id", "warehouse_name"), "warehouse_id", "left")
            .withColumn("stockout_days", F.coalesce("stockout_days", F.lit(0)).cast("long")))
@@ -106,13 +106,13 @@ def supplier_risk(reliability, rating):
 
 
 def recommendations(inventory: DataFrame, warehouses: DataFrame, suppliers: DataFrame,
-                    optimization: DataFrame, weights=WEIGHTS, full: bool = False) -> DataFrame:
+                    optimization: DataFrame, weights=WEIGHTS, full: bool = False, date=None) -> DataFrame:
     """The 17-column recommendation table (``full`` keeps the
     warehouse id and the intermediate scores as well).  An optimization
     table built ``by_warehouse`` is joined on (SKU, warehouse)."""
     keys = ["product_id", "warehouse_id"] if "warehouse_id" in optimization.columns else ["product_id"]
     opt = optimization.select(*keys, "product_name", "category", "rop", "eoq", "safety_stock", "supplier_id")
-    t = current_status(inventory, warehouses).join(opt, keys, "left")                 # R05
+    t = current_status(inventory, warehouses, date).join(opt, keys, "left")                 # R05
     stock, rop, ss = F.col("stock_on_hand"), F.col("rop"), F.col("safety_stock")
     t = (t.withColumn("turnover_score", turnover_score(stock, rop))
           .withColumn("cost_score", cost_score(stock, ss)))

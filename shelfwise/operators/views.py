@@ -29,16 +29,19 @@ def supplier_performance(suppliers: DataFrame, products: DataFrame) -> DataFrame
                     round_half_up("_lead", 1).alias("avg_lead_time_days")))
 
 
-def latest_snapshot(inventory: DataFrame) -> DataFrame:
-    """Rows of the global latest snapshot date.  With ``inventory``
-    partitioned by date, the scalar-subquery predicate prunes partitions."""
-    max_date = inventory.agg(F.max("date")).scalar()
-    return inventory.where(F.col("date") == max_date)
+def latest_snapshot(inventory: DataFrame, date=None) -> DataFrame:
+    """Rows of the global latest snapshot date.
 
+    ``date``: that date, where the layout tells it (``files.newest_partition``);
+    then no other date's files are in the plan.  Without it a scalar subquery
+    over the dates finds it, and prunes partitions at run time."""
+    newest = inventory.agg(F.max("date")).scalar() if date is None else F.lit(date).cast("date")
+    return inventory.where(F.col("date") == newest)
 
-def current_inventory(inventory: DataFrame, products: DataFrame, warehouses: DataFrame) -> DataFrame:
+
+def current_inventory(inventory: DataFrame, products: DataFrame, warehouses: DataFrame, date=None) -> DataFrame:
     """Latest snapshot joined to products and warehouses."""
-    cur = latest_snapshot(inventory)
+    cur = latest_snapshot(inventory, date)
     return (cur.join(products.select("product_id", "product_name", "category"), "product_id")
             .join(warehouses.select("warehouse_id", "warehouse_name"), "warehouse_id")
             .select("date", "product_id", "product_name", "category", "warehouse_id", "warehouse_name",

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import cleaning, measured
 from shelfwise.session import app_id, shared_dir, ship_package
 from shelfwise.sources import testdata
-from shelfwise.sources.files import buckets, cluster, write_table
+from shelfwise.sources.files import buckets, cluster, newest_partition, write_table
 
 SALES_MONTH = "sale_month"      # partition column of the sales tables (first day of the month)
 SNAPSHOT_COLUMNS = ["date", "product_id", "warehouse_id", "stock_on_hand", "stock_allocated", "stock_on_order"]
@@ -133,6 +133,14 @@ class Tables:
         write_table(df, f"{self._root}/{name}", partition_by=partition_by and [partition_by])
         self._seen[name] = seen.get
 
+    def snapshot_date(self) -> str | None:
+        """The newest snapshot date, by the names of the partitions."""
+        with _LOCK:
+            if "snapshot date" not in self._seen:
+                getattr(self, "inventory")
+                self._seen["snapshot date"] = newest_partition(self._spark, f"{self._root}/inventory", "date")
+            return self._seen["snapshot date"]
+
     def cleaning_counts(self) -> dict[str, dict]:
         """{table: {check: count}} of the cleaned tables, as counted by the writes that made them."""
         return {name: (getattr(self, name), self._seen[name])[1] for name in ("suppliers", "warehouses", "products", "sales", "inventory")}

@@ -70,7 +70,7 @@ _q("q35", S.q35_best_channel_per_category, "sales", "products")
 
 
 def _ci(t):
-    return V.current_inventory(t.inventory, t.products, t.warehouses)
+    return V.current_inventory(t.inventory, t.products, t.warehouses, t.snapshot_date())
 
 
 def _with_ci(fn: Callable, *tables: str):
@@ -147,12 +147,12 @@ QUERIES["o14_by_warehouse"] = lambda spark, d: _r6(optimization(spark, d, by_war
 def _recs(spark, d, full=True):
     """Recommendations read the persisted optimization table."""
     t = load(spark, d)
-    return RC.recommendations(t.inventory, t.warehouses, t.suppliers, optimization(spark, d), full=full)
+    return RC.recommendations(t.inventory, t.warehouses, t.suppliers, optimization(spark, d), full=full, date=t.snapshot_date())
 
 
 def _cur(spark, d):
     t = load(spark, d)
-    return RC.current_status(t.inventory, t.warehouses)
+    return RC.current_status(t.inventory, t.warehouses, t.snapshot_date())
 
 
 KEY = ["product_id", "warehouse_id"]
@@ -180,7 +180,7 @@ def _r12_by_warehouse(spark, d):
     doubles with NULLs (as a pandas frame would hold them)."""
     t = load(spark, d)
     recs = RC.recommendations(t.inventory, t.warehouses, t.suppliers,
-                              optimization(spark, d, by_warehouse=True))
+                              optimization(spark, d, by_warehouse=True), date=t.snapshot_date())
     for c in ["rop", "eoq", "safety_stock"]:
         recs = recs.withColumn(c, F.col(c).cast("double"))
     return recs
@@ -300,6 +300,7 @@ QUERIES["c04"] = lambda spark, d: (lambda t: C_.median_lead_time(C_.standardize_
 QUERIES["c05"] = lambda spark, d: (lambda t: C_.impute_lead_time(C_.standardize_categories(
     t.raw_products, TEST_MAP)).select("product_id", "category", "lead_time_days"))(load(spark, d))
 QUERIES["c06"] = lambda spark, d: V.iso_dates(_dbl(C_.dedupe_sales(load(spark, d).raw_sales)), "sale_date")
+QUERIES["c06_by_digest"] = lambda spark, d: V.iso_dates(_dbl(C_.dedupe_by_digest(load(spark, d).raw_sales)), "sale_date")
 QUERIES["c07"] = lambda spark, d: V.iso_dates(_dbl(C_.fix_quantity(C_.dedupe_sales(load(spark, d).raw_sales))),
                                               "sale_date")
 QUERIES["c08"] = lambda spark, d: (lambda t: V.iso_dates(_dbl(

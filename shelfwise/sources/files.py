@@ -54,6 +54,20 @@ def cluster(df: DataFrame, key: str, spread: str, n_buckets: int) -> DataFrame:
     return df.repartition(n, F.col(key), F.pmod(F.xxhash64(spread), F.lit(n_buckets)))
 
 
+def newest_partition(spark: SparkSession, path: str, column: str):
+    """The greatest value of the partition column of a Parquet table, by the names of its folders; None without rows.
+
+    Files are only opened to pass over partitions without rows.  ISO dates sort as text."""
+    names = [n.split("=", 1)[1] for n in versions.list_names(spark, path) if n.startswith(f"{column}=")]
+    table = spark.read.parquet(path) if names else None
+    for value in sorted((n for n in names if not n.startswith("__HIVE_")), reverse=True):
+        found = table.where(F.col(column).cast("string") == value) if dict(table.dtypes)[column] == "string" else table.where(
+            F.col(column) == F.lit(value).cast(dict(table.dtypes)[column]))
+        if not found.select(F.lit(1)).isEmpty():
+            return value
+    return None
+
+
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str | None = None) -> None:
     """Register cleaned tables under their names in FK order.
 
