@@ -133,6 +133,13 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores until it is none of ``taken``."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], list[pa.Array]],
              fields: list[StructField], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``df``'s ``keep`` columns (default all) and new ones, which ``fn`` makes for blocks of rows."""

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, hash_spans, map_rows, mix, small_batches, spans
+from shelfwise.llm.arrowtext import SPACE, blocks, byte_table, free, hash_spans, map_rows, mix, small_batches, spans
 from shelfwise.llm.common import fresh, partitions, written
 
 BITS = 16
@@ -148,7 +148,11 @@ def gumbel(id_col: str = "doc_id", seed: int = 1) -> Column:
 
 def weigh(docs: DataFrame, ratio: Ratio, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
           seed: int = 1, names: tuple[str, str, str] = ("n_grams", "log_ratio", "key"), orders: int = ORDERS) -> DataFrame:
-    """``docs`` with the number of n-grams, the importance (rounded to 6 places) and the perturbed key."""
+    """``docs`` with the number of n-grams, the importance (rounded to 6 places) and the perturbed key.
+
+    Columns of these names stay, and the new ones get underscores until their names are free."""
+    kept = docs.columns if keep is None else keep
+    names = tuple(free(x, kept) for x in names)
     bits = int(math.log2(len(ratio.log_ratio)))
     shared = docs.sparkSession.sparkContext.broadcast(ratio.log_ratio)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from shelfwise.llm.arrowtext import LOWER, byte_table, hash_spans, map_rows, spans
+from shelfwise.llm.arrowtext import LOWER, byte_table, free, hash_spans, map_rows, spans
 
 #: License notices and texts to look for, by SPDX identifier; ``-full`` are whole texts with their disclaimers.
 TEMPLATES = {
@@ -330,8 +330,12 @@ def scan(docs: DataFrame, texts: dict[str, str] | None = None, min_coverage: flo
          text_col: str = "text", keep: list[str] | None = None, best: str | None = None) -> DataFrame:
     """``docs`` with an array of finds (license, coverage, matched, start_word, end_word), by place.
 
-    ``best`` names a column for the find that names the text.
+    ``best`` names a column for the find that names the text.  Columns of these names stay, and the new ones get
+    underscores until their names are free.
     """
+    kept = docs.columns if keep is None else keep
+    out = free(out, kept)
+    best = None if best is None else free(best, [*kept, out])
     known = templates(TEMPLATES if texts is None else texts)
     names = ["license", "coverage", "matched", "start_word", "end_word"]
     kind = pa.struct([pa.field("license", pa.string(), False), pa.field("coverage", pa.float64(), False),

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField
 
-from shelfwise.llm.arrowtext import byte_table, hash_spans, map_rows, powers, small_batches
+from shelfwise.llm.arrowtext import byte_table, free, hash_spans, map_rows, powers, small_batches
 
 MARK = "▁"
 LITERAL = "\udfff"              # stands for a mark that the text itself holds; no valid text has a lone surrogate
@@ -394,7 +394,12 @@ def _state(shared) -> tuple[Vocabulary, Speller, Memo]:
 
 def encode(docs: DataFrame, v: Vocabulary, text_col: str = "text", ids_col: str = "ids", check: str | None = None,
            keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with the ids of each text; ``check`` names a column that tells whether decoding them gave the text."""
+    """``docs`` with the ids of each text; ``check`` names a column that tells whether decoding them gave the text.
+
+    Columns of these names stay, and the new ones get underscores until their names are free."""
+    kept = docs.columns if keep is None else keep
+    ids_col = free(ids_col, kept)
+    check = free(check, [*kept, ids_col]) if check else None
     shared = docs.sparkSession.sparkContext.broadcast(v)
     fields = [StructField(ids_col, ArrayType(IntegerType(), False))] + ([StructField(check, BooleanType())] if check else [])
 

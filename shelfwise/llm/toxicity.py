@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, map_rows, small_batches
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, free, map_rows, small_batches
 from shelfwise.llm.common import fresh, written
 
 BITS = 20
@@ -197,7 +197,10 @@ def _logistic(row: np.ndarray, f: np.ndarray, y: np.ndarray, ratio: np.ndarray,
 
 
 def score(docs: DataFrame, model: Model, out: str = "score", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (its ``keep`` columns) with the probability of class 1, rounded to 9 places."""
+    """``docs`` (its ``keep`` columns) with the probability of class 1, rounded to 9 places.
+
+    A column of that name stays, and the new one gets underscores until its name is free."""
+    out = free(out, docs.columns if keep is None else keep)
     shared = docs.sparkSession.sparkContext.broadcast((model.lookup(), model.weights, model.bias))
     orders, bits = model.orders, model.bits
 
