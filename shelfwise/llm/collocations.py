@@ -40,8 +40,9 @@ DICTIONARY = 1 << 22             # words of one broadcast
 SHARD = 250_000                  # phrases of one trie
 GROUP = 3                        # tries of one pass over the text
 PART = 1 << 16                   # counts of one row
-RANGE = 1_000_000                # phrases gathered in one group
-BUCKETS = 1 << 22
+RANGE = 500_000                  # phrases gathered in one group
+BUCKETS = 1 << 20
+HEATS = 16                       # parts in which a language's phrases are ranked first
 
 #: The bytes that end a piece, and those that end a word.
 BREAK = np.zeros(256, bool)
@@ -277,6 +278,7 @@ def _tries(spark: SparkSession, packs: DataFrame, length: int, digits: int) -> t
     def build(key, table):
         words, _ = _unique(np.frombuffer(b"".join(table.column("words").to_pylist()), np.int32).reshape(-1, length))
         base, check = double_array(words, digits)
+        release()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([words.tobytes()], pa.binary()),
                          "base": pa.array([base.tobytes()], pa.binary()), "check": pa.array([check.tobytes()], pa.binary())})
 
@@ -456,6 +458,8 @@ def _ranked(two: DataFrame, three: DataFrame, vocabulary: DataFrame, totals: Dat
             .withColumns({"s1": _score("f", "c1", "f23"), "s2": _score("f", "f12", "c3")}))
     triples = cuts.select(F.col("lang1").alias("lang"), F.concat_ws(" ", "x1", "x2", "x3").alias("phrase"), F.col("f").alias("a"),
                           F.expr("if(s1 <= s2, c1, f12)").alias("l"), F.expr("if(s1 <= s2, f23, c3)").alias("r"), F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = pairs.unionAll(triples).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    heats = pairs.unionAll(triples).withColumn("heat", F.pmod(F.xxhash64("phrase"), F.lit(HEATS)))      # so the final has HEATS * top rows at most
+    heats = heats.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "heat").orderBy(*order))).where(F.col("rank") <= top)
+    best = heats.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
