@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import cleaning, measured
 from shelfwise.session import app_id, shared_dir, ship_package
 from shelfwise.sources import testdata
-from shelfwise.sources.files import buckets, cluster, newest_partition, write_table
+from shelfwise.sources.files import buckets, cluster, create_database, newest_partition, write_bucketed, write_table
 
 SALES_MONTH = "sale_month"      # partition column of the sales tables (first day of the month)
 SNAPSHOT_COLUMNS = ["date", "product_id", "warehouse_id", "stock_on_hand", "stock_allocated", "stock_on_order"]
@@ -202,6 +202,23 @@ def optimization(spark: SparkSession, sf_dir: str, by_warehouse: bool = False) -
     return derived(spark, sf_dir, name, lambda t: replenish.optimization_table(t.daily, t.products, by_warehouse=by_warehouse))
 
 
+def co_located(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """``daily``, ``products`` and the newest ``snapshot`` as tables bucketed by SKU, written once per application.
+
+    All have as many buckets as the largest needs at ``shelfwise.layout.rowsPerFile`` rows each, and at least the
+    shuffle width.  A SKU's rows share a bucket: in ``daily`` one for each warehouse and day, however often it sells."""
+    t = load(spark, sf_dir)
+    with _LOCK:
+        key = (app_id(spark), _key(sf_dir), "co-located")
+        if key not in _CACHE:
+            frames = {"daily": t.daily, "products": t.products, "snapshot": t.inventory.where(F.col("date") == F.lit(t.snapshot_date()).cast("date"))}
+            rows = max(df.count() for df in frames.values())
+            n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets(spark, rows))
+            database = create_database(spark, _key(sf_dir) + "#by-sku")
+            _CACHE[key] = {name: write_bucketed(spark, df, f"{database}.{name}", "product_id", n) for name, df in frames.items()}
+        return _CACHE[key]
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     """(folder, tables): the raw tables, each split once per application into rows that a load accepts and rejects."""
     from shelfwise.operators.quarantine import split

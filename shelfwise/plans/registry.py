@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions import distinct as DI
 from shelfwise.functions import round_half_up
 from shelfwise.operators import arima as AR
 from shelfwise.operators import classify as C
@@ -28,7 +29,7 @@ from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import transfers as T
 from shelfwise.operators import views as V
-from shelfwise.plans.catalog import csv_export, load, optimization, quarantine
+from shelfwise.plans.catalog import co_located, csv_export, load, optimization, quarantine
 from shelfwise.sources import files as SF
 from shelfwise.sources import versions as VS
 from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
@@ -93,6 +94,8 @@ QUERIES["q18"] = _with_ci(K.q18_out_of_stock)
 QUERIES["q19"] = _with_ci(K.q19_over_allocated)
 QUERIES["q20"] = _with_ci(K.q20_stock_by_warehouse)
 QUERIES["q21"] = _with_ci(K.q21_stock_status)
+QUERIES["q21_rollup"] = lambda spark, d: DI.rollup(
+    _ci(load(spark, d)).withColumn("stock_status", K.stock_status(F.col("stock_on_hand"))), ["stock_status", "warehouse_id"], "product_id", "unique_skus")
 QUERIES["q22"] = _with_ci(K.q22_dio, "daily", "products")
 QUERIES["q23"] = _with_ci(K.q23_turnover, "daily", "products")
 QUERIES["q24"] = _with_ci(K.q24_lowest_sku_turnover, "daily", "products")
@@ -100,6 +103,17 @@ QUERIES["q25"] = _with_ci(K.q25_pending_ratio)
 QUERIES["q36"] = _with_ci(K.q36_reorder_alerts, "daily", "products")
 QUERIES["q37"] = _with_ci(K.q37_slow_dead_stock, "daily_by_month", "products")
 _q("q38", K.q38_eoq, "daily", "products")
+
+
+def _by_sku(fn):
+    """The query over tables that lie bucketed by SKU (snapshot, daily, products): no row travels to meet its SKU's others."""
+    return lambda spark, d: fn(*[co_located(spark, d)[n] for n in ("snapshot", "daily", "products")])
+
+
+QUERIES["q22_by_sku"] = _by_sku(K.q22_dio)
+QUERIES["q24_by_sku"] = _by_sku(K.q24_lowest_sku_turnover)
+QUERIES["q38_by_sku"] = _by_sku(lambda _, daily, products: K.q38_eoq(daily, products))
+QUERIES["o11_by_sku"] = _by_sku(lambda _, daily, products: RP.order_quantities(daily, products).select(*RP.STEP_COLUMNS["o11"]))
 _q("q42", SU.q42_supplier_scorecard, "suppliers")
 _q("q43", SU.q43_warehouse_efficiency, "daily", "warehouses")
 _q("q44", SU.q44_supplier_category_skus, "products", "suppliers")

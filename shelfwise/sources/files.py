@@ -54,6 +54,14 @@ def cluster(df: DataFrame, key: str, spread: str, n_buckets: int) -> DataFrame:
     return df.repartition(n, F.col(key), F.pmod(F.xxhash64(spread), F.lit(n_buckets)))
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, table: str, key: str, n_buckets: int) -> DataFrame:
+    """``df`` as a table whose rows lie in ``n_buckets`` files by the hash of ``key``, sorted by it.
+
+    Tables with the same number of buckets join on ``key``, and group by it, where they lie."""
+    (df.repartition(n_buckets, key).write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key).format("parquet").saveAsTable(table))
+    return spark.table(table)
+
+
 def newest_partition(spark: SparkSession, path: str, column: str):
     """The greatest value of the partition column of a Parquet table, by the names of its folders; None without rows.
 
