@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import cleaning, measured
 from shelfwise.session import app_id, shared_dir, ship_package
 from shelfwise.sources import testdata
-from shelfwise.sources.files import buckets, cluster, create_database, newest_partition, write_bucketed, write_table
+from shelfwise.sources.files import buckets, cluster, create_database, load_tables, newest_partition, write_bucketed, write_table
 
 SALES_MONTH = "sale_month"      # partition column of the sales tables (first day of the month)
 SNAPSHOT_COLUMNS = ["date", "product_id", "warehouse_id", "stock_on_hand", "stock_allocated", "stock_on_order"]
@@ -247,6 +247,18 @@ def csv_export(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def database(spark: SparkSession, sf_dir: str) -> str:
+    """The name of a database with the five loaded tables, filled once per application."""
+    t = load(spark, sf_dir)
+    with _LOCK:
+        key = (app_id(spark), _key(sf_dir), "database")
+        if key not in _CACHE:
+            name = create_database(spark, _key(sf_dir))
+            load_tables(spark, {n: getattr(t, n) for n in ("suppliers", "warehouses", "products", "sales", "inventory")}, name)
+            _CACHE[key] = name
+        return _CACHE[key]
+
+
 def load_lazy(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Same tables as ``load`` but as one lazy plan (no writes)."""
     return LazyTables(build(spark, sf_dir))

@@ -29,7 +29,7 @@ from shelfwise.operators import stock as K
 from shelfwise.operators import suppliers as SU
 from shelfwise.operators import transfers as T
 from shelfwise.operators import views as V
-from shelfwise.plans.catalog import co_located, csv_export, load, optimization, quarantine
+from shelfwise.plans.catalog import co_located, csv_export, database, load, optimization, quarantine
 from shelfwise.sources import files as SF
 from shelfwise.sources import versions as VS
 from shelfwise.sources.testdata import TEST_CATEGORY_MAP as TEST_MAP
@@ -85,7 +85,8 @@ def _with_ci(fn: Callable, *tables: str):
 # Views
 _q("v01", V.product_profitability, "products")
 _q("v02", V.supplier_performance, "suppliers", "products")
-QUERIES["v03"] = lambda spark, d: V.iso_dates(_ci(load(spark, d)), "date")
+QUERIES["v03"] = lambda spark, d: (lambda t: V.iso_dates(V.current_inventory(t.inventory, t.products, t.warehouses), "date"))(load(spark, d))
+QUERIES["v03_by_name"] = lambda spark, d: V.iso_dates(_ci(load(spark, d)), "date")       # the date from the partition names
 
 # Group 3 and 5: inventory and supply chain
 QUERIES["q16"] = _with_ci(K.q16_inventory_valuation, "warehouses", "products")
@@ -365,10 +366,7 @@ QUERIES["s02"] = lambda spark, d: V.iso_dates(_dbl(_csv_tables(spark, d)["sales"
 
 def _s03(spark, d):
     """The sales table of a database of named tables, with its regenerated revenue."""
-    t = load(spark, d)
-    database = SF.create_database(spark, d)
-    SF.load_tables(spark, _loaded(t), database)
-    return V.iso_dates(_dbl(spark.table(f"{database}.sales").select(
+    return V.iso_dates(_dbl(spark.table(f"{database(spark, d)}.sales").select(
         "sale_id", "sale_date", "product_id", "quantity_sold", "selling_price_per_unit", "revenue")), "sale_date")
 
 
