@@ -42,7 +42,7 @@ GROUP = 3                        # tries of one pass over the text
 PART = 1 << 16                   # counts of one row
 RANGE = 500_000                  # phrases gathered in one group
 BUCKETS = 1 << 20
-HEATS = 16                       # parts in which a language's phrases are ranked first
+HEATS = (64, 4, 1)               # parts in which a language's phrases are ranked, round by round
 
 #: The bytes that end a piece, and those that end a word.
 BREAK = np.zeros(256, bool)
@@ -459,7 +459,8 @@ def _ranked(two: DataFrame, three: DataFrame, vocabulary: DataFrame, totals: Dat
     triples = cuts.select(F.col("lang1").alias("lang"), F.concat_ws(" ", "x1", "x2", "x3").alias("phrase"), F.col("f").alias("a"),
                           F.expr("if(s1 <= s2, c1, f12)").alias("l"), F.expr("if(s1 <= s2, f23, c3)").alias("r"), F.least("s1", "s2").alias("score"))
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
-    heats = pairs.unionAll(triples).withColumn("heat", F.pmod(F.xxhash64("phrase"), F.lit(HEATS)))      # so the final has HEATS * top rows at most
-    heats = heats.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "heat").orderBy(*order))).where(F.col("rank") <= top)
-    best = heats.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    best = pairs.unionAll(triples)
+    for parts in HEATS:                                             # no task sorts more than 16 * top rows after the first round
+        heat = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", heat).orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
