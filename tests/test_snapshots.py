@@ -6,7 +6,9 @@ import os
 import pytest
 
 from conftest import SF_SMALL
+from shelfwise.operators import quarantine
 from shelfwise.plans import catalog
+from shelfwise.plans.registry import QUERIES
 from shelfwise.sources import files, testdata
 
 DAY = dt.date(2024, 3, 1)
@@ -82,3 +84,35 @@ def test_a_query_over_clean_tables_writes_no_raw_fact(spark, tmp_path):
     again = catalog.load(spark, str(tmp_path / "data"), refresh=True)
     assert again.inventory.count() and again.sales.count()
     assert not {"raw_inventory", "raw_sales"} & set(again._done)
+
+
+def test_quarantine_splits_what_is_asked_for(spark, tmp_path):
+    """One table's sinks write no other fact; short key lists are stored first, so that rows don't travel to meet them."""
+    os.symlink(SF_SMALL, tmp_path / "data")
+    folder, tables = catalog.quarantine(spark, str(tmp_path / "data"), ["sales"])
+    assert list(tables) == ["sales"]
+    assert sorted(os.listdir(folder.removeprefix("file://").removeprefix("file:"))) == ["sales"]
+    t = catalog.load(spark, str(tmp_path / "data"))
+    assert "raw_inventory" not in t._done
+    own = {"sales": t.raw_sales, "products": t.raw_products, "warehouses": t.warehouses}
+    n = iter(range(9))
+    plan = quarantine.tag(own, "sales", lambda keys, name: quarantine._stored(spark, keys, str(tmp_path / f"{next(n)}")))
+    assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_query_by_sku_makes_the_tables_it_reads(spark, tmp_path):
+    os.symlink(SF_SMALL, tmp_path / "data")
+    QUERIES["q38_by_sku"](spark, str(tmp_path / "data")).count()
+    assert set(catalog.co_located(spark, str(tmp_path / "data"))._done) == {"daily", "products"}
+    assert "inventory" not in catalog.load(spark, str(tmp_path / "data"))._done
+    with pytest.raises(KeyError):
+        catalog.co_located(spark, str(tmp_path / "data"))["sales"]
+
+
+def test_csv_sink_is_compressed_and_whole(spark):
+    t, root = catalog.load(spark, SF_SMALL), catalog.csv_export(spark, SF_SMALL)
+    names = os.listdir(f"{root}/inventory.csv".removeprefix("file://").removeprefix("file:"))
+    assert [n for n in names if n.endswith(".csv.gz")] and not [n for n in names if n.endswith(".csv")]
+    back = files.read_csv_tables(spark, root, schemas={n: getattr(t, n).schema for n in files.FK_ORDER})
+    assert {n: df.count() for n, df in back.items()} == {n: getattr(t, n).count() for n in files.FK_ORDER}
+    assert back["sales"].exceptAll(t.sales).isEmpty()
