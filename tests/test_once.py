@@ -8,7 +8,7 @@ import pytest
 
 from __spark_entry__ import queries
 from shelfwise.operators.quality import primary_key_violations, repeated_keys
-from shelfwise.plans.catalog import load
+from shelfwise.plans.catalog import database, load
 
 SF = "/root/testdata/sf0.001"
 KEY = ["date", "product_id", "warehouse_id"]
@@ -33,6 +33,16 @@ def test_k01_writes_no_fact(spark, fresh):
     assert got == sorted(map(tuple, primary_key_violations(loaded).collect()))
 
 
+def test_database_is_filled_without_the_catalog(spark, fresh):
+    name = database(spark, fresh)
+    t = load(spark, fresh)
+    assert not written_tables(t) & {"sales", "inventory"}
+    for table in ("suppliers", "warehouses", "products", "sales", "inventory"):
+        stored = spark.table(f"{name}.{table}")
+        assert stored.columns == getattr(t, table).columns
+        assert stored.exceptAll(getattr(t, table)).isEmpty() and stored.count() == getattr(t, table).count()
+
+
 @pytest.mark.parametrize("n, days", [(60, 400), (400, 30), (300, 3), (0, 1)])
 def test_repeated_keys_are_those_that_occur_more_than_once(spark, n, days):
     r = random.Random(n)
