@@ -33,6 +33,14 @@ def test_k01_writes_no_fact(spark, fresh):
     assert got == sorted(map(tuple, primary_key_violations(loaded).collect()))
 
 
+def test_daily_is_grouped_without_the_sales_table(spark, fresh):
+    t = load(spark, fresh)
+    rows = sorted(map(tuple, t.daily.collect()))
+    assert "sales" not in written_tables(t)
+    again = load(spark, fresh, refresh=True)
+    assert again.sales.count() and sorted(map(tuple, again.daily.collect())) == rows       # from the written table
+
+
 def test_database_is_filled_without_the_catalog(spark, fresh):
     name = database(spark, fresh)
     t = load(spark, fresh)
