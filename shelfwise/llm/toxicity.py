@@ -9,7 +9,9 @@ Training uses at most ``max_rows`` labelled texts, chosen by the hash of their
 id, and the ``n_features`` n-grams with the largest chi-square statistic: both
 bounds are parameters, so the sample, the count vectors and the model that
 pass through the driver have a fixed size.  Counting and feature extraction
-run in tasks over the sample; scoring is a map over all whole texts.
+run in tasks over the sample; scoring is a map over all whole texts.  The
+driver holds two bytes for each feature of a sampled text and fits over parts
+of them.
 
 Defined cases: null and empty texts get the score of a text without features;
 labels with a null id or class are left out, repeated labels count as toxic if
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, free, map_rows, small_batches
+from shelfwise.llm.arrowtext import LOWER, SPACE, blocks, byte_table, free, map_rows, release, small_batches
 from shelfwise.llm.common import fresh, written
 
 BITS = 20
@@ -151,6 +153,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: st
     ratio = np.log((p[features] + alpha) / (n1 + 2 * alpha)) - np.log((q[features] + alpha) / (n0 + 2 * alpha))
 
     chosen = Model(features, ratio, 0.0, orders, bits)
+    number = np.uint16 if len(features) <= 1 << 16 else np.int32
     look = spark.sparkContext.broadcast(chosen.lookup())
 
     def extract(batches):
@@ -160,35 +163,53 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: st
                 cut = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows.num_rows))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id").cast(pa.string()), rows.column("label"),
-                     pa.array([f[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
+                     pa.array([f[a:b].astype(number).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["id", "label", "f"])
 
     del counts, p, q, both, chi
     got = sample.mapInArrow(extract, "id string, label int, f binary").toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
     y = got["label"].to_numpy().astype(float)
-    f = [np.frombuffer(x.as_buffer(), np.int32) for x in got["f"]]
-    row = np.repeat(np.arange(len(f), dtype=np.int32), [len(x) for x in f])
-    f = np.concatenate(f) if f else np.zeros(0, np.int32)
+    f = [np.frombuffer(x.as_buffer(), number) for x in got["f"]]
+    sizes = np.array([len(x) for x in f], np.int64)
+    f = np.concatenate(f) if f else np.zeros(0, number)
     del got
-    w, b = _logistic(row, f, y, ratio, l2, steps)
+    release()
+    w, b = _logistic(sizes, f, y, ratio, l2, steps)
     look.unpersist()
     return Model(features, w * ratio, b, orders, bits)
 
 
-def _logistic(row: np.ndarray, f: np.ndarray, y: np.ndarray, ratio: np.ndarray, l2: float, steps: int) -> tuple[np.ndarray, float]:
-    """Weights and bias by Nesterov's accelerated gradient on the penalised log loss, with class-balanced weights."""
-    x = ratio[f]
+def _logistic(sizes: np.ndarray, f: np.ndarray, y: np.ndarray, ratio: np.ndarray, l2: float, steps: int,
+              block: int = 1 << 18) -> tuple[np.ndarray, float]:
+    """Weights and bias by Nesterov's accelerated gradient on the penalised log loss, with class-balanced weights.
+
+    ``f`` has the features of all rows, one after another, and ``sizes`` how many each row has.  Only whole rows of about
+    ``block`` features are held as products at a time; the sums add up in the same order as over all rows at once.
+    """
+    off = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(off, np.arange(block, off[-1], block)), [len(y)]])).astype(np.int64)
+
+    def parts():
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield slice(a, b), np.repeat(np.arange(b - a), sizes[a:b]), f[off[a]: off[b]].astype(np.int64)
+
     n1 = y.sum()
     cw = np.where(y > 0, 0.5 / n1, 0.5 / (len(y) - n1))
     # A bound of the curvature: the largest weighted squared norm of a row.
-    norms = np.bincount(row, weights=x * x, minlength=len(y)) + 1
-    step = 4.0 / (np.sum(cw * norms) + l2)
+    norms, squares = np.zeros(len(y)), ratio * ratio
+    for at, row, x in parts():
+        norms[at] = np.bincount(row, weights=squares[x], minlength=at.stop - at.start)
+    step = 4.0 / (np.sum(cw * (norms + 1)) + l2)
     w, b = np.zeros(len(ratio)), 0.0
     vw, vb, t = w.copy(), b, 1.0
+    g = np.zeros(len(y))
     for _ in range(steps):
-        z = np.bincount(row, weights=vw[f] * x, minlength=len(y)) + vb
-        g = cw * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-        nw = vw - step * (np.bincount(f, weights=g[row] * x, minlength=len(ratio)) + l2 * vw)
+        scaled, sums = vw * ratio, np.zeros(len(ratio))
+        for at, row, x in parts():
+            z = np.bincount(row, weights=scaled[x], minlength=at.stop - at.start) + vb
+            g[at] = cw[at] * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[at])
+            np.add.at(sums, x, g[at][row] * ratio[x])
+        nw = vw - step * (sums + l2 * vw)
         nb = vb - step * g.sum()
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)

@@ -1,6 +1,7 @@
 """Importance resampling and toxicity: held-out accuracy, plain versions, defined cases."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -115,3 +116,46 @@ def test_toxicity_cases(spark):
     for some, exp in ((labels.limit(0), 0.0), (labels.where("toxic = 0"), 0.0), (labels.where("toxic = 1"), 1.0)):
         assert {round(r["score"]) for r in toxicity.score(docs.drop("score"), toxicity.train(spark, docs, some)).collect()} == {exp}
     assert toxicity.score(docs.limit(0), model, "s").count() == 0
+
+
+def plain_fit(sizes, f, y, ratio, l2, steps):
+    """The same descent over all features at once."""
+    row, x = np.repeat(np.arange(len(y)), sizes), ratio[f]
+    cw = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    step = 4.0 / (np.sum(cw * (np.bincount(row, weights=x * x, minlength=len(y)) + 1)) + l2)
+    w, b = np.zeros(len(ratio)), 0.0
+    vw, vb, t = w, b, 1.0
+    for _ in range(steps):
+        z = np.bincount(row, weights=vw[f] * x, minlength=len(y)) + vb
+        g = cw * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
+        nw, nb = vw - step * (np.bincount(f, weights=g[row] * x, minlength=len(ratio)) + l2 * vw), vb - step * g.sum()
+        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
+        w, b, t = nw, nb, nt
+    return w, b
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 1 << 18])
+def test_fit_over_parts_equals_the_whole(block):
+    rng = np.random.default_rng(block)
+    for sizes in ([3, 0, 5, 1, 0], [0, 0, 2], [0, 0], rng.integers(0, 30, 200)):
+        sizes = np.array(sizes)
+        f = np.concatenate([np.zeros(0, int), *[np.sort(rng.choice(40, n, replace=False)) for n in sizes]])
+        y = (np.arange(len(sizes)) % 2).astype(float)
+        ratio = rng.normal(size=40)
+        w, b = toxicity._logistic(sizes, f.astype(np.uint16), y, ratio, 1e-4, 20, block)
+        pw, pb = plain_fit(sizes, f, y, ratio, 1e-4, 20)
+        assert np.array_equal(w, pw) and b == pb
+
+
+def test_driver_holds_few_bytes_a_feature(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, bytes(rng.integers(97, 123, 30_000, np.uint8)).decode(), i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    tracemalloc.start()
+    model = toxicity.train(spark, docs.drop("toxic"), docs.drop("text"), orders=(3,), bits=14, steps=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    present = sum(len(set(toxicity._present(*buffer([t]), model.lookup(), (3,), 14)[1].tolist())) for _, t, _ in rows)
+    assert len(model.features) == 8192 and present > 1_000_000
+    assert peak < 20 * present
