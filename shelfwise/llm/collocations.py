@@ -1,22 +1,22 @@
-"""Phrase collocation mining: Apriori levels counted by broadcast double-array tries.
+"""Phrase collocation mining: Apriori levels counted by double-array tries.
 
 Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and into words ``[^\\x20\\x09]+``; all counts are per
 language.  The steps, each a written table:
 
-1. Word counts (a partial aggregate per task, then a grouped sum).  Words found less than ``least`` times can't be in a
+1. Word counts (added up in each task, then a grouped sum).  Words found less than ``least`` times can't be in a
    frequent phrase; the others get ids, by the order of their 64-bit hashes.
 2. The text as ids, 0 where a phrase can't run on (an end of a piece, a rare word).  A dictionary is sent out in parts
    of ``DICTIONARY`` words; a larger one takes a pass for each part.
-3. For two, then three words: candidates are the phrases of the text all of whose parts are frequent (for three words,
-   those whose both pairs are) and whose hash bucket has ``least`` occurrences.  Blocks count their phrases first, then
-   ranges of hashes are gathered; buckets only ever add counts, so no frequent phrase is lost.
-4. The candidates are dealt into shards of ``SHARD`` phrases.  A task makes each one's double array: the phrase's ids, in
-   bytes, are the path from the root; ``base[state] + byte`` is the next state if its ``check`` is the state.  ``GROUP``
-   shards at a time are broadcast; numpy takes the states of all text positions one level further at a time and counts
-   the accepting ones, and the counts of all tasks are summed in two rounds.
+3. For two, then three words: the phrases of the text all of whose parts are frequent are counted by task and dealt out by
+   ranges of their hashes.  Candidates are those whose hash bucket has ``least`` occurrences; buckets only ever add counts,
+   so no frequent phrase is lost.  For three words, both pairs must have their bit in a bitmap of the frequent pairs, sent
+   to the tasks: where another pair shares a bit, there are candidates more, none less.
+4. The candidates of a range are dealt into tries of ``SHARD`` phrases.  Each is a double array: the phrase's ids, in
+   bytes, are the path from the root; ``base[state] + byte`` is the next state if its ``check`` is the state.  numpy takes
+   the states of all phrases dealt to the range one level further at a time and adds up the counts of the accepting ones.
 5. Scores in exact decimals, absorption into longer phrases, and the ranks.
 
-Every broadcast has a bound that doesn't depend on the input (32 MB of words, ``GROUP`` shards).
+Every broadcast has a bound that doesn't depend on the input (32 MB of words, ``BITS`` bits).
 
 Defined cases: null texts have no words; a null language counts as ``und``; empty texts give nothing; repeated rows count
 each time; words are compared by 64-bit hashes in which two frequent ones never meet (else another seed is taken); long
@@ -26,6 +26,7 @@ texts are handled by blocks of rows, a single row at least; an empty table gives
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,12 @@ from shelfwise.llm.arrowtext import LOWER, blocks, byte_table, hash_spans, mix,
 from shelfwise.llm.common import partitions, written
 
 BLOCK = 2 << 20                  # bytes of text that one count of words covers
+HELD = 400_000                   # counts of words that a task holds to add them up
 DICTIONARY = 1 << 22             # words of one broadcast
 SHARD = 250_000                  # phrases of one trie
-GROUP = 3                        # tries of one pass over the text
-PART = 1 << 16                   # counts of one row
-RANGE = 500_000                  # phrases gathered in one group
+GROUP = 2                        # tries that a range of hashes needs if no phrase of its texts comes twice
+DEAL = 1 << 20                   # occurrences of phrases that are dealt out at a time
+BITS = 1 << 28                   # of the bitmap of frequent pairs
 BUCKETS = 1 << 20
 HEATS = (64, 4, 1)               # parts in which a language's phrases are ranked, round by round
 
@@ -60,7 +62,7 @@ def _words(rows: pa.RecordBatch, data: np.ndarray, off: np.ndarray, seed: int):
     """(starts, ends, row, hash, joined): the words of a block; joined: no piece ends before the word."""
     starts, ends, row = spans(data, off, GAP)
     h = mix(hash_spans(data, starts, ends, byte_table(seed, LOWER)) ^ _seeds(rows.column("lang").to_pylist())[row]).view(np.int64)
-    piece = np.cumsum(BREAK[data])[starts] if len(starts) else starts
+    piece = np.cumsum(BREAK[data], dtype=np.int32)[starts] if len(starts) else starts
     joined = np.zeros(len(starts), bool)
     joined[1:] = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     return starts, ends, row, h, joined
@@ -69,18 +71,29 @@ def _words(rows: pa.RecordBatch, data: np.ndarray, off: np.ndarray, seed: int):
 def _counted(docs: DataFrame, seed: int) -> DataFrame:
     """(lang, word, h, c): how often each word stands in a block of texts."""
     def run(batches):
+        held, n = [], 0
         for batch in batches:
             for rows, data, off in blocks(batch, "text", BLOCK):
                 starts, ends, row, h, _ = _words(rows, data, off, seed)
+                if not len(h):
+                    continue
                 _, at, c = np.unique(h, return_index=True, return_counts=True)
-                low = LOWER[data].tobytes()
-                langs = rows.column("lang").to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs[i] or "und" for i in row[at]], pa.string()),
-                     pa.array([low[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist())], pa.string()),
-                     pa.array(h[at]), pa.array(c.astype(np.int64))], names=["lang", "word", "h", "c"])
+                # Words and the gaps behind them by turns, over the block's own bytes.
+                edges = np.stack([starts, ends], 1).ravel().astype(np.int32)
+                words = pa.Array.from_buffers(pa.string(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(LOWER[data])])
+                langs = pa.array([x or "und" for x in rows.column("lang").to_pylist()], pa.string())
+                held.append(pa.table([langs.take(pa.array(row[at])), words.take(pa.array(2 * at)), pa.array(h[at]), pa.array(c.astype(np.int64))], names=names))
+                n += len(at)
+                if n >= HELD:
+                    held, n = [merged(held)], 0
+                    if len(held[0]) >= HELD // 2:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from merged(held).to_batches()
         release()
 
+    names = ["lang", "word", "h", "c"]
+    merged = lambda held: pa.concat_tables(held).group_by(names[:3], use_threads=False).aggregate([("c", "sum")]).rename_columns(names).combine_chunks()
     return docs.mapInArrow(run, "lang string, word string, h long, c long")
 
 
@@ -108,13 +121,31 @@ def _coded(spark: SparkSession, docs: DataFrame, vocabulary: DataFrame, size: in
     return out
 
 
+def _begins(known: np.ndarray) -> np.ndarray:
+    """Where the hashes with the same first bits begin in ``known``, which is in order."""
+    k = max(1, len(known).bit_length())
+    return np.searchsorted(known, np.arange(-(1 << k - 1), 1 << k - 1) << 64 - k).astype(np.int32)
+
+
+def _place(known: np.ndarray, begins: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(known, h)``, from the places where the first bits begin."""
+    at = begins[(h >> 64 - (len(begins).bit_length() - 1)) + len(begins) // 2].astype(np.int64)
+    todo = np.flatnonzero(at < len(known))
+    while len(todo):
+        todo = todo[known[at[todo]] < h[todo]]
+        at[todo] += 1
+        todo = todo[at[todo] < len(known)]
+    return at
+
+
 def _coder(sent, low: int, seed: int, last: bool):
     def run(batches):
         known = sent.value
+        begins = _begins(known)
         for batch in batches:
             for rows, data, off in blocks(batch, "text"):
                 starts, _, row, h, joined = _words(rows, data, off, seed)
-                at = np.searchsorted(known, h)
+                at = _place(known, begins, h)
                 found = known[np.minimum(at, len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
                 ids = np.where(found, at + low + 1, 0).astype(np.int32)
                 place = np.arange(len(ids)) + np.cumsum(~joined)          # a 0 before each word that begins a piece
@@ -136,6 +167,12 @@ def _coder(sent, low: int, seed: int, last: bool):
 
 def _unique(words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows of ``words`` in order, and the sums of their counts (1 each without)."""
+    bits = int(words.max()).bit_length() if words.size else 1
+    if counts is None and bits * words.shape[1] <= 63:              # a row as one number
+        key = reduce(lambda k, col: k << bits | col, words.T.astype(np.int64))
+        key, counts = np.unique(key, return_counts=True)
+        shifts = bits * np.arange(words.shape[1] - 1, -1, -1)
+        return (key[:, None] >> shifts & (1 << bits) - 1).astype(words.dtype), counts
     order = np.lexsort(words.T[::-1])
     words = words[order]
     new = np.ones(len(words), bool)
@@ -152,34 +189,93 @@ def _hash(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def _found(spark: SparkSession, occurrences, coded: DataFrame, length: int, ranges: int, least: int) -> DataFrame:
-    """(words, n): packs of the distinct phrases in buckets with ``least`` occurrences; ``occurrences`` gives a block's."""
+def _frequent(spark: SparkSession, occurrences, coded: DataFrame, length: int, ranges: int, digits: int, least: int) -> DataFrame:
+    """(words, n, f): a pack for each range of hashes, of its phrases with ``least`` occurrences and their counts.
+
+    ``occurrences`` gives those of a row of ids.  Each goes to its range once, so the work grows with the text, however
+    many tries there are."""
+    def dealt_out(found):
+        words, counts = _unique(np.concatenate(found))
+        at = _range(_hash(words), ranges)
+        order = np.argsort(at, kind="stable")
+        words, counts, at = words[order], counts[order].astype(np.int32), at[order]
+        cuts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]])
+        return pa.RecordBatch.from_arrays([pa.array(at[cuts[:-1]].astype(np.int64)), _pieces(words, 4 * length * cuts), _pieces(counts, 4 * cuts)],
+                                          names=["range", "words", "counts"])
+
     def deal(batches):
+        found, n = [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                words, counts = _unique(occurrences(row))
-                at = (_hash(words) >> np.uint64(32)) % np.uint64(ranges)
-                order = np.argsort(at, kind="stable")
-                words, counts, at = words[order], counts[order].astype(np.int32), at[order]
-                cuts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]]) if len(at) else np.zeros(1, int)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(at[a]) for a in cuts[:-1]], pa.int64()),
-                     pa.array([words[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                     pa.array([counts[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["range", "words", "counts"])
+            for blob in batch.column("ids").to_pylist():
+                own = occurrences(np.frombuffer(blob, np.int32))
+                if len(own):
+                    found.append(own)
+                    n += len(own)
+                if n >= DEAL:
+                    yield dealt_out(found)
+                    found, n = [], 0
+        if n:
+            yield dealt_out(found)
         release()
 
-    def gather(table):
+    def count(table):
         words = np.frombuffer(b"".join(table.column("words").to_pylist()), np.int32).reshape(-1, length)
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
         bucket = (_hash(words) % np.uint64(BUCKETS)).astype(np.int64)
-        kept = words[(np.bincount(bucket, counts, BUCKETS) >= least)[bucket]]
-        kept, _ = _unique(kept)
+        held = (np.bincount(bucket, counts, BUCKETS) >= least)[bucket]
+        words, counts = words[held], counts[held]
+        candidates, _ = _unique(words)
+        flat, starts = words.ravel(), np.arange(0, words.size, length)
+        f = np.zeros(len(candidates), np.int64)
+        for low in range(0, len(candidates), SHARD):
+            own = candidates[low: low + SHARD]
+            base, check = double_array(own, digits)
+            at, phrase = advance(flat, base, check, length, digits, starts)
+            f[low: low + SHARD] = np.bincount(phrase, counts[at // length], len(own))
+        kept = f >= least
+        blobs = [x.tobytes() for x in (candidates[kept], f[kept])]
+        n = int(kept.sum())
         release()
-        return pa.table({"words": pa.array([kept.tobytes()] if len(kept) else [], pa.binary()),
-                         "n": pa.array([len(kept)] if len(kept) else [], pa.int64())})
+        return pa.table({"words": pa.array(blobs[:1] if n else [], pa.binary()), "n": pa.array([n] if n else [], pa.int64()),
+                         "f": pa.array(blobs[1:] if n else [], pa.binary())})
 
     dealt = coded.mapInArrow(deal, "range long, words binary, counts binary")
-    return written(spark, dealt.groupBy("range").applyInArrow(gather, "words binary, n long"), f"candidates{length}")
+    return written(spark, dealt.groupBy("range").applyInArrow(count, "words binary, n long, f binary"), f"frequent{length}")
+
+
+def _range(h: np.ndarray, ranges: int) -> np.ndarray:
+    return (h >> np.uint64(32)) % np.uint64(ranges)
+
+
+def _pieces(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between the cuts."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _places(words: np.ndarray, ranges: int, size: int) -> np.ndarray:
+    """The bit of each phrase: its range has ``size`` of them."""
+    h = _hash(words)
+    return (_range(h, ranges) * np.uint64(size) + h % np.uint64(size)).astype(np.int64)
+
+
+def _bitmap(packs: DataFrame, length: int, ranges: int) -> tuple[np.ndarray, int]:
+    """A bitmap in which the bit of each phrase of the packs is set, and its bits a range (``BITS`` or fewer in all)."""
+    n = packs.agg(F.sum("n")).first()[0] or 0
+    size = 8 * max(1, min(BITS, 16 * n) // ranges // 8)
+
+    def run(batches):
+        for batch in batches:
+            for blob in batch.column("words").to_pylist():
+                at = _places(np.frombuffer(blob, np.int32).reshape(-1, length), ranges, size)
+                own = np.zeros(size, bool)
+                own[at % size] = True
+                yield pa.RecordBatch.from_arrays([pa.array([int(at[0] // size)], pa.int64()), pa.array([np.packbits(own).tobytes()], pa.binary())], names=["range", "bits"])
+
+    bits = np.zeros((ranges, size // 8), np.uint8)
+    for batch in packs.select("words").mapInArrow(run, "range long, bits binary").toArrow().to_batches():
+        for at, own in zip(batch.column("range").to_pylist(), batch.column("bits")):
+            bits[at] |= np.frombuffer(own.as_buffer(), np.uint8)
+    return bits.ravel(), size
 
 
 def double_array(words: np.ndarray, digits: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -247,9 +343,10 @@ def double_array(words: np.ndarray, digits: int, seed: int = 1) -> tuple[np.ndar
     return base, check
 
 
-def advance(ids: np.ndarray, base: np.ndarray, check: np.ndarray, length: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, phrase indexes) of all occurrences of the trie's phrases in ``ids``."""
-    at = np.flatnonzero(ids[:max(len(ids) - length + 1, 0)])
+def advance(ids: np.ndarray, base: np.ndarray, check: np.ndarray, length: int, digits: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, phrase indexes) of all occurrences of the trie's phrases in ``ids``, or of those that begin at ``at``."""
+    if at is None:
+        at = np.flatnonzero(ids[:max(len(ids) - length + 1, 0)])
     state = np.zeros(len(at), np.int32)
     for word in range(length):
         here = ids[at + word]
@@ -262,141 +359,22 @@ def advance(ids: np.ndarray, base: np.ndarray, check: np.ndarray, length: int, d
     return at, base[state]
 
 
-def _tries(spark: SparkSession, packs: DataFrame, length: int, digits: int) -> tuple[DataFrame, int]:
-    """(shard, words, base, check) and the number of shards: the phrases of ``packs`` by hash."""
-    total = packs.agg(F.sum("n")).first()[0] or 0
-    shards = -(-total // SHARD)
-
-    def deal(batches):
-        for batch in batches:
-            for blob in batch.column("words").to_pylist():
-                words = np.frombuffer(blob, np.int32).reshape(-1, length)
-                shard = _hash(words) % np.uint64(shards)
-                for s in np.unique(shard).tolist():
-                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([words[shard == s].tobytes()], pa.binary())], names=["shard", "words"])
-
-    def build(key, table):
-        words, _ = _unique(np.frombuffer(b"".join(table.column("words").to_pylist()), np.int32).reshape(-1, length))
-        base, check = double_array(words, digits)
-        release()
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([words.tobytes()], pa.binary()),
-                         "base": pa.array([base.tobytes()], pa.binary()), "check": pa.array([check.tobytes()], pa.binary())})
-
-    if not shards:
-        return spark.createDataFrame([], "shard long, words binary, base binary, check binary"), 0
-    dealt = packs.mapInArrow(deal, "shard long, words binary")
-    return written(spark, dealt.groupBy("shard").applyInArrow(build, "shard long, words binary, base binary, check binary"), f"tries{length}"), shards
-
-
-def _groups(spark: SparkSession, tries: DataFrame, shards: int):
-    """Broadcasts of ``GROUP`` tries at a time, as [(shard, base, check)]."""
-    for low in range(0, shards, GROUP):
-        own = []
-        for shard in range(low, min(low + GROUP, shards)):
-            for r in tries.where(F.col("shard") == shard).select("base", "check").toArrow().to_pylist():
-                own.append((shard, np.frombuffer(r["base"], np.int32), np.frombuffer(r["check"], np.int32)))
-        sent = spark.sparkContext.broadcast(own)
-        del own
-        yield sent
-        sent.unpersist()
-
-
-def _summed(df: DataFrame) -> DataFrame:
-    """(shard, part, counts): the vectors of each (shard, part) added up, as they stream past, in two rounds."""
-    def run(batches):
-        sums: dict = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                v = np.frombuffer(row["counts"], np.int64)
-                key = (row["shard"], row["part"], row["salt"])
-                sums[key] = sums[key] + v if key in sums else v
-        for (s, p, salt), v in sums.items():
-            yield pa.RecordBatch.from_pylist([{"shard": s, "part": p, "salt": 0, "counts": v.tobytes()}], schema)
-
-    schema = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("salt", pa.int64()), ("counts", pa.binary())])
-    ddl = "shard long, part long, salt long, counts binary"
-    return df.repartition("shard", "part", "salt").mapInArrow(run, ddl).repartition("shard", "part").mapInArrow(run, ddl)
-
-
-def _frequent(spark: SparkSession, coded: DataFrame, tries: DataFrame, shards: int, length: int, digits: int, least: int) -> DataFrame:
-    """(words, n, f): packs of the phrases with ``least`` occurrences and their counts."""
-    vectors = None
-    for sent in _groups(spark, tries, shards):
-        def run(batches, sent=sent):
-            sums = {s: np.zeros(0, np.int64) for s, _, _ in sent.value}
-            for batch in batches:
-                for blob in batch.column("ids").to_pylist():
-                    ids = np.frombuffer(blob, np.int32)
-                    for s, base, check in sent.value:
-                        c = np.bincount(advance(ids, base, check, length, digits)[1], minlength=len(sums[s]))
-                        c[:len(sums[s])] += sums[s]
-                        sums[s] = c
-            for s, c in sums.items():
-                for p in range(0, len(c), PART):
-                    own = np.zeros(PART, np.int64)
-                    own[:len(c[p: p + PART])] = c[p: p + PART]
-                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([p // PART], pa.int64()), pa.array([own.tobytes()], pa.binary())], names=["shard", "part", "counts"])
-            release()
-
-        part = coded.mapInArrow(run, "shard long, part long, counts binary").withColumn("salt", (F.spark_partition_id() % 32).cast("long"))
-        part = written(spark, _summed(part.select("shard", "part", "salt", "counts")).drop("salt"), f"counts{length}")
-        vectors = part if vectors is None else vectors.unionAll(part)
-    if vectors is None:
-        return spark.createDataFrame([], "words binary, n long, f binary")
-
-    def split(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                step = 4 * length * PART
-                for p in range(0, len(row["words"]), step):
-                    yield pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int64()), pa.array([p // step], pa.int64()), pa.array([row["words"][p: p + step]], pa.binary())], names=["s", "p", "words"])
-
-    def choose(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], np.int32).reshape(-1, length)
-                f = np.frombuffer(row["counts"], np.int64)[:len(words)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([words[f >= least].tobytes()], pa.binary()), pa.array([int((f >= least).sum())], pa.int64()),
-                     pa.array([f[f >= least].tobytes()], pa.binary())], names=["words", "n", "f"])
-
-    parts = tries.select("shard", "words").mapInArrow(split, "s long, p long, words binary")
-    both = parts.join(vectors, (F.col("s") == F.col("shard")) & (F.col("p") == F.col("part"))).select("words", "counts")
-    return written(spark, both.mapInArrow(choose, "words binary, n long, f binary"), f"frequent{length}")
-
-
-def _flagged(spark: SparkSession, coded: DataFrame, tries: DataFrame, shards: int, digits: int) -> DataFrame:
-    """(ids, flags): flags has a bit for each position, set where a pair of the tries begins."""
-    out = coded.withColumn("flags", F.lit(None).cast("binary"))
-    for k, sent in enumerate(_groups(spark, tries, shards)):
-        def run(batches, sent=sent):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    ids = np.frombuffer(row["ids"], np.int32)
-                    flag = np.zeros(len(ids), bool)
-                    if row["flags"] is not None:
-                        flag |= np.unpackbits(np.frombuffer(row["flags"], np.uint8), count=len(ids)).astype(bool)
-                    for _, base, check in sent.value:
-                        flag[advance(ids, base, check, 2, digits)[0]] = True
-                    yield pa.RecordBatch.from_arrays([pa.array([row["ids"]], pa.binary()), pa.array([np.packbits(flag).tobytes()], pa.binary())], names=["ids", "flags"])
-
-        out = written(spark, out.mapInArrow(run, "ids binary, flags binary"), "flags")
-    return out
-
-
-def _pairs(row: dict) -> np.ndarray:
-    ids = np.frombuffer(row["ids"], np.int32)
+def _pairs(ids: np.ndarray) -> np.ndarray:
     at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
     return np.stack([ids[at], ids[at + 1]], 1)
 
 
-def _triples(row: dict) -> np.ndarray:
-    ids = np.frombuffer(row["ids"], np.int32)
-    if row["flags"] is None or len(ids) < 3:
-        return np.zeros((0, 3), np.int32)
-    flag = np.unpackbits(np.frombuffer(row["flags"], np.uint8), count=len(ids)).astype(bool)
-    at = np.flatnonzero(flag[:-2] & flag[1:-1])
-    return np.stack([ids[at], ids[at + 1], ids[at + 2]], 1)
+def _triples(sent, ranges: int, size: int):
+    """Occurrences of three words both pairs of which have their bit in the sent bitmap."""
+    def run(ids):
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        place = _places(np.stack([ids[at], ids[at + 1]], 1), ranges, size)
+        flag = np.zeros(len(ids), bool)
+        flag[at] = sent.value[place >> 3] >> (7 - (place & 7)) & 1
+        at = np.flatnonzero(flag[:-1] & flag[1:])
+        return np.stack([ids[at], ids[at + 1], ids[at + 2]], 1)
+
+    return run
 
 
 def _rows(packs: DataFrame, length: int) -> DataFrame:
@@ -432,16 +410,16 @@ def mine(spark: SparkSession, docs: DataFrame, least: int = 10, top: int = 2000,
             break
     totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
     n_words = counts.agg(F.sum("c")).first()[0] or 0
-    ranges = max(partitions(spark), -(-n_words // RANGE))
+    ranges = max(partitions(spark), -(-n_words // (GROUP * SHARD)))
     digits = max(1, -(-int(size).bit_length() // 8))
     coded = _coded(spark, docs, vocabulary, size, seed)
 
-    tries, shards = _tries(spark, _found(spark, _pairs, coded, 2, ranges, least), 2, digits)
-    pairs = _frequent(spark, coded, tries, shards, 2, digits, least)
-    tries, shards = _tries(spark, pairs, 2, digits)                 # of the frequent pairs alone
-    flagged = _flagged(spark, coded, tries, shards, digits)
-    tries, shards = _tries(spark, _found(spark, _triples, flagged, 3, ranges, least), 3, digits)
-    triples = _frequent(spark, coded, tries, shards, 3, digits, least)
+    pairs = _frequent(spark, _pairs, coded, 2, ranges, digits, least)
+    bits, size = _bitmap(pairs, 2, ranges)
+    sent = spark.sparkContext.broadcast(bits)
+    del bits
+    triples = _frequent(spark, _triples(sent, ranges, size), coded, 3, ranges, digits, least)
+    sent.unpersist()
     return _ranked(_rows(pairs, 2), _rows(triples, 3), vocabulary, totals, top, absorb)
 
 

@@ -94,3 +94,37 @@ def test_scores_beyond_64_bits_are_exact(spark):
     a, left, right = 3 * 10**12 + 7, 4 * 10**12 + 1, 5 * 10**12 + 3
     row = spark.createDataFrame([(a, left, right)], "a long, l long, r long").select(co._score("a", "l", "r").alias("s")).first()
     assert row["s"] == 1000000 * a * a // (left * right)
+
+
+def test_the_text_is_read_as_often_however_many_tries_there_are(spark, monkeypatch):
+    names, written = [], co.written
+    monkeypatch.setattr(co, "written", lambda s, df, name, *more: names.append(name) or written(s, df, name, *more))
+    df = spark.createDataFrame(texts(8), SCHEMA)
+    few = got(co.mine(spark, df, least=6, top=25))
+    passes = list(names)
+    monkeypatch.setattr(co, "SHARD", 11)
+    assert got(co.mine(spark, df, least=6, top=25)) == few and names == 2 * passes
+
+
+def test_pairs_that_share_a_bit_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(co, "BITS", 1)
+    rows = texts(5, 60)
+    assert got(co.mine(spark, spark.createDataFrame(rows, SCHEMA), least=6, top=25)) == plain(rows, 6, 25)
+
+
+def test_places_among_hashes():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 700):
+        known = np.sort(np.concatenate([rng.integers(-2**63, 2**63 - 1, n), np.arange(n) - 3]))
+        h = np.concatenate([rng.integers(-2**63, 2**63 - 1, 500), known, [-2**63, 2**63 - 1, 0]])
+        assert (co._place(known, co._begins(known), h) == np.searchsorted(known, h)).all()
+
+
+def test_counts_of_a_task_are_added_up_by_word(spark, monkeypatch):
+    """Also where few are held at a time."""
+    rows = texts(4)
+    want = Counter((lang or "und", w) for _, text, lang in rows for w in re.findall("[^\x20\x09.,;:!?\x0a-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+    for held in (1, 50, 10**6):
+        monkeypatch.setattr(co, "HELD", held)
+        out = co._counted(spark.createDataFrame(rows, SCHEMA).repartition(3), 11).groupBy("lang", "word", "h").agg({"c": "sum"}).collect()
+        assert Counter({(r["lang"], r["word"]): r["sum(c)"] for r in out}) == want
