@@ -120,3 +120,22 @@ def test_one_scan_of_all_columns(spark, tables):
     plan = quarantine.tag(own, "sales")._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line and "quantity_sold" in line]
     assert len(scans) == 1
+
+
+def test_keys_with_a_date_are_folded(spark, tables, tmp_path):
+    """Key lists come from a row for each 64 days of the other columns' values; repeated and null keys are found all the same."""
+    days = [DAY + datetime.timedelta(k) for k in range(50)]
+    grid = [(d, p, w, 5, 0, 0) for d in days for p in (1, 2, 8, None) for w in ("W1", "W9")]
+    odd = [(DAY, 1, "W1", 7, 0, 0), (None, 1, "W1", 5, 0, 0), (None, 2, "W1", 5, 0, 0), (None, 2, "W1", 4, 0, 0), (days[-1], None, "W9", 5, 0, 0)]
+    own = {**tables, "inventory": spark.createDataFrame(grid + odd, tables["inventory"].schema)}
+    quarantine.split(spark, own, str(tmp_path), ["inventory"])
+    assert spark.read.parquet(str(tmp_path / "inventory" / "keys")).count() <= 8 * 2 + 2
+    got = {(r["table_name"], r["rule"]): r["violations"] for r in quarantine.report(spark, str(tmp_path), {"inventory": own["inventory"]}).collect()}
+    assert got == {k: v for k, v in of_the_checks(own).items() if k[0] == "inventory"} and got["inventory", "unique: date,product_id,warehouse_id"] == 3
+    good = [tuple(r) for r in sink(spark, str(tmp_path), own, "inventory", "accepted").collect()]
+    assert len(good) == 100 and good.count((DAY, 1, "W1", 5, 0, 0)) == 1 and (DAY, 1, "W1", 7, 0, 0) not in good
+
+
+def test_tagging_has_generated_code(spark, tables):
+    plan = quarantine.tag(tables, "inventory", lambda keys, name: keys.limit(0))._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan
