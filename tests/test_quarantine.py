@@ -1,6 +1,7 @@
 """Accepted and rejected rows: a small load with every kind of fault, and the counts of K01-K05."""
 
 import datetime
+import os
 from collections import Counter
 from decimal import Decimal
 
@@ -136,6 +137,19 @@ def test_keys_with_a_date_are_folded(spark, tables, tmp_path):
     assert len(good) == 100 and good.count((DAY, 1, "W1", 5, 0, 0)) == 1 and (DAY, 1, "W1", 7, 0, 0) not in good
 
 
+def test_snapshots_are_split_from_their_plan(spark, tmp_path):
+    """The grid isn't written before it is split."""
+    os.symlink(SF_SMALL, tmp_path / "data")
+    got = sorted(map(tuple, QUERIES["k_report"](spark, str(tmp_path / "data")).collect()))
+    t = catalog.load(spark, str(tmp_path / "data"))
+    assert "raw_inventory" not in t._done
+    folder, own = catalog.quarantine(spark, str(tmp_path / "data"), ["inventory"])
+    both = [sink(spark, folder, own, "inventory", s).drop("broken_rules") for s in ("accepted", "rejected")]
+    assert Counter(map(tuple, both[0].unionByName(both[1]).collect())) == Counter(map(tuple, t.raw_inventory.collect()))
+    assert {(name, rule): n for name, rule, n in got} == of_the_checks({**{n: getattr(t, n) for n in ("suppliers", "warehouses")}, "products": t.raw_products,
+                                                                        "sales": t.raw_sales, "inventory": t.raw_inventory})
+
+
 def test_tagging_has_generated_code(spark, tables):
     plan = quarantine.tag(tables, "inventory", lambda keys, name: keys.limit(0))._jdf.queryExecution().executedPlan().toString()
     assert "lambdafunction" not in plan
